@@ -1,0 +1,138 @@
+"""Versioned Parquet tables for the incremental load.
+
+Plain Parquet has no row-level UPDATE or MERGE, and Spark refuses to
+overwrite a path it is reading. So every write goes to a fresh directory and
+a manifest, one small JSON record per commit, names the directories that make
+up the current state:
+
+    <root>/_manifest/v<seq>/part-*.json      one record per commit
+    <root>/fact/run=<key>/order_month=YYYY-MM/   month slices written by a run
+    <root>/staging/run=<key>/                stage of a run (truncate+insert)
+    <root>/lineage/<uuid>/, <root>/cutoff/<uuid>/   small control tables
+
+A merge rewrites only the months it touches; the new manifest points those
+months at the new slices and keeps the others. Until the manifest record is
+written nothing changes for readers, so a failed or killed run leaves only
+unreferenced directories and can simply be run again. All I/O is done by
+Spark, so ``root`` can be any shared file system path the cluster can write
+(not a machine-local folder).
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martlet.schemas import ETL_CUTOFF, FACT_ORDER_DETAIL, LINEAGE, STAGED_ORDER_ITEMS, empty
+
+MANIFEST = T.StructType(
+    [
+        T.StructField("seq", T.LongType()),
+        T.StructField("state", T.StringType()),  # JSON: fact map, staging, lineage, cutoff
+        T.StructField("note", T.StringType()),
+    ]
+)
+NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"
+
+
+def month_key(c: str = "order_date"):
+    """Partition value of a fact row: its order month (order_date never changes)."""
+    return F.coalesce(F.date_format(F.col(c), "yyyy-MM"), F.lit(NULL_MONTH))
+
+
+class Warehouse:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    # ---------------------------------------------------------------- manifest
+    def path(self, *parts: str) -> str:
+        return "/".join([self.root, *parts])
+
+    def state(self) -> dict:
+        """The newest committed state (empty tables when nothing is committed)."""
+        try:
+            records = (
+                self.spark.read.schema(MANIFEST)
+                .option("recursiveFileLookup", "true")
+                .json(self.path("_manifest"))
+            )
+            newest = records.orderBy(F.col("seq").desc()).limit(1).collect()
+        except AnalysisException:
+            newest = []
+        if not newest:
+            return {"seq": 0, "fact": {}, "staging": None, "lineage": None, "cutoff": None}
+        state = json.loads(newest[0]["state"])
+        state["seq"] = newest[0]["seq"]
+        return state
+
+    def commit(self, state: dict, note: str) -> dict:
+        """Publish ``state`` as the next version; fails if another writer got there first."""
+        seq = int(state["seq"]) + 1
+        body = {k: v for k, v in state.items() if k != "seq"}
+        record = self.spark.createDataFrame([(seq, json.dumps(body, sort_keys=True), note)], MANIFEST)
+        record.coalesce(1).write.mode("errorifexists").json(self.path("_manifest", f"v{seq:010d}"))
+        return dict(state, seq=seq)
+
+    # ---------------------------------------------------------------- readers
+    def _read(self, path: str | None, schema: T.StructType) -> DataFrame:
+        if not path:
+            return empty(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def fact(self, state: dict | None = None, months: list[str] | None = None) -> DataFrame:
+        state = state or self.state()
+        slices = state["fact"]
+        paths = [slices[m] for m in (months if months is not None else sorted(slices)) if m in slices]
+        if not paths:
+            return empty(self.spark, FACT_ORDER_DETAIL)
+        return self.spark.read.schema(FACT_ORDER_DETAIL).parquet(*paths)
+
+    def staging(self, state: dict | None = None) -> DataFrame:
+        return self._read((state or self.state())["staging"], STAGED_ORDER_ITEMS)
+
+    def lineage(self, state: dict | None = None) -> DataFrame:
+        return self._read((state or self.state())["lineage"], LINEAGE)
+
+    def cutoffs(self, state: dict | None = None) -> DataFrame:
+        return self._read((state or self.state())["cutoff"], ETL_CUTOFF)
+
+    # ---------------------------------------------------------------- writers
+    def write_small(self, table: str, df: DataFrame) -> str:
+        """Write a control table (one row per run or pair) as a new version."""
+        out = self.path(table, uuid.uuid4().hex)
+        df.coalesce(1).write.mode("errorifexists").parquet(out)
+        return out
+
+    def write_scratch(self, run: str, name: str, df: DataFrame) -> DataFrame:
+        """Materialise an intermediate of a run in the shared root; read it back.
+
+        This cuts the lineage (a lost executor recomputes from the written
+        files, not from the whole upstream plan).
+        """
+        out = self.path("runs", run, name)
+        df.write.mode("overwrite").parquet(out)
+        return self.spark.read.schema(df.schema).parquet(out)
+
+    def write_staging(self, run: str, staged: DataFrame) -> str:
+        out = self.path("staging", f"run={run}")
+        staged.write.mode("errorifexists").parquet(out)
+        return out
+
+    def write_fact_months(self, run: str, rows: DataFrame, months: list[str]) -> dict[str, str]:
+        """Write the new slices of ``months`` (every row of those months).
+
+        Returns month -> slice path. Each task writes the months it holds; no
+        repartition by month, so a month holding a third of the rows is still
+        written by many tasks.
+        """
+        out = self.path("fact", f"run={run}")
+        rows.withColumn("order_month", month_key()).write.mode("errorifexists").partitionBy(
+            "order_month"
+        ).parquet(out)
+        return {m: f"{out}/order_month={m}" for m in months}

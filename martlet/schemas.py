@@ -123,6 +123,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     A missing column raises (AnalysisException) instead of being invented.
     """
+    current = [(f.name, f.dataType) for f in df.schema.fields]
+    if current == [(f.name, f.dataType) for f in schema.fields]:
+        return df
     cols: list[Column] = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     return df.select(*cols)
 
