@@ -14,6 +14,8 @@ zero denominator, like SAFE_DIVIDE; plain ``/`` raises under ANSI mode.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +44,45 @@ def contribution_profit() -> Column:
     return gross_profit() - F.col("allocated_shipping") - F.col("allocated_duties")
 
 
+# ---- exact money sums in integer cents -------------------------------------
+# Money columns are decimal(18,2). Summing them as decimals widens the buffer to
+# precision 28-38, which Spark evaluates with BigDecimal; summing the same
+# values as integer cents is exact, runs on longs inside generated code, and
+# keeps decimals out of the shuffle. ANSI mode raises on a long overflow, it
+# never wraps. Sums convert back to decimal(38,2) once per group.
+
+
+def cents(c: Column | str) -> Column:
+    """A scale-2 money value as exact integer cents."""
+    return (_c(c) * F.lit(100)).cast("bigint")
+
+
+def from_cents(c: Column | str) -> Column:
+    """Integer cents back to decimal(38,2)."""
+    return _c(c).cast("decimal(36,0)") * F.lit(Decimal("0.01"))
+
+
+def net_revenue_cents() -> Column:
+    return cents("line_revenue") - cents("line_discount")
+
+
+def product_cost_cents() -> Column:
+    return cents("cost") * F.col("adjusted_quantity")
+
+
+def gross_profit_cents() -> Column:
+    return net_revenue_cents() - product_cost_cents()
+
+
+def contribution_profit_cents() -> Column:
+    return gross_profit_cents() - cents("allocated_shipping") - cents("allocated_duties")
+
+
+def sum_money(cents_expr: Column) -> Column:
+    """SUM of a cents expression as decimal(38,2) (an aggregate expression)."""
+    return from_cents(F.sum(cents_expr))
+
+
 def money(c: Column | str, scale: int = 2) -> Column:
     """ROUND(x, scale) as a fixed ``decimal(38, scale)``."""
     return F.round(_c(c), scale).cast(f"decimal(38,{scale})")
@@ -73,6 +114,14 @@ def safe_ratio(a: Column | str, b: Column | str, scale: int = 2) -> Column:
     return money(numeric_quotient(a, b), scale)
 
 
+def numeric_avg_money(c: Column | str) -> Column:
+    """AVG of a money column at NUMERIC scale 9, summed in cents (aggregate)."""
+    col = _c(c)
+    return F.try_divide(from_cents(F.sum(cents(col))).cast("decimal(38,9)"), F.count(col).cast("decimal(20,0)")).cast(
+        "decimal(38,9)"
+    )
+
+
 def numeric_avg(c: Column | str) -> Column:
     """AVG over a money column at NUMERIC scale 9 (an aggregate expression).
 

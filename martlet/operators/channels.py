@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, month_start, year_month
 from martlet.functions.measures import (
-    contribution_profit,
-    gross_profit,
+    contribution_profit_cents,
+    gross_profit_cents,
     money,
-    net_revenue,
+    net_revenue_cents,
     safe_pct,
     safe_ratio,
+    sum_money,
 )
 from martlet.operators._common import day_col, order_lines
 
@@ -30,9 +31,9 @@ def channel_performance(od: DataFrame, start: DateLike, end: DateLike) -> DataFr
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("adjusted_quantity").alias("units_sold"),
-        F.sum(net_revenue()).alias("_net"),
-        F.sum(gross_profit()).alias("_gp"),
-        F.sum(contribution_profit()).alias("_cp"),
+        sum_money(net_revenue_cents()).alias("_net"),
+        sum_money(gross_profit_cents()).alias("_gp"),
+        sum_money(contribution_profit_cents()).alias("_cp"),
     )
     return monthly.select(
         year_month(F.col("_month")).alias("year_month"),

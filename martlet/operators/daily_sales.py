@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, month_name, year_month
 from martlet.functions.measures import (
-    contribution_profit,
-    gross_profit,
+    cents,
+    contribution_profit_cents,
+    gross_profit_cents,
     money,
-    net_revenue,
-    numeric_avg,
-    product_cost,
+    net_revenue_cents,
+    numeric_avg_money,
+    product_cost_cents,
     safe_pct,
+    sum_money,
 )
 from martlet.operators._common import day_col, order_lines
 
@@ -44,16 +46,16 @@ def daily_sales(od: DataFrame, start: DateLike, end: DateLike, lag_rows: int = 3
         F.sum("adjusted_quantity").alias("_units"),
         F.count_distinct("order_id").alias("_orders"),
         F.count_distinct("customer_id").alias("_customers"),
-        F.sum(F.col("unit_price") * F.col("adjusted_quantity")).alias("_gross"),
-        F.sum("line_discount").alias("_disc"),
-        F.sum(net_revenue()).alias("_net"),
-        F.sum(product_cost()).alias("_pcost"),
-        F.sum("allocated_shipping").alias("_ship"),
-        F.sum("allocated_duties").alias("_duty"),
-        F.sum(gross_profit()).alias("_gp"),
-        F.sum(contribution_profit()).alias("_cp"),
-        numeric_avg("unit_price").alias("_avg_price"),
-        numeric_avg("cost").alias("_avg_cost"),
+        sum_money(cents("unit_price") * F.col("adjusted_quantity")).alias("_gross"),
+        sum_money(cents("line_discount")).alias("_disc"),
+        sum_money(net_revenue_cents()).alias("_net"),
+        sum_money(product_cost_cents()).alias("_pcost"),
+        sum_money(cents("allocated_shipping")).alias("_ship"),
+        sum_money(cents("allocated_duties")).alias("_duty"),
+        sum_money(gross_profit_cents()).alias("_gp"),
+        sum_money(contribution_profit_cents()).alias("_cp"),
+        numeric_avg_money("unit_price").alias("_avg_price"),
+        numeric_avg_money("cost").alias("_avg_cost"),
     )
     d = F.col("order_date")
     daily = g.select(

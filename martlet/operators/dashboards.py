@@ -13,7 +13,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, month_start
-from martlet.functions.measures import contribution_profit, gross_profit, money, net_revenue, safe_pct, safe_ratio
+from martlet.functions.measures import (
+    contribution_profit_cents,
+    gross_profit_cents,
+    money,
+    net_revenue_cents,
+    safe_pct,
+    safe_ratio,
+    sum_money,
+)
 from martlet.operators._common import day_col, order_lines
 from martlet.operators.daily_sales import DIRECT
 from martlet.operators.products import product_performance
@@ -27,7 +35,7 @@ def rolling_12m_revenue(od: DataFrame, start: DateLike, end: DateLike, months: i
     """Monthly net revenue with the sum over the trailing ``months`` calendar months."""
     lines = order_lines(od, start, end)
     monthly = lines.groupBy(month_start(day_col(lines)).alias("month")).agg(
-        F.sum(net_revenue()).cast("decimal(38,2)").alias("net_revenue")
+        sum_money(net_revenue_cents()).alias("net_revenue")
     )
     idx = F.year("month") * 12 + F.month("month")
     trailing = Window.orderBy(idx).rangeBetween(-(months - 1), 0)
@@ -51,9 +59,9 @@ def channel_partner_matrix(od: DataFrame, start: DateLike, end: DateLike) -> Dat
         "marketing_channel", F.coalesce(F.col("partner_name"), F.lit(DIRECT)).alias("partner_name")
     ).agg(
         F.count_distinct("order_id").alias("_orders"),
-        F.sum(net_revenue()).alias("_net"),
-        F.sum(gross_profit()).alias("_gp"),
-        F.sum(contribution_profit()).alias("_cp"),
+        sum_money(net_revenue_cents()).alias("_net"),
+        sum_money(gross_profit_cents()).alias("_gp"),
+        sum_money(contribution_profit_cents()).alias("_cp"),
     )
     return g.select(
         "marketing_channel",
@@ -71,7 +79,7 @@ def daily_heatmap(od: DataFrame, start: DateLike, end: DateLike, days: int = HEA
     """Daily totals for the last ``days`` calendar days up to the newest sale."""
     lines = order_lines(od, start, end)
     daily = lines.groupBy(day_col(lines).alias("order_date")).agg(
-        F.sum(net_revenue()).alias("_net"),
+        sum_money(net_revenue_cents()).alias("_net"),
         F.count_distinct("order_id").alias("_orders"),
         F.sum("adjusted_quantity").alias("_units"),
     )
@@ -96,8 +104,8 @@ def partner_contribution(od: DataFrame, start: DateLike, end: DateLike) -> DataF
     lines = order_lines(od, start, end)
     g = lines.groupBy(F.coalesce(F.col("partner_name"), F.lit(DIRECT)).alias("partner_name")).agg(
         F.count_distinct("order_id").alias("_orders"),
-        F.sum(net_revenue()).alias("_net"),
-        F.sum(contribution_profit()).alias("_cp"),
+        sum_money(net_revenue_cents()).alias("_net"),
+        sum_money(contribution_profit_cents()).alias("_cp"),
     )
     ranked = Window.orderBy(F.col("_cp").desc())
     return g.select(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, as_date, month_start
-from martlet.functions.measures import gross_profit, money, net_revenue, unrounded_pct
+from martlet.functions.measures import gross_profit_cents, money, net_revenue_cents, sum_money, unrounded_pct
 from martlet.operators._common import day_col, order_lines
 
 # Fixed labels.
@@ -24,8 +24,8 @@ CURRENT, PREVIOUS = "Current", "Previous"
 def _monthly(od: DataFrame, start: DateLike, end: DateLike, *extra) -> DataFrame:
     lines = order_lines(od, start, end)
     return lines.groupBy(month_start(day_col(lines)).alias("month")).agg(
-        F.sum(net_revenue()).alias("_net"),
-        F.sum(gross_profit()).alias("_gp"),
+        sum_money(net_revenue_cents()).alias("_net"),
+        sum_money(gross_profit_cents()).alias("_gp"),
         F.sum("adjusted_quantity").cast("bigint").alias("units_sold"),
         F.count_distinct("customer_id").cast("bigint").alias("unique_customers"),
         *extra,

@@ -15,7 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, year_month
-from martlet.functions.measures import money, net_revenue, numeric_avg, safe_pct, safe_ratio
+from martlet.functions.measures import (
+    cents,
+    from_cents,
+    money,
+    net_revenue_cents,
+    numeric_avg,
+    numeric_avg_money,
+    safe_pct,
+    safe_ratio,
+)
 from martlet.operators._common import day_col, order_lines
 
 DISCOUNTED, FULL_PRICE = "Discounted", "Full Price"
@@ -27,23 +36,24 @@ def order_level(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
         day_col(lines).alias("order_date"), "product_sku", "product_name", "marketing_channel", "order_id"
     ).agg(
         F.sum("adjusted_quantity").alias("order_units"),
-        F.sum("line_revenue").alias("order_gross_revenue"),
-        F.sum("line_discount").alias("order_discount"),
-        F.sum(net_revenue()).alias("order_net_revenue"),
-        numeric_avg("unit_price").alias("order_avg_price"),
+        # money stays in integer cents between the levels (exact, 8 bytes).
+        F.sum(cents("line_revenue")).alias("order_gross_cents"),
+        F.sum(cents("line_discount")).alias("order_discount_cents"),
+        F.sum(net_revenue_cents()).alias("order_net_cents"),
+        numeric_avg_money("unit_price").alias("order_avg_price"),
     )
 
 
 def pricing_analysis(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     lvl1 = order_level(od, start, end)
     lvl2 = lvl1.groupBy("order_date", "product_sku", "product_name", "marketing_channel").agg(
-        F.sum("order_discount").alias("_disc"),
+        from_cents(F.sum("order_discount_cents")).alias("_disc"),
         # order_id is a level-1 key, so it is already unique within the group.
         F.count("order_id").alias("_orders"),
         F.sum("order_units").alias("_units"),
         numeric_avg("order_avg_price").alias("_avg_list"),
-        F.sum("order_net_revenue").alias("_net"),
-        F.sum("order_gross_revenue").alias("_gross"),
+        from_cents(F.sum("order_net_cents")).alias("_net"),
+        from_cents(F.sum("order_gross_cents")).alias("_gross"),
     )
     return lvl2.select(
         "order_date",

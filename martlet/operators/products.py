@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, month_start, year_month
-from martlet.functions.measures import gross_profit, net_revenue, safe_pct
+from martlet.functions.measures import gross_profit_cents, net_revenue_cents, safe_pct, sum_money
 from martlet.operators._common import day_col, order_lines
 
 # Fixed tier cut-offs, first match wins.
@@ -24,8 +24,8 @@ def product_monthly(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     lines = order_lines(od, start, end)
     return lines.groupBy("product_sku", "product_name", month_start(day_col(lines)).alias("_month")).agg(
         F.sum("adjusted_quantity").cast("bigint").alias("units_sold"),
-        F.sum(net_revenue()).cast("decimal(38,2)").alias("net_revenue"),
-        F.sum(gross_profit()).cast("decimal(38,2)").alias("gross_profit"),
+        sum_money(net_revenue_cents()).alias("net_revenue"),
+        sum_money(gross_profit_cents()).alias("gross_profit"),
     )
 
 
