@@ -28,7 +28,10 @@ hot id with many identical copies costs one profile, and the per-profile
 weight sum detects the duplicate-update error without emitting row pairs.
 Updates are applied back with one equi-join on the profile key (broadcast
 when Spark measures it small, shuffled otherwise); inserts are an anti-join
-on the id. Each step is an ordinary shuffle or broadcast join, so the merge
+on the matched ids, which the profile step already found, so the fact is
+scanned twice per merge (id+profile columns for matching, whole rows of the
+touched months for the rewrite) and never used as a broadcast or shuffle
+build side for the id lookup. Each step is an ordinary shuffle or broadcast join, so the merge
 scales with the size of the change set plus one pass over the target.
 """
 
@@ -131,7 +134,16 @@ def plan_merge(
     clock: TimestampLike,
     null_safe: bool = False,
 ) -> MergePlan:
-    src = source_rows(staged, clock)
+    return plan_merge_source(target, source_rows(staged, clock), clock, null_safe)
+
+
+def plan_merge_source(
+    target: DataFrame,
+    src: DataFrame,
+    clock: TimestampLike,
+    null_safe: bool = False,
+) -> MergePlan:
+    """``plan_merge`` for a source already in fact layout and deduplicated."""
     src_ids = src.select(KEY).where(F.col(KEY).isNotNull()).distinct()
 
     sprof = src.where(F.col(KEY).isNotNull()).groupBy(*PROFILE).agg(F.count(F.lit(1)).alias("_w"))
@@ -161,7 +173,10 @@ def plan_merge(
     qualifying_sources = (
         qualifying.select(*[F.col(f"s.{c}").alias(c) for c in PROFILE], F.col("s._w").alias("_w")).distinct()
     )
-    inserts = src.join(conform(target, FACT_ORDER_DETAIL).select(KEY), KEY, "left_anti")
+    # The semi-joined target profiles hold exactly the matched ids, so the
+    # anti-join never needs the whole fact as its build side.
+    matched_ids = tprof.select(KEY).distinct()
+    inserts = src.join(matched_ids, KEY, "left_anti")
     return MergePlan(src, updates, inserts, qualifying_sources, clock)
 
 

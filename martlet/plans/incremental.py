@@ -27,7 +27,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.operators.merge import MergePlan, now_los_angeles, plan_merge
+from martlet.operators.merge import MergePlan, now_los_angeles, plan_merge_source, source_rows
 from martlet.operators.staging import INITIAL_LOAD, TimestampLike, stage_updates
 from martlet.plans.control import close_run, init_cutoff, new_lineage_key, open_run, reset_cutoff
 from martlet.plans.warehouse import Warehouse, month_key
@@ -102,7 +102,9 @@ def run_incremental(
 
     # 3. plan the merge against the whole fact, materialise its small parts
     fact_all = wh.fact(state)
-    plan = plan_merge(fact_all, staged, now(), null_safe)
+    merge_clock = now()
+    source = wh.write_scratch(key, "source", source_rows(staged, merge_clock))
+    plan = plan_merge_source(fact_all, source, merge_clock, null_safe)
     written = replace(
         plan,
         updates=wh.write_scratch(key, "updates", plan.updates),

@@ -12,7 +12,7 @@ from martlet.sources import raw_order_items, raw_order_items_edited
 from tests.conftest import SF_CHECK
 from tests.seed import seed_df
 
-SRC, TGT = "raw_shopify_order_items", "fact_order_detail"
+SRC, TGT = "raw_order_items", "fact_order_detail"
 T = dt.datetime.fromisoformat
 CLOCK = dt.datetime(2025, 9, 20, 8, 0)
 
