@@ -123,3 +123,19 @@ def test_cutoff_falls_back_to_fact_then_null(spark):
     assert paired[("s", "u")] is None
     both_empty = advance_cutoff(cut0, no_stage, empty(spark, FACT_ORDER_DETAIL), "s").where(F.col("tgt_table_name") == "t")
     assert both_empty.where(F.col("src_table_name") == "s").first().cutoff_time is None
+
+
+def test_hot_id_copies_collapse_before_matching(spark):
+    """One id carrying thousands of staged rows (exact copies and price-only
+    variants) meets its target row as a single weighted profile."""
+    target = fact_of(spark, [raw_row("hot"), raw_row("cold")])
+    rows = [raw_row("hot", update="2025-09-18 10:00", price=p) for p in ("1.00", "2.00", "3.00") for _ in range(1000)]
+    staged = spark.createDataFrame(rows, RAW_ORDER_ITEMS)
+    plan = plan_merge(target, staged, CLOCK)
+    # three distinct source rows share one update profile: one profile of weight 3
+    assert [r._w for r in plan.qualifying_sources.collect()] == [3]
+    with pytest.raises(PySparkException):
+        plan.apply(target).collect()
+    single = spark.createDataFrame([raw_row("hot", update="2025-09-18 10:00")] * 3000, RAW_ORDER_ITEMS)
+    out = plan_merge(target, single, CLOCK).apply(target).collect()
+    assert len(out) == 2 and {r.detail_id: r.update_date for r in out}["hot"] == T("2025-09-18 10:00")
