@@ -23,9 +23,11 @@ Semantics (SCD type 1 on the listed columns):
 Plan. Matching is done on *profiles*, not on rows: target rows are first
 semi-joined to the staged ids and reduced to distinct (id, compared columns,
 order_date) profiles; source rows to distinct (id, update columns) profiles
-with a row-count weight. Only profiles meet in the equi-join on the id, so a
-hot id with many identical copies costs one profile, and the per-profile
-weight sum detects the duplicate-update error without emitting row pairs.
+with a row-count weight. Target and source profiles are never paired: the
+count of qualifying source rows per target profile comes from at most 8
+equi-join probes into per-mask source aggregates (see ``plan_merge_source``),
+so a hot id with many copies or variants on either side costs a bounded
+number of rows per profile, and the duplicate-update error is a count.
 Updates are applied back with one equi-join on the profile key (broadcast
 when Spark measures it small, shuffled otherwise); inserts are an anti-join
 on the matched ids, which the profile step already found, so the fact is
@@ -90,9 +92,13 @@ class MergePlan:
     source: DataFrame  # distinct staged rows, fact layout
     updates: DataFrame  # one row per updated target profile: profile + order_date + new values
     inserts: DataFrame  # source rows whose id matches no target row
-    qualifying_sources: DataFrame  # source profiles that update at least one target profile
     clock: TimestampLike
 
+    @property
+    def qualifying_sources(self) -> DataFrame:
+        """Source rows that update at least one target profile (one row each)."""
+        return self.updates.select(KEY, "_src_h", "_hit").distinct()
+
     def apply(self, target: DataFrame) -> DataFrame:
         """``target`` with updates applied, plus the inserts.
 
@@ -117,7 +123,7 @@ class MergePlan:
         """One row: staged, inserted, updated, unchanged (all counted in source rows)."""
         staged = self.source.agg(F.count(F.lit(1)).alias("staged"))
         inserted = self.inserts.agg(F.count(F.lit(1)).alias("inserted"))
-        updated = self.qualifying_sources.agg(F.coalesce(F.sum("_w"), F.lit(0)).cast("bigint").alias("updated"))
+        updated = self.qualifying_sources.agg(F.count(F.lit(1)).cast("bigint").alias("updated"))
         return (
             staged.select(
                 F.col("staged").cast("bigint").alias("staged"),
@@ -137,47 +143,158 @@ def plan_merge(
     return plan_merge_source(target, source_rows(staged, clock), clock, null_safe)
 
 
+def _profile_hash(prefix: str = "") -> Column:
+    """64-bit hash of an update profile; a NULL and an empty string hash apart."""
+    parts = []
+    for c in PROFILE:
+        col = F.col(f"{prefix}{c}")
+        parts += [F.coalesce(col.cast("string"), F.lit("")), col.isNull()]
+    return F.xxhash64(*parts)
+
+
+def _bit(mask: Column, i: int) -> Column:
+    return mask.bitwiseAND(1 << i) != 0
+
+
+def _keep(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
 def plan_merge_source(
     target: DataFrame,
     src: DataFrame,
     clock: TimestampLike,
     null_safe: bool = False,
+    stage=_keep,
 ) -> MergePlan:
-    """``plan_merge`` for a source already in fact layout and deduplicated."""
+    """``plan_merge`` for a source already in fact layout and deduplicated.
+
+    No step pairs target rows with source rows. For each distinct target
+    profile, the number of source rows that do NOT qualify is summed with at
+    most 8 equi-join probes against per-mask source aggregates (a source
+    value that is NULL, or a target value that is NULL, makes that compared
+    column a wildcard). Qualifying rows = id total - that sum: 0 means no
+    update, 2 or more is the duplicate-update error, and for exactly 1 the
+    weighted hash sums identify the one qualifying profile, which is then
+    looked up by (id, hash) and checked against the change test.
+
+    ``stage(name, df)`` may materialise the source and target profiles (the
+    store writes them to the run folder so they are computed once).
+    """
     src_ids = src.select(KEY).where(F.col(KEY).isNotNull()).distinct()
+    hw = lambda w, h: F.col(w).cast("decimal(20,0)") * F.col(h).cast("decimal(20,0)")
+
+    sprof = (
+        src.where(F.col(KEY).isNotNull())
+        .groupBy(*PROFILE)
+        .agg(F.count(F.lit(1)).alias("_w"))
+        .withColumn("_h", _profile_hash())
+    )
+    sprof = stage("source_profiles", sprof)
+    totals = sprof.groupBy(KEY).agg(F.sum("_w").alias("_W"), F.sum(hw("_w", "_h")).alias("_HW"))
+
+    blanked = [F.coalesce(F.col(c), F.lit("")).alias(f"_b{i}") for i, c in enumerate(BLANKED_CHANGE)]
+    n_masks = 1 if null_safe else 1 << len(PLAIN_CHANGE)
+    masks = F.explode(F.array(*[F.lit(m) for m in range(n_masks)])).alias("_m")
+    wild = (
+        sprof.select(KEY, *blanked, *PLAIN_CHANGE, "_w", "_h", masks)
+        .select(
+            "_m",
+            KEY,
+            *[f"_b{i}" for i in range(len(BLANKED_CHANGE))],
+            *[
+                F.when(_bit(F.col("_m"), i), F.lit(None)).otherwise(F.col(c)).alias(f"_d{i}")
+                for i, c in enumerate(PLAIN_CHANGE)
+            ],
+            "_w",
+            "_h",
+        )
+        .groupBy("_m", KEY, *[f"_b{i}" for i in range(len(BLANKED_CHANGE))], *[f"_d{i}" for i in range(len(PLAIN_CHANGE))])
+        .agg(F.sum("_w").alias("_nw"), F.sum(hw("_w", "_h")).alias("_nhw"))
+    )
 
-    sprof = src.where(F.col(KEY).isNotNull()).groupBy(*PROFILE).agg(F.count(F.lit(1)).alias("_w"))
     tprof = (
         conform(target, FACT_ORDER_DETAIL)
         .join(src_ids, KEY, "left_semi")
         .select(*PROFILE, "order_date")
         .distinct()
     )
-    pairs = tprof.alias("t").join(sprof.alias("s"), F.col(f"t.{KEY}") == F.col(f"s.{KEY}"))
-    qualifying = pairs.where(change_test("t", "s", null_safe))
-
-    # One row per target profile; the weight sum counts source rows.
-    per_target = qualifying.groupBy(*[F.col(f"t.{c}").alias(c) for c in PROFILE], F.col("t.order_date").alias("order_date")).agg(
-        F.sum("s._w").alias("_n"),
-        *[F.first(F.col(f"s.{c}")).alias(f"_new_{c}") for c in UPDATED],
+    tprof = stage("target_profiles", tprof)
+    # Probe patterns of a target profile: NULL target columns are marginalised
+    # (mask), each other column matches the same value or a NULL source value.
+    if null_safe:
+        tmask = F.lit(0)
+    else:
+        tmask = sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(PLAIN_CHANGE)), F.lit(0))
+    probes = (
+        tprof.withColumn("_m", tmask)
+        .withColumn("_sub", F.explode(F.array(*[F.lit(b) for b in range(n_masks)])))
+        .where(F.col("_m").bitwiseAND(F.col("_sub")) == 0)
+        .select(
+            *PROFILE,
+            "order_date",
+            "_m",
+            *[F.coalesce(F.col(c), F.lit("")).alias(f"_pb{i}") for i, c in enumerate(BLANKED_CHANGE)],
+            *[
+                F.when(_bit(F.col("_m").bitwiseOR(F.col("_sub")), i), F.lit(None)).otherwise(F.col(c)).alias(f"_pd{i}")
+                for i, c in enumerate(PLAIN_CHANGE)
+            ],
+        )
+        .alias("p")
+    )
+    on = (F.col("p._m") == F.col("a._m")) & (F.col(f"p.{KEY}") == F.col(f"a.{KEY}"))
+    for i in range(len(BLANKED_CHANGE)):
+        on = on & (F.col(f"p._pb{i}") == F.col(f"a._b{i}"))
+    for i in range(len(PLAIN_CHANGE)):
+        on = on & F.col(f"p._pd{i}").eqNullSafe(F.col(f"a._d{i}"))
+    non_qualifying = (
+        probes.join(wild.alias("a"), on, "left")
+        .groupBy(*[F.col(f"p.{c}").alias(c) for c in PROFILE], F.col("p.order_date").alias("order_date"))
+        .agg(
+            F.coalesce(F.sum("a._nw"), F.lit(0)).alias("_nq"),
+            F.coalesce(F.sum("a._nhw"), F.lit(0).cast("decimal(38,0)")).alias("_nqh"),
+        )
     )
-    too_many = F.col("_n") > 1
-    updates = per_target.select(
-        *PROFILE,
-        "order_date",
-        F.when(too_many, F.raise_error(F.format_string(DUPLICATE_UPDATE, F.col(KEY))))
+    per_target = (
+        non_qualifying.join(totals, KEY)
+        .withColumn("_q", F.col("_W") - F.col("_nq"))
+        .withColumn("_qh", (F.col("_HW") - F.col("_nqh")).cast("decimal(38,0)"))
+        .where(F.col("_q") >= 1)
+    )
+    lookup = sprof.groupBy(KEY, "_h").agg(
+        F.count(F.lit(1)).alias("_nprof"),
+        *[F.first(c).alias(f"_new_{c}") for c in UPDATED],
+    )
+    resolved = per_target.alias("t").join(
+        lookup.alias("s"),
+        (F.col(f"t.{KEY}") == F.col(f"s.{KEY}")) & (F.col("t._qh") == F.col("s._h").cast("decimal(38,0)")),
+        "left",
+    )
+    new = {c: F.col(f"s._new_{c}") for c in UPDATED}
+    check = F.coalesce(
+        reduce(
+            or_,
+            [(~F.col(f"t.{c}").eqNullSafe(new[c])) if null_safe else (F.col(f"t.{c}") != new[c]) for c in PLAIN_CHANGE]
+            + [F.coalesce(F.col(f"t.{c}"), F.lit("")) != F.coalesce(new[c], F.lit("")) for c in BLANKED_CHANGE],
+        ),
+        F.lit(False),
+    )
+    ok = (F.col("t._q") == 1) & (F.col("s._nprof") == 1) & check
+    updates = resolved.select(
+        *[F.col(f"t.{c}").alias(c) for c in PROFILE],
+        F.col("t.order_date").alias("order_date"),
+        F.when(F.col("t._q") > 1, F.raise_error(F.format_string(DUPLICATE_UPDATE, F.col(f"t.{KEY}"))))
+        .when(~ok, F.raise_error(F.lit("merge: qualifying source row could not be resolved")))
         .otherwise(F.lit(True))
         .alias("_hit"),
-        *[F.col(f"_new_{c}") for c in UPDATED],
-    )
-    qualifying_sources = (
-        qualifying.select(*[F.col(f"s.{c}").alias(c) for c in PROFILE], F.col("s._w").alias("_w")).distinct()
+        *[new[c].alias(f"_new_{c}") for c in UPDATED],
+        F.col("s._h").alias("_src_h"),
     )
     # The semi-joined target profiles hold exactly the matched ids, so the
     # anti-join never needs the whole fact as its build side.
     matched_ids = tprof.select(KEY).distinct()
     inserts = src.join(matched_ids, KEY, "left_anti")
-    return MergePlan(src, updates, inserts, qualifying_sources, clock)
+    return MergePlan(src, updates, inserts, clock)
 
 
 def merge_upsert(

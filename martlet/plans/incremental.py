@@ -104,12 +104,13 @@ def run_incremental(
     fact_all = wh.fact(state)
     merge_clock = now()
     source = wh.write_scratch(key, "source", source_rows(staged, merge_clock))
-    plan = plan_merge_source(fact_all, source, merge_clock, null_safe)
+    plan = plan_merge_source(
+        fact_all, source, merge_clock, null_safe, stage=lambda name, df: wh.write_scratch(key, name, df)
+    )
     written = replace(
         plan,
         updates=wh.write_scratch(key, "updates", plan.updates),
         inserts=wh.write_scratch(key, "inserts", plan.inserts),
-        qualifying_sources=wh.write_scratch(key, "qualifying_sources", plan.qualifying_sources),
     )
     touched = [
         r["m"]
