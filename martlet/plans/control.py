@@ -71,3 +71,13 @@ def close_run(lineage: DataFrame, lineage_key: str, clock: TimestampLike) -> Dat
 def open_runs(lineage: DataFrame, src_table: str) -> DataFrame:
     """Runs of a source still open (data_load_completed IS NULL)."""
     return lineage.where((F.col("src_table_name") == src_table) & F.col("data_load_completed").isNull())
+
+
+def newest_open_run_key(lineage: DataFrame, src_table: str) -> str | None:
+    """The reference's lookup: the highest key among open runs of ``src_table``.
+
+    Keys are random UUIDs, so "highest" is not "latest"; ``run_incremental``
+    carries its own key instead and this exists for audit parity.
+    """
+    row = open_runs(lineage, src_table).agg(F.max("lineage_key").alias("k")).first()
+    return row["k"] if row else None

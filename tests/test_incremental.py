@@ -100,3 +100,34 @@ def test_scaled_golden_counts(spark, scratch):
     assert (r2.staged, r2.inserted, r2.updated, r2.unchanged) == (6815, 5985, 818, 12)
     assert wh.fact().count() == 15000
     assert r2.cutoff_after == T("2001-08-03 00:00")
+
+
+def test_newest_open_run_key_picks_highest_uuid(spark):
+    from martlet.plans.control import close_run, newest_open_run_key, open_run
+    from martlet.schemas import LINEAGE, empty
+
+    lin = empty(spark, LINEAGE)
+    for key in ("a-key", "c-key", "b-key"):
+        lin = open_run(lin, key, SRC, TGT, CLOCK, CLOCK)
+    lin = close_run(lin, "c-key", CLOCK)
+    assert newest_open_run_key(lin, SRC) == "b-key"
+    assert newest_open_run_key(lin, "other") is None
+
+
+@pytest.mark.parametrize("seed", [7, 11])
+def test_any_run_sequence_covers_exactly_the_window(spark, scratch, seed):
+    import random
+
+    rng = random.Random(seed)
+    wh = Warehouse(spark, scratch)
+    raw = seed_df(spark)
+    updates = {r.id: r.update_date for r in raw.select("id", "update_date").collect()}
+    targets = [T(f"2025-09-{d:02d} {h:02d}:00") for d, h in ((rng.randint(15, 20), rng.randint(0, 23)) for _ in range(3))]
+    for tgt in targets:
+        _run(wh, raw, tgt)
+        fact_ids = [r.detail_id for r in wh.fact().select("detail_id").collect()]
+        assert len(fact_ids) == len(set(fact_ids))
+        top = max(targets[: targets.index(tgt) + 1])
+        assert set(fact_ids) == {i for i, u in updates.items() if u < top}
+    again = _run(wh, raw, targets[-1])
+    assert (again.inserted, again.updated) == (0, 0)

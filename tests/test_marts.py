@@ -106,3 +106,11 @@ def test_empty_input(spark):
     for build in (daily_sales, channel_performance, pricing_analysis, product_performance, executive_kpis):
         assert build(od, START, END).count() == 0
     assert F is not None
+
+
+def test_negative_base_keeps_its_sign(spark):
+    rows = [line(day=(dt.date(2023, 1, 1) + dt.timedelta(days=i)).isoformat(), rev="1.00", disc="3.00") for i in range(31)]
+    rows[-1] = line(day="2023-01-31", rev="5.00", disc="0.00")
+    out = daily_sales(frame(spark, rows), START, END).orderBy("order_date").collect()
+    assert out[30].net_revenue_30d_ago == D("-2.00")
+    assert out[30].revenue_change_30d_pct == D("-350.00")  # (5 - -2) / -2 * 100
