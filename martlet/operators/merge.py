@@ -191,25 +191,29 @@ def plan_merge_source(
         .withColumn("_h", _profile_hash())
     )
     sprof = stage("source_profiles", sprof)
-    totals = sprof.groupBy(KEY).agg(F.sum("_w").alias("_W"), F.sum(hw("_w", "_h")).alias("_HW"))
-
     blanked = [F.coalesce(F.col(c), F.lit("")).alias(f"_b{i}") for i, c in enumerate(BLANKED_CHANGE)]
     n_masks = 1 if null_safe else 1 << len(PLAIN_CHANGE)
-    masks = F.explode(F.array(*[F.lit(m) for m in range(n_masks)])).alias("_m")
+    # Mask TOTAL marginalises every compared column: the per-id totals ride
+    # in the same aggregate and the same probe join.
+    TOTAL = 1 << (len(PLAIN_CHANGE) + 1)
+    b_names = [f"_b{i}" for i in range(len(BLANKED_CHANGE))]
+    d_names = [f"_d{i}" for i in range(len(PLAIN_CHANGE))]
+    masks = F.explode(F.array(*[F.lit(m) for m in [*range(n_masks), TOTAL]])).alias("_m")
+    is_total = F.col("_m") == TOTAL
     wild = (
         sprof.select(KEY, *blanked, *PLAIN_CHANGE, "_w", "_h", masks)
         .select(
             "_m",
             KEY,
-            *[f"_b{i}" for i in range(len(BLANKED_CHANGE))],
+            *[F.when(is_total, F.lit(None)).otherwise(F.col(b)).alias(b) for b in b_names],
             *[
-                F.when(_bit(F.col("_m"), i), F.lit(None)).otherwise(F.col(c)).alias(f"_d{i}")
+                F.when(is_total | _bit(F.col("_m"), i), F.lit(None)).otherwise(F.col(c)).alias(f"_d{i}")
                 for i, c in enumerate(PLAIN_CHANGE)
             ],
             "_w",
             "_h",
         )
-        .groupBy("_m", KEY, *[f"_b{i}" for i in range(len(BLANKED_CHANGE))], *[f"_d{i}" for i in range(len(PLAIN_CHANGE))])
+        .groupBy("_m", KEY, *b_names, *d_names)
         .agg(F.sum("_w").alias("_nw"), F.sum(hw("_w", "_h")).alias("_nhw"))
     )
 
@@ -221,22 +225,29 @@ def plan_merge_source(
     )
     tprof = stage("target_profiles", tprof)
     # Probe patterns of a target profile: NULL target columns are marginalised
-    # (mask), each other column matches the same value or a NULL source value.
+    # (mask), each other column matches the same value or a NULL source value;
+    # one more probe (TOTAL) fetches the id's totals.
     if null_safe:
         tmask = F.lit(0)
     else:
         tmask = sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(PLAIN_CHANGE)), F.lit(0))
+    sub_total = F.col("_sub") == TOTAL
     probes = (
-        tprof.withColumn("_m", tmask)
-        .withColumn("_sub", F.explode(F.array(*[F.lit(b) for b in range(n_masks)])))
-        .where(F.col("_m").bitwiseAND(F.col("_sub")) == 0)
+        tprof.withColumn("_tm", tmask)
+        .withColumn("_sub", F.explode(F.array(*[F.lit(b) for b in [*range(n_masks), TOTAL]])))
+        .where(sub_total | (F.col("_tm").bitwiseAND(F.col("_sub")) == 0))
         .select(
             *PROFILE,
             "order_date",
-            "_m",
-            *[F.coalesce(F.col(c), F.lit("")).alias(f"_pb{i}") for i, c in enumerate(BLANKED_CHANGE)],
+            F.when(sub_total, F.lit(TOTAL)).otherwise(F.col("_tm")).alias("_m"),
+            *[
+                F.when(sub_total, F.lit(None)).otherwise(F.coalesce(F.col(c), F.lit(""))).alias(f"_pb{i}")
+                for i, c in enumerate(BLANKED_CHANGE)
+            ],
             *[
-                F.when(_bit(F.col("_m").bitwiseOR(F.col("_sub")), i), F.lit(None)).otherwise(F.col(c)).alias(f"_pd{i}")
+                F.when(sub_total | _bit(F.col("_tm").bitwiseOR(F.col("_sub")), i), F.lit(None))
+                .otherwise(F.col(c))
+                .alias(f"_pd{i}")
                 for i, c in enumerate(PLAIN_CHANGE)
             ],
         )
@@ -244,21 +255,20 @@ def plan_merge_source(
     )
     on = (F.col("p._m") == F.col("a._m")) & (F.col(f"p.{KEY}") == F.col(f"a.{KEY}"))
     for i in range(len(BLANKED_CHANGE)):
-        on = on & (F.col(f"p._pb{i}") == F.col(f"a._b{i}"))
+        on = on & F.col(f"p._pb{i}").eqNullSafe(F.col(f"a._b{i}"))
     for i in range(len(PLAIN_CHANGE)):
         on = on & F.col(f"p._pd{i}").eqNullSafe(F.col(f"a._d{i}"))
-    non_qualifying = (
+    probe_total = F.col("p._m") == TOTAL
+    zero = F.lit(0).cast("decimal(38,0)")
+    per_target = (
         probes.join(wild.alias("a"), on, "left")
         .groupBy(*[F.col(f"p.{c}").alias(c) for c in PROFILE], F.col("p.order_date").alias("order_date"))
         .agg(
-            F.coalesce(F.sum("a._nw"), F.lit(0)).alias("_nq"),
-            F.coalesce(F.sum("a._nhw"), F.lit(0).cast("decimal(38,0)")).alias("_nqh"),
+            F.sum(F.when(probe_total, F.col("a._nw")).otherwise(-F.col("a._nw"))).alias("_q"),
+            F.sum(F.when(probe_total, F.col("a._nhw")).otherwise(-F.col("a._nhw"))).alias("_qh"),
         )
-    )
-    per_target = (
-        non_qualifying.join(totals, KEY)
-        .withColumn("_q", F.col("_W") - F.col("_nq"))
-        .withColumn("_qh", (F.col("_HW") - F.col("_nqh")).cast("decimal(38,0)"))
+        .withColumn("_q", F.coalesce(F.col("_q"), F.lit(0)))
+        .withColumn("_qh", F.coalesce(F.col("_qh"), zero).cast("decimal(38,0)"))
         .where(F.col("_q") >= 1)
     )
     lookup = sprof.groupBy(KEY, "_h").agg(
