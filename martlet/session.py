@@ -53,10 +53,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) is a fresh scratch folder set.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint dir
+        return configured or ""
+    current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     folder = configured or tempfile.mkdtemp(prefix="martlet-ckpt-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir() or folder
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
