@@ -21,6 +21,7 @@ Spark, so ``root`` can be any shared file system path the cluster can write
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -54,21 +55,34 @@ class Warehouse:
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def state(self) -> dict:
-        """The newest committed state (empty tables when nothing is committed)."""
+    def _newest_record_file(self) -> str | None:
+        """Newest committed record, found from the file listing alone.
+
+        Records live in ``v<seq>`` directories written by Spark jobs (a
+        directory only holds data files once its job committed), so the
+        newest is the greatest ``v<seq>`` in the listing; no record is read
+        but that one, however many runs the store has seen.
+        """
         try:
-            records = (
-                self.spark.read.schema(MANIFEST)
-                .option("recursiveFileLookup", "true")
-                .json(self.path("_manifest"))
+            files = (
+                self.spark.read.option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", "*.json")
+                .text(self.path("_manifest"))
+                .inputFiles()
             )
-            newest = records.orderBy(F.col("seq").desc()).limit(1).collect()
         except AnalysisException:
-            newest = []
-        if not newest:
+            return None
+        versioned = [(m.group(1), f) for f in files if (m := re.search(r"/v(\d{10})/[^/]+$", f))]
+        return max(versioned)[1] if versioned else None
+
+    def state(self) -> dict:
+        """The newest committed state (empty tables when nothing is committed)."""
+        newest_file = self._newest_record_file()
+        if newest_file is None:
             return {"seq": 0, "fact": {}, "staging": None, "lineage": None, "cutoff": None}
-        state = json.loads(newest[0]["state"])
-        state["seq"] = newest[0]["seq"]
+        row = self.spark.read.schema(MANIFEST).json(newest_file).first()
+        state = json.loads(row["state"])
+        state["seq"] = row["seq"]
         return state
 
     def commit(self, state: dict, note: str) -> dict:

@@ -1,0 +1,24 @@
+"""Versioned store: manifest ordering, stale commits, empty state."""
+
+import pytest
+
+from martlet.plans.warehouse import Warehouse
+
+
+def test_empty_store_has_empty_tables(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    st = wh.state()
+    assert st["seq"] == 0 and st["fact"] == {}
+    assert wh.fact(st).count() == 0 and wh.lineage(st).count() == 0 and wh.cutoffs(st).count() == 0
+
+
+def test_newest_commit_wins_and_stale_commit_fails(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    s0 = wh.state()
+    s1 = wh.commit(dict(s0, staging="a"), "first")
+    for i in range(10):
+        s1 = wh.commit(dict(s1, staging=f"b{i}"), "next")
+    assert wh.state()["seq"] == 11 and wh.state()["staging"] == "b9"
+    with pytest.raises(Exception):
+        wh.commit(dict(s0, staging="stale"), "stale writer")  # seq 1 already exists
+    assert wh.state()["staging"] == "b9"
