@@ -46,8 +46,15 @@ def stage_updates(
     initial_load: TimestampLike = INITIAL_LOAD,
 ) -> DataFrame:
     lower = F.coalesce(ts(last_cutoff), ts(initial_load))
+    upper = ts(target_cutoff)
     upd = F.col("update_date")
-    return conform(raw, STAGED_ORDER_ITEMS).where((upd >= lower) & (upd < ts(target_cutoff)))
+    window = (upd >= lower) & (upd < upper)
+    if "update_day" in raw.columns:
+        # Raw landed by update day: the same window on the partition column
+        # prunes whole day directories before any file is opened.
+        day = F.col("update_day")
+        window = window & (day >= F.to_date(lower)) & (day <= F.to_date(upper))
+    return conform(raw.where(window), STAGED_ORDER_ITEMS)
 
 
 def cutoff_value(staged: DataFrame, fact: DataFrame) -> Column:
