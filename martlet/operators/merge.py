@@ -40,6 +40,7 @@ scales with the size of the change set plus one pass over the target.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -67,14 +68,15 @@ def source_rows(staged: DataFrame, clock: TimestampLike) -> DataFrame:
     return renamed.withColumns({"dt_insert": ts(clock), "dt_update": ts(None)}).select(FACT_ORDER_DETAIL.fieldNames())
 
 
-def change_test(t: str, s: str, null_safe: bool = False) -> Column:
-    """The OR-chain of change tests between aliases ``t`` and ``s``; NULL counts as no change."""
+def change_test(t: Callable[[str], Column], s: Callable[[str], Column], null_safe: bool = False) -> Column:
+    """The OR-chain of change tests; ``t(c)`` / ``s(c)`` give the target and
+    source value of column ``c``. A NULL result counts as no change."""
     terms = []
     for c in PLAIN_CHANGE:
-        a, b = F.col(f"{t}.{c}"), F.col(f"{s}.{c}")
+        a, b = t(c), s(c)
         terms.append(~a.eqNullSafe(b) if null_safe else a != b)
     for c in BLANKED_CHANGE:
-        terms.append(F.coalesce(F.col(f"{t}.{c}"), F.lit("")) != F.coalesce(F.col(f"{s}.{c}"), F.lit("")))
+        terms.append(F.coalesce(t(c), F.lit("")) != F.coalesce(s(c), F.lit("")))
     return F.coalesce(reduce(or_, terms), F.lit(False))
 
 
@@ -143,11 +145,11 @@ def plan_merge(
     return plan_merge_source(target, source_rows(staged, clock), clock, null_safe)
 
 
-def _profile_hash(prefix: str = "") -> Column:
+def _profile_hash() -> Column:
     """64-bit hash of an update profile; a NULL and an empty string hash apart."""
     parts = []
     for c in PROFILE:
-        col = F.col(f"{prefix}{c}")
+        col = F.col(c)
         parts += [F.coalesce(col.cast("string"), F.lit("")), col.isNull()]
     return F.xxhash64(*parts)
 
@@ -281,14 +283,7 @@ def plan_merge_source(
         "left",
     )
     new = {c: F.col(f"s._new_{c}") for c in UPDATED}
-    check = F.coalesce(
-        reduce(
-            or_,
-            [(~F.col(f"t.{c}").eqNullSafe(new[c])) if null_safe else (F.col(f"t.{c}") != new[c]) for c in PLAIN_CHANGE]
-            + [F.coalesce(F.col(f"t.{c}"), F.lit("")) != F.coalesce(new[c], F.lit("")) for c in BLANKED_CHANGE],
-        ),
-        F.lit(False),
-    )
+    check = change_test(lambda c: F.col(f"t.{c}"), new.__getitem__, null_safe)
     ok = (F.col("t._q") == 1) & (F.col("s._nprof") == 1) & check
     updates = resolved.select(
         *[F.col(f"t.{c}").alias(c) for c in PROFILE],
