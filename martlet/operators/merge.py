@@ -141,8 +141,9 @@ def plan_merge(
     staged: DataFrame,
     clock: TimestampLike,
     null_safe: bool = False,
+    strategy: str = "auto",
 ) -> MergePlan:
-    return plan_merge_source(target, source_rows(staged, clock), clock, null_safe)
+    return plan_merge_source(target, source_rows(staged, clock), clock, null_safe, strategy=strategy)
 
 
 def _profile_hash() -> Column:
@@ -162,37 +163,35 @@ def _keep(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-def plan_merge_source(
-    target: DataFrame,
-    src: DataFrame,
-    clock: TimestampLike,
-    null_safe: bool = False,
-    stage=_keep,
-) -> MergePlan:
-    """``plan_merge`` for a source already in fact layout and deduplicated.
+def _hw(w: str, h: str) -> Column:
+    return F.col(w).cast("decimal(20,0)") * F.col(h).cast("decimal(20,0)")
 
-    No step pairs target rows with source rows. For each distinct target
-    profile, the number of source rows that do NOT qualify is summed with at
-    most 8 equi-join probes against per-mask source aggregates (a source
-    value that is NULL, or a target value that is NULL, makes that compared
-    column a wildcard). Qualifying rows = id total - that sum: 0 means no
-    update, 2 or more is the duplicate-update error, and for exactly 1 the
-    weighted hash sums identify the one qualifying profile, which is then
-    looked up by (id, hash) and checked against the change test.
 
-    ``stage(name, df)`` may materialise the source and target profiles (the
-    store writes them to the run folder so they are computed once).
-    """
-    src_ids = src.select(KEY).where(F.col(KEY).isNotNull()).distinct()
-    hw = lambda w, h: F.col(w).cast("decimal(20,0)") * F.col(h).cast("decimal(20,0)")
-
-    sprof = (
-        src.where(F.col(KEY).isNotNull())
-        .groupBy(*PROFILE)
-        .agg(F.count(F.lit(1)).alias("_w"))
-        .withColumn("_h", _profile_hash())
+def _updates_from(resolved: DataFrame, q: Column, ok: Column) -> DataFrame:
+    """Update rows from (t = target profile, s = resolved source profile)."""
+    return resolved.select(
+        *[F.col(f"t.{c}").alias(c) for c in PROFILE],
+        F.col("t.order_date").alias("order_date"),
+        F.when(q > 1, F.raise_error(F.format_string(DUPLICATE_UPDATE, F.col(f"t.{KEY}"))))
+        .when(~ok, F.raise_error(F.lit("merge: qualifying source row could not be resolved")))
+        .otherwise(F.lit(True))
+        .alias("_hit"),
+        *[F.col(f"s._new_{c}").alias(f"_new_{c}") for c in UPDATED],
+        F.col("s._h").alias("_src_h"),
     )
-    sprof = stage("source_profiles", sprof)
+
+
+def _direct_updates(tprof: DataFrame, sprof: DataFrame, null_safe: bool) -> DataFrame:
+    """Every id has one source profile: one equi-join, one row per target profile."""
+    s = sprof.select(KEY, "_w", "_h", *[F.col(c).alias(f"_new_{c}") for c in UPDATED]).alias("s")
+    joined = tprof.alias("t").join(s, F.col(f"t.{KEY}") == F.col(f"s.{KEY}"))
+    qualifying = joined.where(change_test(lambda c: F.col(f"t.{c}"), lambda c: F.col(f"s._new_{c}"), null_safe))
+    return _updates_from(qualifying, F.col("s._w"), F.lit(True))
+
+
+def _probe_updates(tprof: DataFrame, sprof: DataFrame, null_safe: bool) -> DataFrame:
+    """Pair-free path: probe counts and hash sums (see ``plan_merge_source``)."""
+    hw = _hw
     blanked = [F.coalesce(F.col(c), F.lit("")).alias(f"_b{i}") for i, c in enumerate(BLANKED_CHANGE)]
     n_masks = 1 if null_safe else 1 << len(PLAIN_CHANGE)
     # Mask TOTAL marginalises every compared column: the per-id totals ride
@@ -219,13 +218,6 @@ def plan_merge_source(
         .agg(F.sum("_w").alias("_nw"), F.sum(hw("_w", "_h")).alias("_nhw"))
     )
 
-    tprof = (
-        conform(target, FACT_ORDER_DETAIL)
-        .join(src_ids, KEY, "left_semi")
-        .select(*PROFILE, "order_date")
-        .distinct()
-    )
-    tprof = stage("target_profiles", tprof)
     # Probe patterns of a target profile: NULL target columns are marginalised
     # (mask), each other column matches the same value or a NULL source value;
     # one more probe (TOTAL) fetches the id's totals.
@@ -285,16 +277,63 @@ def plan_merge_source(
     new = {c: F.col(f"s._new_{c}") for c in UPDATED}
     check = change_test(lambda c: F.col(f"t.{c}"), new.__getitem__, null_safe)
     ok = (F.col("t._q") == 1) & (F.col("s._nprof") == 1) & check
-    updates = resolved.select(
-        *[F.col(f"t.{c}").alias(c) for c in PROFILE],
-        F.col("t.order_date").alias("order_date"),
-        F.when(F.col("t._q") > 1, F.raise_error(F.format_string(DUPLICATE_UPDATE, F.col(f"t.{KEY}"))))
-        .when(~ok, F.raise_error(F.lit("merge: qualifying source row could not be resolved")))
-        .otherwise(F.lit(True))
-        .alias("_hit"),
-        *[new[c].alias(f"_new_{c}") for c in UPDATED],
-        F.col("s._h").alias("_src_h"),
+    return _updates_from(resolved, F.col("t._q"), ok)
+
+
+def plan_merge_source(
+    target: DataFrame,
+    src: DataFrame,
+    clock: TimestampLike,
+    null_safe: bool = False,
+    stage=_keep,
+    strategy: str = "auto",
+) -> MergePlan:
+    """``plan_merge`` for a source already in fact layout and deduplicated.
+
+    No step pairs target rows with source rows. For each distinct target
+    profile, the number of source rows that do NOT qualify is summed with at
+    most 8 equi-join probes against per-mask source aggregates (a source
+    value that is NULL, or a target value that is NULL, makes that compared
+    column a wildcard). Qualifying rows = id total - that sum: 0 means no
+    update, 2 or more is the duplicate-update error, and for exactly 1 the
+    weighted hash sums identify the one qualifying profile, which is then
+    looked up by (id, hash) and checked against the change test.
+
+    ``stage(name, df)`` may materialise the source and target profiles (the
+    store writes them to the run folder so they are computed once).
+
+    ``strategy``: "probe" is the path above; "direct" joins target profiles
+    to the source profile of their id and is valid only when no id has two
+    source profiles; "auto" (default) runs a one-row control query for that
+    condition and picks "direct" when it holds (the usual case: one staged
+    version per id), "probe" otherwise.
+    """
+    src_ids = src.select(KEY).where(F.col(KEY).isNotNull()).distinct()
+
+    sprof = (
+        src.where(F.col(KEY).isNotNull())
+        .groupBy(*PROFILE)
+        .agg(F.count(F.lit(1)).alias("_w"))
+        .withColumn("_h", _profile_hash())
     )
+    sprof = stage("source_profiles", sprof)
+    tprof = (
+        conform(target, FACT_ORDER_DETAIL)
+        .join(src_ids, KEY, "left_semi")
+        .select(*PROFILE, "order_date")
+        .distinct()
+    )
+    tprof = stage("target_profiles", tprof)
+    if strategy == "auto":
+        multi = sprof.groupBy(KEY).count().where(F.col("count") > 1).limit(1).count()
+        strategy = "probe" if multi else "direct"
+    if strategy == "direct":
+        updates = _direct_updates(tprof, sprof, null_safe)
+    elif strategy == "probe":
+        updates = _probe_updates(tprof, sprof, null_safe)
+    else:
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+
     # The semi-joined target profiles hold exactly the matched ids, so the
     # anti-join never needs the whole fact as its build side.
     matched_ids = tprof.select(KEY).distinct()

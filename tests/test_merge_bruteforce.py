@@ -80,8 +80,9 @@ def reference(target, staged, null_safe):
     return Counter(tuple(r[c] for c in FACT_COLS) for r in out), counts
 
 
+@pytest.mark.parametrize("strategy", ["auto", "probe"])
 @pytest.mark.parametrize("seed", range(24))
-def test_random_merge_matches_reference(spark, seed):
+def test_random_merge_matches_reference(spark, seed, strategy):
     rng = random.Random(seed)
     null_safe = seed % 4 == 3
     target_raw = [rand_raw(rng) for _ in range(rng.randint(0, 6))]
@@ -93,9 +94,9 @@ def test_random_merge_matches_reference(spark, seed):
         expected, counts = reference(target, staged, null_safe)
     except ValueError:
         with pytest.raises(PySparkException):
-            plan_merge(target_df, staged_df, CLOCK, null_safe).apply(target_df).collect()
+            plan_merge(target_df, staged_df, CLOCK, null_safe, strategy).apply(target_df).collect()
         return
-    plan = plan_merge(target_df, staged_df, CLOCK, null_safe)
+    plan = plan_merge(target_df, staged_df, CLOCK, null_safe, strategy)
     got = Counter(tuple(r) for r in plan.apply(target_df).collect())
     assert got == expected
     assert tuple(plan.counts().first()) == counts
