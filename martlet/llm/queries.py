@@ -8,10 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm import oracle
 from martlet.llm._io import table
+from martlet.llm.decontaminate import contamination_digest
+from martlet.llm.langid import language_digest
+from martlet.llm.mix import mix_digest
 from martlet.llm.shard import sharded_digest
 from martlet.llm.urls import judged_pages
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_digest(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded_digest(table(spark, sf_dir, "documents"))
 
@@ -22,6 +37,9 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mixing": op1_mixing,
+        "op4_decontamination": op4_decontamination,
+        "op5_language_id": op5_language_id,
         "op7_sharding": op7_sharding,
         "op10_url_filters": op10_url_filters,
     }
