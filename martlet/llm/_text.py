@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; one longer text is a piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 
 def pieces(batches, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:

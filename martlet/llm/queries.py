@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.llm import oracle
 from martlet.llm._io import table
+from martlet.llm.ann import nearest_digest
 from martlet.llm.decontaminate import contamination_digest
+from martlet.llm.html import extracted_pages
 from martlet.llm.langid import language_digest
 from martlet.llm.mix import mix_digest
 from martlet.llm.shard import sharded_digest
+from martlet.llm.toxicity import toxicity_digest
 from martlet.llm.urls import judged_pages
 
 
@@ -19,6 +22,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,6 +38,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_digest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -38,9 +53,12 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op3_toxicity": op3_toxicity,
         "op4_decontamination": op4_decontamination,
         "op5_language_id": op5_language_id,
         "op7_sharding": op7_sharding,
+        "op8_html_extraction": op8_html_extraction,
+        "op9_nearest_neighbours": op9_nearest_neighbours,
         "op10_url_filters": op10_url_filters,
     }
 
