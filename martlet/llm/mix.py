@@ -176,7 +176,7 @@ class Mix:
         """(pos, taken): the words that the mix takes of each row it takes from."""
         drawn = self.slots().groupBy("rank", "block").agg(F.count("*").alias("times"))
         return (
-            self.segments.join(drawn, ["rank", "block"])
+            self.segments.hint("merge").join(drawn, ["rank", "block"])
             .groupBy("pos")
             .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
         )
@@ -184,7 +184,7 @@ class Mix:
     def passages(self) -> DataFrame:
         """(pos, pass, parts, words): the word ranges taken of a row in one pass."""
         return (
-            self.segments.join(self.slots().select("rank", "block", "pass"), ["rank", "block"])
+            self.segments.hint("merge").join(self.slots().select("rank", "block", "pass"), ["rank", "block"])
             .groupBy("pos", "pass")
             .agg(
                 F.sort_array(F.collect_list(F.struct("first", "words"))).alias("parts"),
@@ -202,7 +202,7 @@ def mixed_texts(documents: DataFrame, **params) -> DataFrame:
     """
     records = documents.withColumn("size", word_count(F.col("text")))
     mix = Mix(records, **params)
-    joined = mix.rows.join(mix.passages(), "pos")
+    joined = mix.rows.hint("merge").join(mix.passages(), "pos")
 
     def cut(words):
         return F.flatten(F.transform(F.col("parts"), lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int"))))
@@ -224,7 +224,7 @@ def mix_digest(documents: DataFrame) -> DataFrame:
     of_source = mix.sources.select(F.col("source").alias("_s"), "source_size", "target")
     return (
         mix.rows.join(of_source, F.col("source").eqNullSafe(F.col("_s")))
-        .join(mix.taken(), "pos", "left")
+        .join(mix.taken().hint("merge"), "pos", "left")
         .select(
             "doc_id",
             "size",

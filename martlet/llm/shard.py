@@ -76,7 +76,7 @@ def shuffle_into_shards(
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy("h", "pos"))
     return (
         rows.withColumn("rank", rank)
-        .join(draws, "bucket")
+        .join(draws.hint("merge"), "bucket")
         .select(
             "rec.*",
             F.col("s").alias(shard_col),
