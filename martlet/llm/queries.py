@@ -11,6 +11,7 @@ from martlet.llm._io import table
 from martlet.llm.ann import nearest_digest
 from martlet.llm.decontaminate import contamination_digest
 from martlet.llm.html import extracted_pages
+from martlet.llm.jaccard import jaccard_digest
 from martlet.llm.langid import language_digest
 from martlet.llm.mix import mix_digest
 from martlet.llm.shard import sharded_digest
@@ -22,6 +23,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +58,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
+        "op2_jaccard_join": op2_jaccard_join,
         "op3_toxicity": op3_toxicity,
         "op4_decontamination": op4_decontamination,
         "op5_language_id": op5_language_id,
