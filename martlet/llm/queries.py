@@ -15,6 +15,7 @@ from martlet.llm.jaccard import jaccard_digest
 from martlet.llm.langid import language_digest
 from martlet.llm.mix import mix_digest
 from martlet.llm.shard import sharded_digest
+from martlet.llm.substrings import substring_digest
 from martlet.llm.toxicity import toxicity_digest
 from martlet.llm.urls import judged_pages
 
@@ -39,6 +40,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded_digest(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_decontamination": op4_decontamination,
         "op5_language_id": op5_language_id,
+        "op6_suffix_array_dedup": op6_suffix_array_dedup,
         "op7_sharding": op7_sharding,
         "op8_html_extraction": op8_html_extraction,
         "op9_nearest_neighbours": op9_nearest_neighbours,
