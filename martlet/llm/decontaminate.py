@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.llm._io import Scratch
+from martlet.llm._io import Scratch, set_aside
 from martlet.llm._text import pieces, with_columns
 
 WINDOW = 10
@@ -162,7 +162,8 @@ def find_benchmark(
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a single hit, their columns unchanged."""
-    return find_benchmark(docs, benchmark, docs.columns).filter(F.size("hits") == 0).select(*docs.columns)
+    docs, back = set_aside(docs, "text")
+    return back(find_benchmark(docs, benchmark, docs.columns).filter(F.size("hits") == 0))
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from martlet.llm._graph import components
 from martlet.llm._hash import mix, scaled, set_keys, shingle_sets, word_hashes
-from martlet.llm._io import Scratch
+from martlet.llm._io import Scratch, set_aside
 from martlet.llm._text import joined_bytes, pieces, with_columns
 
 WIDTH = 4
@@ -302,12 +302,12 @@ def jaccard_digest(documents: DataFrame) -> DataFrame:
 
 def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those linked to one of smaller id; texts without words and rows without an id all stay."""
-    join = Join(documents, width=width, percent=percent)
+    docs, back = set_aside(documents, "doc_id", "text")
+    join = Join(docs, width=width, percent=percent)
     stay = join.nodes.filter("rep = component_id").select("node", "rep")
-    rows = keyed(documents.drop("n_shingles", "node"), [c for c in documents.columns if c not in ("n_shingles", "node")], width)
+    rows = keyed(docs, docs.columns, width)
     empty = rows.filter((F.col("n_shingles") == 0) | F.col("doc_id").isNull())
     kept = rows.filter("n_shingles > 0").join(
         stay.hint("merge"), (rows["node"] == stay["node"]) & (rows["doc_id"] == stay["rep"]), "left_semi"
     )
-    columns = [c for c in documents.columns if c not in ("n_shingles", "node")]
-    return kept.dropDuplicates(["doc_id", "node"]).unionByName(empty).select(*columns)
+    return back(kept.dropDuplicates(["doc_id", "node"]).unionByName(empty))

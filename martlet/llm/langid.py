@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martlet.llm._io import set_aside
 from martlet.llm._text import pieces, span_sums, with_columns
 
 ORDERS = 3
@@ -162,7 +163,6 @@ def language_digest(documents: DataFrame) -> DataFrame:
 def identified_documents(documents: DataFrame) -> DataFrame:
     """The documents whose language is found with ``KEEP_SCORE`` or more, columns unchanged."""
     model = train(training_rows(documents, F.lit(True)))
-    scored = identify(documents.drop("lang_pred", "score"), model, [c for c in documents.columns if c not in ("lang_pred", "score")])
-    return scored.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= KEEP_SCORE)).select(
-        *[c for c in documents.columns if c in scored.columns]
-    )
+    docs, back = set_aside(documents, "text")
+    scored = identify(docs, model, docs.columns)
+    return back(scored.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= KEEP_SCORE)))

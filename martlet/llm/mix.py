@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.llm._io import Scratch
+from martlet.llm._io import Scratch, set_aside
 
 #: A word, as the sizes count them.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -200,8 +200,8 @@ def mixed_texts(documents: DataFrame, **params) -> DataFrame:
     taken words follow each other with one space. ``n_chars`` is recounted when
     the input has it; the other columns are kept.
     """
-    records = documents.withColumn("size", word_count(F.col("text")))
-    mix = Mix(records, **params)
+    docs, back = set_aside(documents, "doc_id", "source", "text", "n_chars")
+    mix = Mix(docs.withColumn("size", word_count(F.col("text"))), **params)
     joined = mix.rows.hint("merge").join(mix.passages(), "pos")
 
     def cut(words):
@@ -214,7 +214,7 @@ def mixed_texts(documents: DataFrame, **params) -> DataFrame:
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length("text").cast(kind))
-    return out.select(*documents.columns)
+    return back(out)
 
 
 def mix_digest(documents: DataFrame) -> DataFrame:
