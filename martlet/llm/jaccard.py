@@ -12,12 +12,14 @@ A signature over no shingles at all would join strangers. Each tag has
 parts that yield an empty signature can leave those out without losing a
 partner; the few sets with more keep them all.
 
-Signatures that two nodes share make groups. In rounds, each node is compared
-with one member of a group that is not yet in its component; links are checked
-exactly on the whole sets and merged into components. When few pairs across
-components remain, all of them are compared, so no link that joins two
-components is missed. Neither copies nor near copies are expanded into all
-pairs of a group.
+Signatures that two nodes share make groups. In a first round each node is
+compared with the most central member of its groups, which joins most near
+copies; links are checked exactly on the whole sets and merged into
+components. Then every pair that shares a group across components is compared,
+so no link that joins two components is missed: groups of up to ``SMALL``
+members as pairs, larger ones joined into clusters whose nodes are dealt to
+blocks, block against block, each compared inside one task. Neither copies nor
+near copies are expanded into all pairs of a group.
 
 Sets, nodes and signatures are 64-bit hashes. Defined cases: null and blank
 texts have no shingles and are linked with nothing; fewer words than a shingle
@@ -28,6 +30,7 @@ component but name none; an empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +46,10 @@ WIDTH = 4
 PERCENT = 85
 #: First-level parts beyond those that the pigeonhole needs.
 SPARE = 3
-ROUNDS = 8
+#: Members of a group whose pairs are listed one by one.
+SMALL = 16
+#: Nodes of one block of a cluster, and shingles counted at once in it.
+BLOCK, COLUMNS = 256, 4096
 #: Nodes whose signatures a task remembers to have sent.
 SEEN = 500_000
 _PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -209,8 +215,13 @@ class Join:
         self.rows = self.scratch.keep(keyed(base, ["id"], width), "rows")
         reps = self.rows.filter("n_shingles > 0").groupBy("node").agg(F.min("id").alias("rep"))
         shared = self.scratch.keep(_shared(_signature_rows(base, width, percent)), "shared")
-        groups = shared.join(reps.hint("merge"), "node").filter(F.col("rep").isNotNull()).withColumn("label", F.col("rep"))
-        groups = self.scratch.keep(groups.select("sig", "node", "rep", "label"), "groups-0")
+        groups = shared.join(reps.hint("merge"), "node").filter(F.col("rep").isNotNull())
+        sizes = groups.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
+        groups = groups.join(sizes.hint("merge"), "sig")
+        # How many members a node meets over all of its groups.
+        central = groups.groupBy("node").agg(F.sum("n").alias("score"))
+        groups = groups.join(central.hint("merge"), "node").select("sig", "n", "node", "rep", "score", F.col("rep").alias("label"))
+        groups = self.scratch.keep(groups, "groups-0")
         self.scratch.drop("shared")
         wanted = groups.select("node", F.col("rep").alias("id")).distinct()
         # One row for each node: equal ids with equal texts would bring it twice.
@@ -223,70 +234,117 @@ class Join:
 
     def _links(self, groups: DataFrame) -> DataFrame:
         """Links (a, b) between smallest ids that connect every component."""
-        found = None
-        for r in range(ROUNDS + 1):
-            sizes = groups.groupBy("sig", "label").agg(F.count("*").alias("n"))
-            open_groups = (
-                sizes.groupBy("sig")
-                .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.count("*").alias("labels"))
-                .filter("labels > 1")
-            )
-            left = open_groups.agg(
-                F.count("*").alias("g"), F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("pairs"), F.sum("n").alias("n")
-            ).first()
-            if not left["g"]:
-                break
-            last = r == ROUNDS or left["pairs"] <= 2 * left["n"]
-            groups = groups.join(open_groups.select("sig"), "sig", "left_semi")
-            pairs = self._all_pairs(groups) if last else self._one_each(groups, r)
-            checked = self.scratch.keep(self._similar(pairs), f"links-{r}")
-            found = checked if found is None else found.unionByName(checked)
-            if last:
-                break
-            merged = components(checked.select(F.col("la").alias("a"), F.col("lb").alias("b")), self.scratch, f"merge-{r}")
-            relabelled = (
-                groups.join(merged.withColumnRenamed("label", "new"), groups["label"] == merged["node"], "left")
-                .select("sig", groups["node"], "rep", F.coalesce("new", "label").alias("label"))
-            )
-            groups = self.scratch.keep(relabelled, f"groups-{r + 1}")
-            self.scratch.drop(f"groups-{r}")
-        if found is None:
-            return groups.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
-        return found.select("a", "b")
+        first = self.scratch.keep(self._similar(self._central(groups)), "links-0").select("a", "b")
+        merged = components(first, self.scratch, "merge")
+        labels = groups.join(merged.withColumnRenamed("label", "new").hint("merge"), groups["rep"] == merged["node"], "left")
+        groups = labels.select("sig", "n", groups["node"], "rep", F.coalesce("new", "label").alias("label"))
+        groups = self.scratch.keep(groups, "groups-1")
+        open_groups = groups.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+        groups = groups.join(open_groups.select("sig").hint("merge"), "sig", "left_semi")
+        small = self._similar(self._all_pairs(groups.filter(F.col("n") <= SMALL))).select("a", "b")
+        large = self._in_blocks(groups.filter(F.col("n") > SMALL))
+        rest = self.scratch.keep(small.unionByName(large), "links-1")
+        return first.unionByName(rest)
 
     @staticmethod
-    def _one_each(groups: DataFrame, r: int) -> DataFrame:
-        """For each node the member of another component that comes first in this round's order."""
-        mark = F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node", "rep", "label")
-        firsts = groups.groupBy("sig").agg(F.min(mark).alias("p"))
-        return (
-            groups.join(firsts.hint("merge"), "sig")
-            .filter("label <> p.label")
-            .groupBy("node", "rep", "label")
-            .agg(F.min("p").alias("p"))
-            .select("node", "rep", "label", F.col("p.node").alias("node2"), F.col("p.rep").alias("rep2"), F.col("p.label").alias("label2"))
+    def _central(groups: DataFrame) -> DataFrame:
+        """For each node the most central member of its groups: of those that lead
+        a group, the one that leads most of them."""
+        lead = F.struct("score", "node", "rep")
+        leaders = groups.groupBy("sig").agg(F.max(lead).alias("p"))
+        named = (
+            groups.join(leaders.hint("merge"), "sig")
+            .filter("node <> p.node")
+            .groupBy("node", "rep", F.col("p.node").alias("node2"), F.col("p.rep").alias("rep2"))
+            .agg(F.count("*").alias("led"))
         )
+        best = F.max(F.struct("led", "node2", "rep2")).alias("p")
+        return named.groupBy("node", "rep").agg(best).select("node", "rep", "p.node2", "p.rep2")
 
     @staticmethod
     def _all_pairs(groups: DataFrame) -> DataFrame:
-        """The pairs that share a group across components; the rounds before leave few."""
-        other = groups.select("sig", F.col("node").alias("node2"), F.col("rep").alias("rep2"), F.col("label").alias("label2"))
-        return groups.join(other.hint("merge"), "sig").filter("label < label2").drop("sig").distinct()
+        """The pairs across components that share one of these groups of bounded size."""
+        one = groups.select("sig", "node", "rep", "label")
+        two = groups.select("sig", F.col("node").alias("node2"), F.col("rep").alias("rep2"), F.col("label").alias("label2"))
+        pairs = one.join(two.hint("merge"), "sig").filter("label < label2")
+        return pairs.select("node", "rep", "node2", "rep2").distinct()
+
+    def _in_blocks(self, groups: DataFrame) -> DataFrame:
+        """Links (a, b) within the clusters that the large groups make, block against block."""
+        heads = groups.groupBy("sig").agg(F.min("rep").alias("b"))
+        stars = groups.join(heads.hint("merge"), "sig").select(F.col("rep").alias("a"), "b")
+        cluster = components(stars, self.scratch, "clusters").select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
+        members = groups.select("node", "rep", "label").distinct().join(cluster.hint("merge"), "rep")
+        sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        own = F.pmod(F.xxhash64(F.lit(29), "node"), F.col("blocks")).cast("int")
+        dealt = (
+            members.join(sizes.hint("merge"), "cluster")
+            .withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "rep", "label")
+        )
+        percent = self.percent
+
+        def compare(rows: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame(block_links(rows, percent), columns=["a", "b"])
+
+        kind = groups.schema["rep"].dataType.simpleString()
+        return (
+            dealt.join(self.sets.hint("merge"), "node")
+            .groupBy("cluster", "i", "j")
+            .applyInPandas(compare, f"a {kind}, b {kind}")
+        )
 
     def _similar(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose whole sets are similar enough, as (a, b, la, lb)."""
+        """The pairs whose whole sets are similar enough, as (a, b)."""
         one = self.sets.select("node", F.col("members").alias("m1"))
         two = self.sets.select(F.col("node").alias("node2"), F.col("members").alias("m2"))
-        both = F.size(F.array_intersect("m1", "m2"))
         return (
             pairs.join(one.hint("merge"), "node")
             .join(two.hint("merge"), "node2")
-            .withColumn("both", both)
+            .withColumn("both", F.size(F.array_intersect("m1", "m2")))
             .filter(F.col("both") * 100 >= (F.size("m1") + F.size("m2") - F.col("both")) * self.percent)
-            .select(F.col("rep").alias("a"), F.col("rep2").alias("b"), F.col("label").alias("la"), F.col("label2").alias("lb"))
+            .select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
         )
 
 
+def block_links(rows: pd.DataFrame, percent: int) -> list[tuple]:
+    """Links across components among some nodes (rep, label, members): enough to
+    connect whatever the similar pairs among them connect."""
+    sizes = rows["members"].map(len).to_numpy()
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    _, shingle, times = np.unique(np.concatenate(rows["members"].to_numpy()), return_inverse=True, return_counts=True)
+    # Shingles of one node only are in no intersection.
+    number = np.cumsum(times > 1) - 1
+    held = (times > 1)[shingle]
+    owner, shingle = owner[held], number[shingle[held]]
+    order = np.argsort(shingle, kind="stable")
+    owner, shingle = owner[order], shingle[order]
+    both = np.zeros((len(rows), len(rows)), dtype=np.float32)
+    for at in range(0, int(number[-1]) + 1, COLUMNS):
+        a, b = np.searchsorted(shingle, [at, at + COLUMNS])
+        has = np.zeros((len(rows), COLUMNS), dtype=np.float32)
+        has[owner[a:b], shingle[a:b] - at] = 1
+        both += has @ has.T
+    both = both.astype(np.int64)
+    union = sizes[:, None] + sizes[None, :] - both
+    parent = {x: x for x in rows["label"]}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    label, rep, links = rows["label"].to_numpy(), rows["rep"].to_numpy(), []
+    for i, j in zip(*np.nonzero(np.triu(100 * both >= percent * union, 1))):
+        x, y = root(label[i]), root(label[j])
+        if x != y:
+            parent[x] = y
+            links.append((rep[i], rep[j]))
+    return links
+
+
 def jaccard_digest(documents: DataFrame) -> DataFrame:
     """``op2``: set size and component of every document."""
     join = Join(documents)
