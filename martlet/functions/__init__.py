@@ -1,33 +1 @@
 """Column expressions shared by the marts (all JVM-side built-ins)."""
-
-from martlet.functions.calendar import (
-    in_period,
-    month_name,
-    month_start,
-    year_month,
-)
-from martlet.functions.measures import (
-    contribution_profit,
-    gross_profit,
-    money,
-    net_revenue,
-    numeric_avg,
-    numeric_quotient,
-    safe_pct,
-    safe_ratio,
-)
-
-__all__ = [
-    "contribution_profit",
-    "gross_profit",
-    "in_period",
-    "money",
-    "month_name",
-    "month_start",
-    "net_revenue",
-    "numeric_avg",
-    "numeric_quotient",
-    "safe_pct",
-    "safe_ratio",
-    "year_month",
-]

@@ -1,42 +1,2 @@
 """DataFrame -> DataFrame builders: reporting marts, dashboards, dimensions,
 feed unification, the change window and the merge upsert."""
-
-from martlet.operators.channels import channel_performance
-from martlet.operators.daily_sales import daily_sales
-from martlet.operators.dashboards import (
-    channel_partner_matrix,
-    daily_heatmap,
-    partner_contribution,
-    rolling_12m_revenue,
-    top_products,
-)
-from martlet.operators.dimensions import dim_channel, dim_product
-from martlet.operators.executive import executive_kpis, executive_kpis_simple
-from martlet.operators.merge import MergePlan, merge_upsert, plan_merge
-from martlet.operators.pricing import pricing_analysis
-from martlet.operators.products import product_performance
-from martlet.operators.staging import advance_cutoff, row_count_audit, stage_updates
-from martlet.operators.unify import unify_channels
-
-__all__ = [
-    "MergePlan",
-    "advance_cutoff",
-    "channel_partner_matrix",
-    "channel_performance",
-    "daily_heatmap",
-    "daily_sales",
-    "dim_channel",
-    "dim_product",
-    "executive_kpis",
-    "executive_kpis_simple",
-    "merge_upsert",
-    "partner_contribution",
-    "plan_merge",
-    "pricing_analysis",
-    "product_performance",
-    "rolling_12m_revenue",
-    "row_count_audit",
-    "stage_updates",
-    "top_products",
-    "unify_channels",
-]

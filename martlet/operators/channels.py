@@ -12,28 +12,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, month_start, year_month
-from martlet.functions.measures import (
-    contribution_profit_cents,
-    gross_profit_cents,
-    money,
-    net_revenue_cents,
-    safe_pct,
-    safe_ratio,
-    sum_money,
-)
+from martlet.functions.measures import Lines, money, safe_pct, safe_ratio
 from martlet.operators._common import day_col, order_lines
 
+# Columns of ``order_details`` that the mart reads.
+COLUMNS = (
+    "order_id", "customer_id", "order_date", "transaction_type", "marketing_channel", "adjusted_quantity",
+    "line_revenue", "line_discount", "cost", "allocated_shipping", "allocated_duties",
+)
+
 
 def channel_performance(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     lines = order_lines(od, start, end)
+    m = Lines(lines)
     # Group by the month's first day (a 4-byte date) and format after.
     monthly = lines.groupBy(month_start(day_col(lines)).alias("_month"), "marketing_channel").agg(
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("adjusted_quantity").alias("units_sold"),
-        sum_money(net_revenue_cents()).alias("_net"),
-        sum_money(gross_profit_cents()).alias("_gp"),
-        sum_money(contribution_profit_cents()).alias("_cp"),
+        m.total(m.net).alias("_net"),
+        m.total(m.gross_profit).alias("_gp"),
+        m.total(m.contribution_profit).alias("_cp"),
     )
     return monthly.select(
         year_month(F.col("_month")).alias("year_month"),

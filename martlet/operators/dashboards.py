@@ -13,19 +13,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, month_start
-from martlet.functions.measures import (
-    contribution_profit_cents,
-    gross_profit_cents,
-    money,
-    net_revenue_cents,
-    safe_pct,
-    safe_ratio,
-    sum_money,
-)
+from martlet.functions.measures import Lines, money, safe_pct, safe_ratio
 from martlet.operators._common import day_col, order_lines
 from martlet.operators.daily_sales import DIRECT
 from martlet.operators.products import product_performance
 
+# Columns of ``order_details`` that each data set reads.
+ROLLING_COLUMNS = ("order_date", "transaction_type", "line_revenue", "line_discount")
+HEATMAP_COLUMNS = (*ROLLING_COLUMNS, "order_id", "adjusted_quantity")
+PARTNER_COLUMNS = (
+    *ROLLING_COLUMNS, "order_id", "partner_name", "adjusted_quantity", "cost", "allocated_shipping", "allocated_duties",
+)
+MATRIX_COLUMNS = (*PARTNER_COLUMNS, "marketing_channel")
+
 HEATMAP_DAYS = 30
 TOP_N = 10
 ROLLING_MONTHS = 12
@@ -34,15 +34,16 @@ ROLLING_MONTHS = 12
 def rolling_12m_revenue(od: DataFrame, start: DateLike, end: DateLike, months: int = ROLLING_MONTHS) -> DataFrame:
     """Monthly net revenue with the sum over the trailing ``months`` calendar months."""
     lines = order_lines(od, start, end)
+    m = Lines(lines)
     monthly = lines.groupBy(month_start(day_col(lines)).alias("month")).agg(
-        sum_money(net_revenue_cents()).alias("net_revenue")
+        m.total(m.net).alias("net_revenue")
     )
     idx = F.year("month") * 12 + F.month("month")
     trailing = Window.orderBy(idx).rangeBetween(-(months - 1), 0)
     return monthly.select(
         "month",
         "net_revenue",
-        F.sum("net_revenue").over(trailing).cast("decimal(38,2)").alias("rolling_12m_net_revenue"),
+        F.sum("net_revenue").over(trailing).cast(monthly.schema["net_revenue"].dataType).alias("rolling_12m_net_revenue"),
         F.count(F.lit(1)).over(trailing).cast("bigint").alias("months_in_window"),
     )
 
@@ -55,13 +56,14 @@ def top_products(od: DataFrame, start: DateLike, end: DateLike, n: int = TOP_N)
 def channel_partner_matrix(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Profitability against order value per channel and partner."""
     lines = order_lines(od, start, end)
+    m = Lines(lines)
     g = lines.groupBy(
         "marketing_channel", F.coalesce(F.col("partner_name"), F.lit(DIRECT)).alias("partner_name")
     ).agg(
         F.count_distinct("order_id").alias("_orders"),
-        sum_money(net_revenue_cents()).alias("_net"),
-        sum_money(gross_profit_cents()).alias("_gp"),
-        sum_money(contribution_profit_cents()).alias("_cp"),
+        m.total(m.net).alias("_net"),
+        m.total(m.gross_profit).alias("_gp"),
+        m.total(m.contribution_profit).alias("_cp"),
     )
     return g.select(
         "marketing_channel",
@@ -76,16 +78,20 @@ def channel_partner_matrix(od: DataFrame, start: DateLike, end: DateLike) -> Dat
 
 
 def daily_heatmap(od: DataFrame, start: DateLike, end: DateLike, days: int = HEATMAP_DAYS) -> DataFrame:
-    """Daily totals for the last ``days`` calendar days up to the newest sale."""
+    """Daily totals for the last ``days`` calendar days up to the newest sale.
+
+    The newest day is a scalar subquery over two columns; the day filter then
+    cuts the lines before the distinct count.
+    """
     lines = order_lines(od, start, end)
-    daily = lines.groupBy(day_col(lines).alias("order_date")).agg(
-        sum_money(net_revenue_cents()).alias("_net"),
+    newest = lines.agg(F.max(day_col(lines))).scalar()
+    lines = lines.where(day_col(lines) > F.date_sub(newest, days))
+    m = Lines(lines)
+    recent = lines.groupBy(day_col(lines).alias("order_date")).agg(
+        m.total(m.net).alias("_net"),
         F.count_distinct("order_id").alias("_orders"),
         F.sum("adjusted_quantity").alias("_units"),
     )
-    everything = Window.orderBy("order_date").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    newest = F.max("order_date").over(everything)
-    recent = daily.withColumn("_newest", newest).where(F.col("order_date") > F.date_sub("_newest", days))
     d = F.col("order_date")
     return recent.select(
         d,
@@ -102,10 +108,11 @@ def partner_contribution(od: DataFrame, start: DateLike, end: DateLike) -> DataF
     """Partners ranked by contribution profit (the README's ROI question; no
     spend data exists, so contribution stands in for return)."""
     lines = order_lines(od, start, end)
+    m = Lines(lines)
     g = lines.groupBy(F.coalesce(F.col("partner_name"), F.lit(DIRECT)).alias("partner_name")).agg(
         F.count_distinct("order_id").alias("_orders"),
-        sum_money(net_revenue_cents()).alias("_net"),
-        sum_money(contribution_profit_cents()).alias("_cp"),
+        m.total(m.net).alias("_net"),
+        m.total(m.contribution_profit).alias("_cp"),
     )
     ranked = Window.orderBy(F.col("_cp").desc())
     return g.select(

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, as_date, month_start
-from martlet.functions.measures import gross_profit_cents, money, net_revenue_cents, sum_money, unrounded_pct
+from martlet.functions.measures import Lines, money, unrounded_pct
 from martlet.operators._common import day_col, order_lines
 
+# Columns of ``order_details`` that the mart reads.
+COLUMNS = ("order_id", "customer_id", "order_date", "transaction_type", "adjusted_quantity", "line_revenue", "line_discount", "cost")
 # Fixed labels.
 CURRENT_MONTH, PREVIOUS_MONTH, YEAR_AGO, HISTORICAL = "Current Month", "Previous Month", "Year Ago", "Historical"
 CURRENT, PREVIOUS = "Current", "Previous"
@@ -23,9 +25,10 @@ CURRENT, PREVIOUS = "Current", "Previous"
 
 def _monthly(od: DataFrame, start: DateLike, end: DateLike, *extra) -> DataFrame:
     lines = order_lines(od, start, end)
+    m = Lines(lines)
     return lines.groupBy(month_start(day_col(lines)).alias("month")).agg(
-        sum_money(net_revenue_cents()).alias("_net"),
-        sum_money(gross_profit_cents()).alias("_gp"),
+        m.total(m.net).alias("_net"),
+        m.total(m.gross_profit).alias("_gp"),
         F.sum("adjusted_quantity").cast("bigint").alias("units_sold"),
         F.count_distinct("customer_id").cast("bigint").alias("unique_customers"),
         *extra,
@@ -33,12 +36,12 @@ def _monthly(od: DataFrame, start: DateLike, end: DateLike, *extra) -> DataFrame
 
 
 def executive_kpis(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
-    m = _monthly(od, start, end)
+    monthly = _monthly(od, start, end)
     by_month = Window.orderBy("month")
     everything = by_month.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    net = F.col("_net").cast("decimal(38,2)")
+    net = F.col("_net")
     units = F.col("units_sold")
-    with_lag = m.select(
+    with_lag = monthly.select(
         "month",
         "_net",
         "_gp",
@@ -80,14 +83,14 @@ def executive_kpis_simple(
     current_month: DateLike,
     previous_month: DateLike,
 ) -> DataFrame:
-    m = _monthly(od, start, end, F.count_distinct("order_id").cast("bigint").alias("order_count"))
+    monthly = _monthly(od, start, end, F.count_distinct("order_id").cast("bigint").alias("order_count"))
     month = F.col("month")
     period = (
         F.when(month == F.lit(as_date(current_month)), CURRENT)
         .when(month == F.lit(as_date(previous_month)), PREVIOUS)
         .otherwise(HISTORICAL)
     )
-    return m.select(
+    return monthly.select(
         "month",
         money("_net", 0).alias("net_revenue"),
         money("_gp", 0).alias("gross_profit"),

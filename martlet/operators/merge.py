@@ -1,358 +1,164 @@
-"""Conditional upsert of staged rows into the fact table (P9).
-
-Semantics (SCD type 1 on the listed columns):
-  * source = DISTINCT staged rows (exact copies collapse; repeated ids stay);
-  * a target row matches a source row on ``detail_id`` (NULL never matches);
-  * a match updates only if the change test is TRUE:
-        t.financial_status <> s.financial_status
-     OR t.fulfillment_status <> s.fulfillment_status
-     OR COALESCE(t.discount_code, '') <> COALESCE(s.discount_codes, '')
-     OR COALESCE(t.marketing_channel, '') <> COALESCE(s.channel, '')
-     OR COALESCE(t.partner, '') <> COALESCE(s.partner_name, '')
-     OR t.update_date <> s.update_date
-    (three-valued: a NULL status against a value is not a change unless
-    ``null_safe=True``);
-  * an update sets the two statuses, code, channel, partner, update_date and
-    ``dt_update = clock``; every other column, ``dt_insert`` included, keeps
-    the target value;
-  * a source row whose id matches no target row is inserted with
-    ``dt_insert = clock``, ``dt_update = NULL`` (two such rows with one id are
-    both inserted); target rows absent from the source are kept;
-  * two source rows that would both update one target row are an error.
-
-Plan. Matching is done on *profiles*, not on rows: target rows are first
-semi-joined to the staged ids and reduced to distinct (id, compared columns,
-order_date) profiles; source rows to distinct (id, update columns) profiles
-with a row-count weight. Target and source profiles are never paired: the
-count of qualifying source rows per target profile comes from at most 8
-equi-join probes into per-mask source aggregates (see ``plan_merge_source``),
-so a hot id with many copies or variants on either side costs a bounded
-number of rows per profile, and the duplicate-update error is a count.
-Updates are applied back with one equi-join on the profile key (broadcast
-when Spark measures it small, shuffled otherwise); inserts are an anti-join
-on the matched ids, which the profile step already found, so the fact is
-scanned twice per merge (id+profile columns for matching, whole rows of the
-touched months for the rewrite) and never used as a broadcast or shuffle
-build side for the id lookup. Each step is an ordinary shuffle or broadcast join, so the merge
-scales with the size of the change set plus one pass over the target.
+"""Conditional upsert of staged rows into a target table (P9).
+
+Defined for any table by its keys, the columns whose change makes an update,
+the columns an update sets, and the two stamp columns:
+
+* the source is the set of distinct staged rows, under the target's names;
+* rows match on the keys; a NULL key matches nothing;
+* a match is an update when some compared column differs. A column with a
+  default is compared with the default in place of NULL; without one, NULL
+  against anything is no difference, unless ``null_safe``;
+* an update sets the update columns and the update stamp, nothing else;
+* a source row without a match is inserted with the insert stamp (several such
+  rows of one key all are); target rows without a source row stay;
+* two source rows that would update one target row are an error.
+
+Plan. Target rows are semi-joined to the staged keys and reduced to distinct
+profiles (keys, compared and updated columns); source rows likewise, with a row
+count. One equi-join on the keys finds the updates, counted per target profile
+for the error rule, and one join on the profile applies them. Everything is
+lazy; no job runs while the plan is built.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.operators.staging import TimestampLike, ts
-from martlet.schemas import FACT_ORDER_DETAIL, STAGE_TO_FACT, STAGED_ORDER_ITEMS, conform
-
-KEY = "detail_id"
-# Compared with <> (NULL on either side is not a change).
-PLAIN_CHANGE = ("financial_status", "fulfillment_status", "update_date")
-# Compared as COALESCE(x, '') <> COALESCE(y, '').
-BLANKED_CHANGE = ("discount_code", "marketing_channel", "partner")
-UPDATED = ("financial_status", "fulfillment_status", "discount_code", "marketing_channel", "partner", "update_date")
-PROFILE = (KEY, *UPDATED)
-DUPLICATE_UPDATE = "merge: more than one source row would update the same target row (detail_id %s)"
+from martlet.schemas import STAGE_TO_FACT, conform
+
+# The order-detail fact: keys, compared columns with their defaults, updated columns.
+KEYS = ("detail_id",)
+CHANGE_COLS: Mapping[str, object] = {
+    "financial_status": None,
+    "fulfillment_status": None,
+    "update_date": None,
+    "discount_code": "",
+    "marketing_channel": "",
+    "partner": "",
+}
+UPDATE_COLS = ("financial_status", "fulfillment_status", "discount_code", "marketing_channel", "partner", "update_date")
+INSERT_STAMP, UPDATE_STAMP = "dt_insert", "dt_update"
+DUPLICATE_UPDATE = "merge: more than one source row would update the same target row (key %s)"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What a merge compares and sets; column names are those of the target."""
+
+    keys: Sequence[str] = KEYS
+    change_cols: Mapping[str, object] = None
+    update_cols: Sequence[str] = UPDATE_COLS
+    rename: Mapping[str, str] = None
+    null_safe: bool = False
+    insert_stamp: str = INSERT_STAMP
+    update_stamp: str = UPDATE_STAMP
+
+    def __post_init__(self):
+        object.__setattr__(self, "change_cols", dict(CHANGE_COLS if self.change_cols is None else self.change_cols))
+        object.__setattr__(self, "rename", dict(STAGE_TO_FACT if self.rename is None else self.rename))
 
+    @property
+    def profile(self) -> list[str]:
+        return list(dict.fromkeys([*self.keys, *self.change_cols, *self.update_cols]))
 
-def source_rows(staged: DataFrame, clock: TimestampLike) -> DataFrame:
-    """SELECT DISTINCT staged rows in the fact layout with the insert stamps."""
-    distinct = conform(staged, STAGED_ORDER_ITEMS).dropDuplicates()
-    renamed = distinct.select(*[F.col(c).alias(STAGE_TO_FACT.get(c, c)) for c in distinct.columns])
-    return renamed.withColumns({"dt_insert": ts(clock), "dt_update": ts(None)}).select(FACT_ORDER_DETAIL.fieldNames())
-
+    def differs(self, name: str, t: Column, s: Column) -> Column:
+        default = self.change_cols[name]
+        if default is not None:
+            return F.coalesce(t, F.lit(default)) != F.coalesce(s, F.lit(default))
+        return ~t.eqNullSafe(s) if self.null_safe else t != s
 
-def change_test(t: Callable[[str], Column], s: Callable[[str], Column], null_safe: bool = False) -> Column:
-    """The OR-chain of change tests; ``t(c)`` / ``s(c)`` give the target and
-    source value of column ``c``. A NULL result counts as no change."""
-    terms = []
-    for c in PLAIN_CHANGE:
-        a, b = t(c), s(c)
-        terms.append(~a.eqNullSafe(b) if null_safe else a != b)
-    for c in BLANKED_CHANGE:
-        terms.append(F.coalesce(t(c), F.lit("")) != F.coalesce(s(c), F.lit("")))
-    return F.coalesce(reduce(or_, terms), F.lit(False))
+    def changed(self, t: str, s: str) -> Column:
+        """Whether source ``s`` changes target ``t``; an unknown answer is no."""
+        terms = [self.differs(c, F.col(f"{t}.{c}"), F.col(f"{s}.{c}")) for c in self.change_cols]
+        return F.coalesce(reduce(or_, terms), F.lit(False))
 
 
-def _profile_key(df_alias: str, other_alias: str) -> Column:
-    conds = [F.col(f"{df_alias}.{KEY}") == F.col(f"{other_alias}.{KEY}")]
-    conds += [F.col(f"{df_alias}.{c}").eqNullSafe(F.col(f"{other_alias}.{c}")) for c in UPDATED]
-    conds.append(F.col(f"{df_alias}.order_date").eqNullSafe(F.col(f"{other_alias}.order_date")))
-    return reduce(lambda a, b: a & b, conds)
+def source_rows(target: DataFrame, staged: DataFrame, clock: TimestampLike, rule: Rule) -> DataFrame:
+    """The distinct staged rows in the target's layout, stamped as inserts."""
+    named = staged.select(*[F.col(c).alias(rule.rename.get(c, c)) for c in staged.columns])
+    stamps = {rule.insert_stamp: ts(clock), rule.update_stamp: ts(None)}
+    return conform(named.dropDuplicates().withColumns(stamps), target.schema)
 
 
 @dataclass
 class MergePlan:
     """Lazy pieces of one merge. ``apply`` gives the new target."""
 
-    source: DataFrame  # distinct staged rows, fact layout
-    updates: DataFrame  # one row per updated target profile: profile + order_date + new values
-    inserts: DataFrame  # source rows whose id matches no target row
+    rule: Rule
+    source: DataFrame  # distinct staged rows, target layout
+    updates: DataFrame  # profile of each updated target row, ``_new`` values, ``_hit``
+    inserts: DataFrame  # source rows without a match
     clock: TimestampLike
 
-    @property
-    def qualifying_sources(self) -> DataFrame:
-        """Source rows that update at least one target profile (one row each)."""
-        return self.updates.select(KEY, "_src_h", "_hit").distinct()
-
     def apply(self, target: DataFrame) -> DataFrame:
-        """``target`` with updates applied, plus the inserts.
-
-        ``target`` may be any subset of the fact (e.g. the touched months) as
-        long as it holds every row an update refers to.
-        """
-        t = target.alias("t")
-        u = self.updates.alias("u")
-        joined = t.join(u, _profile_key("t", "u"), "left")
+        """``target`` with updates applied, plus the inserts."""
+        rule = self.rule
+        same = [F.col(f"t.{c}").eqNullSafe(F.col(f"u.{c}")) for c in rule.profile if c not in rule.keys]
+        on = reduce(and_, [F.col(f"t.{c}") == F.col(f"u.{c}") for c in rule.keys] + same)
+        joined = target.alias("t").join(self.updates.alias("u"), on, "left")
         hit = F.col("u._hit").isNotNull()
         cols = []
-        for f in FACT_ORDER_DETAIL.fields:
-            if f.name in UPDATED:
-                cols.append(F.when(hit, F.col(f"u._new_{f.name}")).otherwise(F.col(f"t.{f.name}")).alias(f.name))
-            elif f.name == "dt_update":
-                cols.append(F.when(hit, ts(self.clock)).otherwise(F.col("t.dt_update")).alias("dt_update"))
-            else:
-                cols.append(F.col(f"t.{f.name}").alias(f.name))
+        for c in target.columns:
+            new = F.col(f"u._new.{c}") if c in rule.update_cols else ts(self.clock) if c == rule.update_stamp else None
+            old = F.col(f"t.{c}")
+            cols.append((old if new is None else F.when(hit, new).otherwise(old)).alias(c))
         return joined.select(*cols).unionByName(self.inserts)
 
     def counts(self) -> DataFrame:
         """One row: staged, inserted, updated, unchanged (all counted in source rows)."""
         staged = self.source.agg(F.count(F.lit(1)).alias("staged"))
         inserted = self.inserts.agg(F.count(F.lit(1)).alias("inserted"))
-        updated = self.qualifying_sources.agg(F.count(F.lit(1)).cast("bigint").alias("updated"))
-        return (
-            staged.select(
-                F.col("staged").cast("bigint").alias("staged"),
-                inserted.scalar().cast("bigint").alias("inserted"),
-                updated.scalar().alias("updated"),
-            )
-            .withColumn("unchanged", F.col("staged") - F.col("inserted") - F.col("updated"))
-        )
-
-
-def plan_merge(
-    target: DataFrame,
-    staged: DataFrame,
-    clock: TimestampLike,
-    null_safe: bool = False,
-    strategy: str = "auto",
-) -> MergePlan:
-    return plan_merge_source(target, source_rows(staged, clock), clock, null_safe, strategy=strategy)
-
-
-def _profile_hash() -> Column:
-    """64-bit hash of an update profile; a NULL and an empty string hash apart."""
-    parts = []
-    for c in PROFILE:
-        col = F.col(c)
-        parts += [F.coalesce(col.cast("string"), F.lit("")), col.isNull()]
-    return F.xxhash64(*parts)
-
-
-def _bit(mask: Column, i: int) -> Column:
-    return mask.bitwiseAND(1 << i) != 0
-
-
-def _keep(name: str, df: DataFrame) -> DataFrame:
-    return df
-
-
-def _hw(w: str, h: str) -> Column:
-    return F.col(w).cast("decimal(20,0)") * F.col(h).cast("decimal(20,0)")
-
-
-def _updates_from(resolved: DataFrame, q: Column, ok: Column) -> DataFrame:
-    """Update rows from (t = target profile, s = resolved source profile)."""
-    return resolved.select(
-        *[F.col(f"t.{c}").alias(c) for c in PROFILE],
-        F.col("t.order_date").alias("order_date"),
-        F.when(q > 1, F.raise_error(F.format_string(DUPLICATE_UPDATE, F.col(f"t.{KEY}"))))
-        .when(~ok, F.raise_error(F.lit("merge: qualifying source row could not be resolved")))
-        .otherwise(F.lit(True))
-        .alias("_hit"),
-        *[F.col(f"s._new_{c}").alias(f"_new_{c}") for c in UPDATED],
-        F.col("s._h").alias("_src_h"),
+        updated = self.updates.select(*self.rule.keys, "_new", "_hit").distinct().agg(F.count(F.lit(1)).alias("updated"))
+        return staged.select(
+            F.col("staged").cast("bigint").alias("staged"),
+            inserted.scalar().cast("bigint").alias("inserted"),
+            updated.scalar().cast("bigint").alias("updated"),
+        ).withColumn("unchanged", F.col("staged") - F.col("inserted") - F.col("updated"))
+
+
+def plan_merge(target: DataFrame, staged: DataFrame, clock: TimestampLike, rule: Rule | None = None) -> MergePlan:
+    rule = rule or Rule()
+    keys, profile = list(rule.keys), rule.profile
+    src = source_rows(target, staged, clock, rule)
+    keyed = src.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    sources = keyed.groupBy(*profile).agg(F.count(F.lit(1)).alias("_rows"))
+    targets = target.join(keyed.select(*keys).distinct(), keys, "left_semi").select(*profile).distinct()
+    match = reduce(and_, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+    pairs = targets.alias("t").join(sources.alias("s"), match).where(rule.changed("t", "s"))
+    new = F.struct(*[F.col(f"s.{c}").alias(c) for c in rule.update_cols])
+    found = pairs.groupBy(*[F.col(f"t.{c}").alias(c) for c in profile]).agg(
+        F.sum("s._rows").alias("_rows"), F.max(new).alias("_new")
     )
-
-
-def _direct_updates(tprof: DataFrame, sprof: DataFrame, null_safe: bool) -> DataFrame:
-    """Every id has one source profile: one equi-join, one row per target profile."""
-    s = sprof.select(KEY, "_w", "_h", *[F.col(c).alias(f"_new_{c}") for c in UPDATED]).alias("s")
-    joined = tprof.alias("t").join(s, F.col(f"t.{KEY}") == F.col(f"s.{KEY}"))
-    qualifying = joined.where(change_test(lambda c: F.col(f"t.{c}"), lambda c: F.col(f"s._new_{c}"), null_safe))
-    return _updates_from(qualifying, F.col("s._w"), F.lit(True))
-
-
-def _probe_updates(tprof: DataFrame, sprof: DataFrame, null_safe: bool) -> DataFrame:
-    """Pair-free path: probe counts and hash sums (see ``plan_merge_source``)."""
-    hw = _hw
-    blanked = [F.coalesce(F.col(c), F.lit("")).alias(f"_b{i}") for i, c in enumerate(BLANKED_CHANGE)]
-    n_masks = 1 if null_safe else 1 << len(PLAIN_CHANGE)
-    # Mask TOTAL marginalises every compared column: the per-id totals ride
-    # in the same aggregate and the same probe join.
-    TOTAL = 1 << (len(PLAIN_CHANGE) + 1)
-    b_names = [f"_b{i}" for i in range(len(BLANKED_CHANGE))]
-    d_names = [f"_d{i}" for i in range(len(PLAIN_CHANGE))]
-    masks = F.explode(F.array(*[F.lit(m) for m in [*range(n_masks), TOTAL]])).alias("_m")
-    is_total = F.col("_m") == TOTAL
-    wild = (
-        sprof.select(KEY, *blanked, *PLAIN_CHANGE, "_w", "_h", masks)
-        .select(
-            "_m",
-            KEY,
-            *[F.when(is_total, F.lit(None)).otherwise(F.col(b)).alias(b) for b in b_names],
-            *[
-                F.when(is_total | _bit(F.col("_m"), i), F.lit(None)).otherwise(F.col(c)).alias(f"_d{i}")
-                for i, c in enumerate(PLAIN_CHANGE)
-            ],
-            "_w",
-            "_h",
-        )
-        .groupBy("_m", KEY, *b_names, *d_names)
-        .agg(F.sum("_w").alias("_nw"), F.sum(hw("_w", "_h")).alias("_nhw"))
-    )
-
-    # Probe patterns of a target profile: NULL target columns are marginalised
-    # (mask), each other column matches the same value or a NULL source value;
-    # one more probe (TOTAL) fetches the id's totals.
-    if null_safe:
-        tmask = F.lit(0)
-    else:
-        tmask = sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(PLAIN_CHANGE)), F.lit(0))
-    sub_total = F.col("_sub") == TOTAL
-    probes = (
-        tprof.withColumn("_tm", tmask)
-        .withColumn("_sub", F.explode(F.array(*[F.lit(b) for b in [*range(n_masks), TOTAL]])))
-        .where(sub_total | (F.col("_tm").bitwiseAND(F.col("_sub")) == 0))
-        .select(
-            *PROFILE,
-            "order_date",
-            F.when(sub_total, F.lit(TOTAL)).otherwise(F.col("_tm")).alias("_m"),
-            *[
-                F.when(sub_total, F.lit(None)).otherwise(F.coalesce(F.col(c), F.lit(""))).alias(f"_pb{i}")
-                for i, c in enumerate(BLANKED_CHANGE)
-            ],
-            *[
-                F.when(sub_total | _bit(F.col("_tm").bitwiseOR(F.col("_sub")), i), F.lit(None))
-                .otherwise(F.col(c))
-                .alias(f"_pd{i}")
-                for i, c in enumerate(PLAIN_CHANGE)
-            ],
-        )
-        .alias("p")
-    )
-    on = (F.col("p._m") == F.col("a._m")) & (F.col(f"p.{KEY}") == F.col(f"a.{KEY}"))
-    for i in range(len(BLANKED_CHANGE)):
-        on = on & F.col(f"p._pb{i}").eqNullSafe(F.col(f"a._b{i}"))
-    for i in range(len(PLAIN_CHANGE)):
-        on = on & F.col(f"p._pd{i}").eqNullSafe(F.col(f"a._d{i}"))
-    probe_total = F.col("p._m") == TOTAL
-    zero = F.lit(0).cast("decimal(38,0)")
-    per_target = (
-        probes.join(wild.alias("a"), on, "left")
-        .groupBy(*[F.col(f"p.{c}").alias(c) for c in PROFILE], F.col("p.order_date").alias("order_date"))
-        .agg(
-            F.sum(F.when(probe_total, F.col("a._nw")).otherwise(-F.col("a._nw"))).alias("_q"),
-            F.sum(F.when(probe_total, F.col("a._nhw")).otherwise(-F.col("a._nhw"))).alias("_qh"),
-        )
-        .withColumn("_q", F.coalesce(F.col("_q"), F.lit(0)))
-        .withColumn("_qh", F.coalesce(F.col("_qh"), zero).cast("decimal(38,0)"))
-        .where(F.col("_q") >= 1)
-    )
-    lookup = sprof.groupBy(KEY, "_h").agg(
-        F.count(F.lit(1)).alias("_nprof"),
-        *[F.first(c).alias(f"_new_{c}") for c in UPDATED],
-    )
-    resolved = per_target.alias("t").join(
-        lookup.alias("s"),
-        (F.col(f"t.{KEY}") == F.col(f"s.{KEY}")) & (F.col("t._qh") == F.col("s._h").cast("decimal(38,0)")),
-        "left",
-    )
-    new = {c: F.col(f"s._new_{c}") for c in UPDATED}
-    check = change_test(lambda c: F.col(f"t.{c}"), new.__getitem__, null_safe)
-    ok = (F.col("t._q") == 1) & (F.col("s._nprof") == 1) & check
-    return _updates_from(resolved, F.col("t._q"), ok)
-
-
-def plan_merge_source(
-    target: DataFrame,
-    src: DataFrame,
-    clock: TimestampLike,
-    null_safe: bool = False,
-    stage=_keep,
-    strategy: str = "auto",
-) -> MergePlan:
-    """``plan_merge`` for a source already in fact layout and deduplicated.
-
-    No step pairs target rows with source rows. For each distinct target
-    profile, the number of source rows that do NOT qualify is summed with at
-    most 8 equi-join probes against per-mask source aggregates (a source
-    value that is NULL, or a target value that is NULL, makes that compared
-    column a wildcard). Qualifying rows = id total - that sum: 0 means no
-    update, 2 or more is the duplicate-update error, and for exactly 1 the
-    weighted hash sums identify the one qualifying profile, which is then
-    looked up by (id, hash) and checked against the change test.
-
-    ``stage(name, df)`` may materialise the source and target profiles (the
-    store writes them to the run folder so they are computed once).
-
-    ``strategy``: "probe" is the path above; "direct" joins target profiles
-    to the source profile of their id and is valid only when no id has two
-    source profiles; "auto" (default) runs a one-row control query for that
-    condition and picks "direct" when it holds (the usual case: one staged
-    version per id), "probe" otherwise.
-    """
-    src_ids = src.select(KEY).where(F.col(KEY).isNotNull()).distinct()
-
-    sprof = (
-        src.where(F.col(KEY).isNotNull())
-        .groupBy(*PROFILE)
-        .agg(F.count(F.lit(1)).alias("_w"))
-        .withColumn("_h", _profile_hash())
-    )
-    sprof = stage("source_profiles", sprof)
-    tprof = (
-        conform(target, FACT_ORDER_DETAIL)
-        .join(src_ids, KEY, "left_semi")
-        .select(*PROFILE, "order_date")
-        .distinct()
-    )
-    tprof = stage("target_profiles", tprof)
-    if strategy == "auto":
-        multi = sprof.groupBy(KEY).count().where(F.col("count") > 1).limit(1).count()
-        strategy = "probe" if multi else "direct"
-    if strategy == "direct":
-        updates = _direct_updates(tprof, sprof, null_safe)
-    elif strategy == "probe":
-        updates = _probe_updates(tprof, sprof, null_safe)
-    else:
-        raise ValueError(f"unknown merge strategy {strategy!r}")
-
-    # The semi-joined target profiles hold exactly the matched ids, so the
-    # anti-join never needs the whole fact as its build side.
-    matched_ids = tprof.select(KEY).distinct()
-    inserts = src.join(matched_ids, KEY, "left_anti")
-    return MergePlan(src, updates, inserts, clock)
+    twice = F.raise_error(F.format_string(DUPLICATE_UPDATE, F.concat_ws(",", *[F.col(k).cast("string") for k in keys])))
+    updates = found.select(*profile, "_new", F.when(F.col("_rows") > 1, twice).otherwise(F.lit(True)).alias("_hit"))
+    inserts = src.join(targets.select(*keys).distinct(), keys, "left_anti").select(*src.columns)
+    return MergePlan(rule, src, updates, inserts, clock)
 
 
 def merge_upsert(
     target: DataFrame,
     staged: DataFrame,
     clock: TimestampLike,
+    keys: Sequence[str] = KEYS,
+    change_cols: Mapping[str, object] | None = None,
+    update_cols: Sequence[str] = UPDATE_COLS,
+    rename: Mapping[str, str] | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
-    """The whole new fact table after MERGE (lazy)."""
-    return plan_merge(target, staged, clock, null_safe).apply(conform(target, FACT_ORDER_DETAIL))
+    """The whole new target after the merge (lazy)."""
+    rule = Rule(keys, change_cols, update_cols, rename, null_safe)
+    return plan_merge(target, staged, clock, rule).apply(target)
 
 
 def now_los_angeles() -> dt.datetime:
-    """CURRENT_DATETIME('America/Los_Angeles'): zoneless LA wall-clock time."""
-    from zoneinfo import ZoneInfo
-
-    return dt.datetime.now(ZoneInfo("America/Los_Angeles")).replace(tzinfo=None, microsecond=0)
+    """Zoneless wall-clock time in Los Angeles, to the microsecond."""
+    return dt.datetime.now(ZoneInfo("America/Los_Angeles")).replace(tzinfo=None)

@@ -15,45 +15,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, year_month
-from martlet.functions.measures import (
-    cents,
-    from_cents,
-    money,
-    net_revenue_cents,
-    numeric_avg,
-    numeric_avg_money,
-    safe_pct,
-    safe_ratio,
-)
+from martlet.functions.measures import Lines, money, numeric_avg, safe_pct, safe_ratio
 from martlet.operators._common import day_col, order_lines
 
+# Columns of ``order_details`` that the mart reads.
+COLUMNS = (
+    "order_id", "order_date", "transaction_type", "product_sku", "product_name", "marketing_channel",
+    "adjusted_quantity", "unit_price", "line_revenue", "line_discount",
+)
 DISCOUNTED, FULL_PRICE = "Discounted", "Full Price"
 
 
 def order_level(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     lines = order_lines(od, start, end)
+    m = Lines(lines)
     return lines.groupBy(
         day_col(lines).alias("order_date"), "product_sku", "product_name", "marketing_channel", "order_id"
     ).agg(
-        F.sum("adjusted_quantity").alias("order_units"),
-        # money stays in integer cents between the levels (exact, 8 bytes).
-        F.sum(cents("line_revenue")).alias("order_gross_cents"),
-        F.sum(cents("line_discount")).alias("order_discount_cents"),
-        F.sum(net_revenue_cents()).alias("order_net_cents"),
-        numeric_avg_money("unit_price").alias("order_avg_price"),
+        F.sum("adjusted_quantity").alias("quantity"),
+        # Money stays in the summing unit between the levels.
+        m.units(m.amount("line_revenue")).alias("gross_units"),
+        m.units(m.amount("line_discount")).alias("discount_units"),
+        m.units(m.net).alias("net_units"),
+        m.mean("unit_price").alias("mean_price"),
     )
 
 
 def pricing_analysis(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
-    lvl1 = order_level(od, start, end)
+    lvl1, m = order_level(od, start, end), Lines(od)
     lvl2 = lvl1.groupBy("order_date", "product_sku", "product_name", "marketing_channel").agg(
-        from_cents(F.sum("order_discount_cents")).alias("_disc"),
+        m.value(F.sum("discount_units")).alias("_disc"),
         # order_id is a level-1 key, so it is already unique within the group.
         F.count("order_id").alias("_orders"),
-        F.sum("order_units").alias("_units"),
-        numeric_avg("order_avg_price").alias("_avg_list"),
-        from_cents(F.sum("order_net_cents")).alias("_net"),
-        from_cents(F.sum("order_gross_cents")).alias("_gross"),
+        F.sum("quantity").alias("_units"),
+        numeric_avg("mean_price").alias("_avg_list"),
+        m.value(F.sum("net_units")).alias("_net"),
+        m.value(F.sum("gross_units")).alias("_gross"),
     )
     return lvl2.select(
         "order_date",

@@ -12,9 +12,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.calendar import DateLike, month_start, year_month
-from martlet.functions.measures import gross_profit_cents, net_revenue_cents, safe_pct, sum_money
+from martlet.functions.measures import Lines, safe_pct
 from martlet.operators._common import day_col, order_lines
 
+# Columns of ``order_details`` that the mart reads.
+COLUMNS = (
+    "order_date", "transaction_type", "product_sku", "product_name", "adjusted_quantity",
+    "line_revenue", "line_discount", "cost",
+)
 # Fixed tier cut-offs, first match wins.
 TIERS = ((5, "Top 5"), (10, "Top 10"), (20, "Top 20"))
 OTHER = "Other"
@@ -22,15 +27,16 @@ OTHER = "Other"
 
 def product_monthly(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     lines = order_lines(od, start, end)
+    m = Lines(lines)
     return lines.groupBy("product_sku", "product_name", month_start(day_col(lines)).alias("_month")).agg(
         F.sum("adjusted_quantity").cast("bigint").alias("units_sold"),
-        sum_money(net_revenue_cents()).alias("net_revenue"),
-        sum_money(gross_profit_cents()).alias("gross_profit"),
+        m.total(m.net).alias("net_revenue"),
+        m.total(m.gross_profit).alias("gross_profit"),
     )
 
 
 def product_performance(od: DataFrame, start: DateLike, end: DateLike, with_lead: bool = False) -> DataFrame:
-    m = product_monthly(od, start, end)
+    monthly = product_monthly(od, start, end)
     in_month = Window.partitionBy("_month").orderBy(F.col("net_revenue").desc())
     by_sku = Window.partitionBy("product_sku").orderBy("_month", "product_name")
     rank = F.rank().over(in_month).cast("bigint")
@@ -55,4 +61,4 @@ def product_performance(od: DataFrame, start: DateLike, end: DateLike, with_lead
             F.lead("units_sold", 1).over(by_sku).alias("next_month_units"),
             F.lead("net_revenue", 1).over(by_sku).alias("next_month_revenue"),
         ]
-    return m.withColumn("revenue_rank", rank).select(*cols)
+    return monthly.withColumn("revenue_rank", rank).select(*cols)

@@ -3,12 +3,14 @@
 ``stage_updates`` (P8) keeps raw rows with ``update_date`` in the half-open
 window ``[COALESCE(last_cutoff, initial_load), target_cutoff)``. The lower
 bound is inclusive, so the boundary row is staged again next run (a re-staged
-unchanged row does not update anything). Both bounds reach the Parquet scan as
-pushed filters; a raw table partitioned or sorted by update day skips whole
-files.
+unchanged row does not update anything). With literal bounds the window is a
+pushed filter, and on a raw table landed by update day a partition filter, so
+whole day folders are skipped; bounds that are scalar subqueries are applied
+when they are known.
 
 ``advance_cutoff`` (P11): the new cutoff is the newest staged update, else the
-newest fact update, else NULL.
+newest fact update, else NULL. The fact as it was before the merge will do: the
+fallback only applies when nothing is staged, and then the merge changes nothing.
 
 Bounds may be Python values (driver scalars read from the cutoff table) or
 Columns, e.g. ``df.scalar()`` subqueries, which keep a multi-run plan lazy.
@@ -49,11 +51,14 @@ def stage_updates(
     upper = ts(target_cutoff)
     upd = F.col("update_date")
     window = (upd >= lower) & (upd < upper)
+    # Raw landed by update day or month: the same window on the partition
+    # column leaves whole folders unopened.
     if "update_day" in raw.columns:
-        # Raw landed by update day: the same window on the partition column
-        # prunes whole day directories before any file is opened.
         day = F.col("update_day")
         window = window & (day >= F.to_date(lower)) & (day <= F.to_date(upper))
+    if "update_month" in raw.columns:
+        month = F.col("update_month")
+        window = window & (month >= F.trunc(F.to_date(lower), "MM")) & (month <= F.to_date(upper))
     return conform(raw.where(window), STAGED_ORDER_ITEMS)
 
 
@@ -85,10 +90,18 @@ def advance_cutoff(
     )
 
 
-def row_count_audit(raw: DataFrame, staged: DataFrame, fact: DataFrame) -> DataFrame:
-    """(table_name, record_count) for the raw, staged and fact tables (P14)."""
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("record_count")).select(F.lit(name).alias("table_name"), "record_count")
-        for name, df in (("raw_data", raw), ("staged_data", staged), ("fact_data", fact))
-    ]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+def row_count_audit(raw: DataFrame, staged: DataFrame, fact: DataFrame, inserts: DataFrame | None = None) -> DataFrame:
+    """(table_name, record_count) for the raw, staged and fact tables (P14).
+
+    A merge deletes nothing, so the merged fact need not be built to count it:
+    pass the fact before the merge and the merge's ``inserts``.
+    """
+
+    def counted(name: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("record_count")).select(F.lit(name).alias("table_name"), "record_count")
+
+    rows = counted("fact_data", fact)
+    if inserts is not None:
+        added = inserts.agg(F.count(F.lit(1)).alias("n")).scalar()
+        rows = rows.withColumn("record_count", F.col("record_count") + added)
+    return counted("raw_data", raw).unionAll(counted("staged_data", staged)).unionAll(rows)

@@ -1,29 +1,40 @@
 """Unify per-source order feeds into the ``order_details`` layout (R1).
 
-Each feed is renamed and cast to the declared schema, tagged with its source,
-and the feeds are stacked with ``unionByName`` (no shuffle: the union is a
-concatenation of the feeds' partitions).
+A ``Feed`` says for every unified column which column or expression of the
+source gives it; None is a column that the source does not have, and becomes
+NULL. Each feed is cast to the declared schema and tagged with its source, and
+the feeds are stacked (no shuffle: the union concatenates their partitions).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.schemas import ORDER_DETAILS
+from martlet.schemas import ORDER_DETAILS, conform
 
 
-def conform_feed(df: DataFrame, mapping: dict[str, str], source: str) -> DataFrame:
-    renamed = df.select(*[F.col(src).alias(dst) for src, dst in mapping.items()])
-    missing = [f.name for f in ORDER_DETAILS.fields if f.name not in renamed.columns]
-    if missing:
-        raise ValueError(f"feed {source!r} lacks columns for {missing}")
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in ORDER_DETAILS.fields]
-    return renamed.select(*cols, F.lit(source).alias("source"))
+class Feed:
+    """Unified column -> source column name, expression, or None (not shipped)."""
 
+    def __init__(self, **columns: str | Column | None):
+        names = set(ORDER_DETAILS.fieldNames())
+        if set(columns) != names:
+            raise ValueError(f"feed must map {sorted(names - set(columns))}, and not {sorted(set(columns) - names)}")
+        self.columns = columns
 
-def unify_channels(feeds: dict[str, tuple[DataFrame, dict[str, str]]]) -> DataFrame:
-    parts = [conform_feed(df, mapping, source) for source, (df, mapping) in feeds.items()]
+
+def conform_feed(df: DataFrame, feed: Feed, source: str) -> DataFrame:
+    cols = []
+    for f in ORDER_DETAILS.fields:
+        given = feed.columns[f.name]
+        value = F.lit(None).cast(f.dataType) if given is None else F.col(given) if isinstance(given, str) else given
+        cols.append(value.alias(f.name))
+    return conform(df.select(*cols), ORDER_DETAILS).withColumn("source", F.lit(source))
+
+
+def unify_channels(feeds: dict[str, tuple[DataFrame, Feed]]) -> DataFrame:
+    parts = [conform_feed(df, feed, source) for source, (df, feed) in feeds.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)

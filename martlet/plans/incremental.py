@@ -1,39 +1,50 @@
-"""The staged incremental load (P13) over a ``Warehouse``.
-
-One run:
-  0. register the source/target pair with a NULL cutoff if it is new (P12);
-  1. open a lineage row with a driver-drawn UUID and commit it (P7);
-  2. read the pair's cutoff (a driver scalar; more than one row is an error);
-     stage ``[COALESCE(cutoff, initial_load), target_cutoff)`` into a fresh
-     staging directory (truncate + insert, P8);
-  3. plan the merge against the whole fact (id-only and profile-only column
-     scans), write its updates / inserts to the run folder, collect the set of
-     touched order months (control data: at most one value per month);
-  4. rewrite only the touched months: old slice rows with updates applied,
-     plus inserts (P9);
-  5. close the lineage row (P10), advance the cutoff (P11) and publish fact,
-     staging, lineage and cutoff in one manifest record.
-
-Nothing of the data passes through the driver; the driver only reads the
-cutoff scalar, the touched-month list and the run counts.
+"""The staged incremental load (P13) between two plain Parquet states.
+
+A state is a folder with four tables: ``fact``, ``staging``, ``lineage`` and
+``cutoff``. A run reads one state and writes the next into a path that the
+caller chooses, in this order:
+
+  1. lineage with the run opened (P7, the pair registered by P12);
+  2. staging: the rows of the window (P8), replacing what was staged before;
+  3. fact: the merge of the staged rows into the old fact (P9), by order month;
+  4. lineage with the run closed (P10);
+  5. cutoff, advanced (P11). With it the state is complete.
+
+Nothing is changed in place, so a run killed at any step leaves the old state
+as it was, and the same call again writes the whole new state. The fact is
+rewritten as a whole: plain Parquet has no row-level update, and replacing
+single month folders in place would lose rows if the run died between removing
+and renaming one. A cluster with a table format would hand the same merge plan
+to it instead.
+
+Only the cutoff, the run's counts and control rows reach the driver.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martlet.operators.merge import MergePlan, now_los_angeles, plan_merge_source, source_rows
-from martlet.operators.staging import INITIAL_LOAD, TimestampLike, stage_updates
+from martlet.operators.merge import Rule, now_los_angeles, plan_merge
+from martlet.operators.staging import INITIAL_LOAD, TimestampLike, advance_cutoff, stage_updates, ts
 from martlet.plans.control import close_run, init_cutoff, new_lineage_key, open_run, reset_cutoff
-from martlet.plans.warehouse import Warehouse, month_key
-from martlet.schemas import ETL_CUTOFF, FACT_ORDER_DETAIL, LINEAGE, empty
+from martlet.schemas import ETL_CUTOFF, FACT_ORDER_DETAIL, LINEAGE, STAGED_ORDER_ITEMS, empty
+from martlet.session import checkpoint_dir
 
 Clock = Callable[[], dt.datetime]
+MONTH = "order_month"
+_LAYOUT = {
+    "fact": FACT_ORDER_DETAIL,
+    "staging": STAGED_ORDER_ITEMS,
+    "lineage": LINEAGE,
+    "cutoff": ETL_CUTOFF,
+}
 
 
 @dataclass(frozen=True)
@@ -45,150 +56,124 @@ class RunReport:
     unchanged: int
     cutoff_before: dt.datetime | None
     cutoff_after: dt.datetime | None
-    months_rewritten: int
-    seq: int
+
+
+def read_table(spark: SparkSession, state: str | None, name: str) -> DataFrame:
+    """A table of a state; empty when there is no state yet."""
+    schema = _LAYOUT[name]
+    if state is None:
+        return empty(spark, schema)
+    stored = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())]) if name == "fact" else schema
+    return spark.read.schema(stored).parquet(f"{state.rstrip('/')}/{name}").select(*schema.fieldNames())
+
+
+def is_complete(spark: SparkSession, state: str) -> bool:
+    """Whether a run (or reset) has written all of ``state``; its cutoff comes last."""
+    try:
+        return bool(spark.read.parquet(f"{state.rstrip('/')}/cutoff").limit(1).count())
+    except AnalysisException:
+        return False
+
+
+def _write(df: DataFrame, state: str, name: str, small: bool = False) -> None:
+    out = df.coalesce(1) if small else df
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if name == "fact":
+        month = F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit("none"))
+        # Rebalancing gives a month few files, and a hot month more than one task.
+        writer = (
+            df.withColumn(MONTH, month).hint("rebalance", MONTH).write.mode("overwrite")
+            .option("partitionOverwriteMode", "static").partitionBy(MONTH)
+        )
+    writer.parquet(f"{state.rstrip('/')}/{name}")
 
 
 def _clock(clock: Clock | dt.datetime | None) -> Clock:
     if clock is None:
         return now_los_angeles
-    if isinstance(clock, dt.datetime):
-        return lambda: clock
-    return clock
+    return (lambda: clock) if isinstance(clock, dt.datetime) else clock
 
 
 def pair_cutoff(cutoffs: DataFrame, src: str, tgt: str) -> dt.datetime | None:
-    """SET last = (SELECT cutoff_time ... WHERE pair): NULL if absent, error if repeated."""
+    """The pair's cutoff: NULL if absent, an error if repeated."""
     rows = cutoffs.where((F.col("src_table_name") == src) & (F.col("tgt_table_name") == tgt)).limit(2).collect()
     if len(rows) > 1:
         raise ValueError(f"cutoff table holds more than one row for {src} -> {tgt}")
     return rows[0]["cutoff_time"] if rows else None
 
 
-def register_pair(wh: Warehouse, src: str, tgt: str) -> dict:
-    """P12 on the store: add the pair with a NULL cutoff unless present."""
-    state = wh.state()
-    cutoffs = wh.cutoffs(state)
-    exists = cutoffs.where((F.col("src_table_name") == src) & (F.col("tgt_table_name") == tgt)).limit(1).count()
-    if exists:
-        return state
-    path = wh.write_small("cutoff", init_cutoff(cutoffs, src, tgt))
-    return wh.commit(dict(state, cutoff=path), f"register {src} -> {tgt}")
-
-
 def run_incremental(
-    wh: Warehouse,
+    spark: SparkSession,
+    before: str | None,
+    after: str,
     raw: DataFrame,
     src: str,
     tgt: str,
     target_cutoff: TimestampLike,
     clock: Clock | dt.datetime | None = None,
     initial_load: TimestampLike = INITIAL_LOAD,
-    null_safe: bool = False,
+    late: DataFrame | None = None,
+    rule: Rule | None = None,
     move_all_targets: bool = False,
 ) -> RunReport:
-    now = _clock(clock)
-    state = register_pair(wh, src, tgt)
+    """One run from state ``before`` (None: nothing loaded yet) to state ``after``.
 
-    # 1. open the run
+    ``late``: rows to be taken although they lie under the window, as a stream
+    delivers them.
+    """
+    if before is not None and before.rstrip("/") == after.rstrip("/"):
+        raise ValueError("a run must write a state of its own")
+    now = _clock(clock)
+    checkpoint_dir(spark)
+    cutoffs = init_cutoff(read_table(spark, before, "cutoff"), src, tgt)
+    cutoff = pair_cutoff(cutoffs, src, tgt)
     key = new_lineage_key()
-    lineage = open_run(wh.lineage(state), key, src, tgt, target_cutoff, now())
-    state = wh.commit(dict(state, lineage=wh.write_small("lineage", lineage)), f"open {key}")
-
-    # 2. stage the change window
-    cutoff_before = pair_cutoff(wh.cutoffs(state), src, tgt)
-    staging_path = wh.write_staging(key, stage_updates(raw, cutoff_before, target_cutoff, initial_load))
-    staged = wh.staging(dict(state, staging=staging_path))
-
-    # 3. plan the merge against the whole fact, materialise its small parts
-    fact_all = wh.fact(state)
-    merge_clock = now()
-    source = wh.write_scratch(key, "source", source_rows(staged, merge_clock))
-    plan = plan_merge_source(
-        fact_all, source, merge_clock, null_safe, stage=lambda name, df: wh.write_scratch(key, name, df)
-    )
-    written = replace(
-        plan,
-        updates=wh.write_scratch(key, "updates", plan.updates),
-        inserts=wh.write_scratch(key, "inserts", plan.inserts),
-    )
-    touched = [
-        r["m"]
-        for r in written.updates.select(month_key().alias("m"))
-        .union(written.inserts.select(month_key().alias("m")))
-        .distinct()
-        .collect()
-    ]
-
-    # 4. rewrite the touched months only
-    fact = dict(state["fact"])
-    if touched:
-        old = wh.fact(state, months=[m for m in touched if m in fact])
-        fact.update(wh.write_fact_months(key, written.apply(old), touched))
-    counts = written.counts().first()
-
-    # 5. close the run, advance the cutoff, publish everything together
-    new_state = dict(state, fact=fact, staging=staging_path)
-    lineage = close_run(wh.lineage(state), key, now())
-    cutoff_after = staged.agg(F.max("update_date")).first()[0]
-    if cutoff_after is None:
-        cutoff_after = wh.fact(new_state).agg(F.max("update_date")).first()[0]
-    hit = F.col("src_table_name") == src
-    if not move_all_targets:
-        hit = hit & (F.col("tgt_table_name") == tgt)
-    cutoffs = wh.cutoffs(state).withColumn(
-        "cutoff_time",
-        F.when(hit, F.lit(cutoff_after).cast("timestamp_ntz")).otherwise(F.col("cutoff_time")),
+    opened = open_run(read_table(spark, before, "lineage"), key, src, tgt, target_cutoff, now())
+    _write(opened, after, "lineage", small=True)
+
+    rows = stage_updates(raw, cutoff, target_cutoff, initial_load)
+    if late is not None and cutoff is not None:
+        under = late.where((F.col("update_date") < ts(cutoff)) & (F.col("update_date") < ts(target_cutoff)))
+        rows = rows.unionByName(under.select(*rows.columns))
+    _write(rows, after, "staging")
+    staged = read_table(spark, after, "staging")
+
+    fact = read_table(spark, before, "fact")
+    plan = plan_merge(fact, staged, now(), rule)
+    plan.updates = plan.updates.checkpoint()
+    counts = plan.counts().first()
+    _write(plan.apply(fact), after, "fact")
+
+    _write(close_run(opened, key, now()), after, "lineage", small=True)
+    moved = advance_cutoff(cutoffs, staged, fact, src, None if move_all_targets else tgt)
+    # A cutoff never falls back: late rows alone would lower it.
+    hit = (F.col("src_table_name") == src) & (F.col("tgt_table_name") == tgt)
+    moved = moved.withColumn(
+        "cutoff_time", F.when(hit, F.greatest(F.col("cutoff_time"), ts(cutoff))).otherwise(F.col("cutoff_time"))
     )
-    new_state.update(lineage=wh.write_small("lineage", lineage), cutoff=wh.write_small("cutoff", cutoffs))
-    new_state = wh.commit(new_state, f"close {key}")
+    _write(moved, after, "cutoff", small=True)
     return RunReport(
         lineage_key=key,
         staged=counts["staged"],
         inserted=counts["inserted"],
         updated=counts["updated"],
         unchanged=counts["unchanged"],
-        cutoff_before=cutoff_before,
-        cutoff_after=cutoff_after,
-        months_rewritten=len(touched),
-        seq=new_state["seq"],
+        cutoff_before=cutoff,
+        cutoff_after=pair_cutoff(read_table(spark, after, "cutoff"), src, tgt),
     )
 
 
-def reset(wh: Warehouse, src: str) -> dict:
-    """P16: cutoff -> NULL for ``src``; empty staging, fact and lineage; raw untouched."""
-    state = wh.state()
-    cutoffs = reset_cutoff(wh.cutoffs(state), src)
-    return wh.commit(
-        dict(
-            state,
-            fact={},
-            staging=None,
-            lineage=wh.write_small("lineage", empty(wh.spark, LINEAGE)),
-            cutoff=wh.write_small("cutoff", cutoffs),
-        ),
-        f"reset {src}",
-    )
+def reset(spark: SparkSession, before: str, after: str, src: str) -> None:
+    """P16: a state with no cutoff for ``src`` and empty staging, fact and lineage; raw untouched."""
+    for name in ("staging", "fact", "lineage"):
+        _write(empty(spark, _LAYOUT[name]), after, name)
+    _write(reset_cutoff(read_table(spark, before, "cutoff"), src), after, "cutoff", small=True)
 
 
-def audit_reads(wh: Warehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
+def audit_reads(spark: SparkSession, state: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """P15: fact by detail_id, lineage newest first, cutoffs."""
-    state = wh.state()
     return (
-        wh.fact(state).orderBy("detail_id"),
-        wh.lineage(state).orderBy(F.col("data_load_started").desc()),
-        wh.cutoffs(state),
+        read_table(spark, state, "fact").orderBy("detail_id"),
+        read_table(spark, state, "lineage").orderBy(F.col("data_load_started").desc()),
+        read_table(spark, state, "cutoff"),
     )
-
-
-__all__ = [
-    "ETL_CUTOFF",
-    "FACT_ORDER_DETAIL",
-    "MergePlan",
-    "RunReport",
-    "audit_reads",
-    "pair_cutoff",
-    "register_pair",
-    "reset",
-    "run_incremental",
-]

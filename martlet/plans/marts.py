@@ -1,19 +1,22 @@
-"""Publish the reporting marts as Parquet extracts (pre-aggregation for BI).
+"""Publish every reporting mart and dimension as Parquet and as a named view.
 
 The star join behind ``order_details`` is the expensive part of every mart.
-``publish_marts`` writes the period's order lines once to the shared output
-folder (this also cuts the lineage: a lost executor recomputes from those
-files, not from the join) and computes every mart from that copy.
+``publish_marts`` writes all lines once, partitioned by order month (which also
+cuts the lineage: a lost executor rereads files instead of repeating the
+join), and computes everything from that copy; a mart's period then prunes
+month folders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martlet.functions.calendar import DateLike
-from martlet.operators._common import order_lines
+from martlet.functions.calendar import DateLike, as_date
 from martlet.operators.channels import channel_performance
 from martlet.operators.daily_sales import daily_sales
 from martlet.operators.dashboards import (
@@ -23,10 +26,13 @@ from martlet.operators.dashboards import (
     rolling_12m_revenue,
     top_products,
 )
-from martlet.operators.executive import executive_kpis
+from martlet.operators.dimensions import dim_channel, dim_product
+from martlet.operators.executive import executive_kpis, executive_kpis_simple
 from martlet.operators.pricing import pricing_analysis
 from martlet.operators.products import product_performance
 
+MONTH = "order_month"
+
 Mart = Callable[[DataFrame, DateLike, DateLike], DataFrame]
 
 MARTS: dict[str, Mart] = {
@@ -41,6 +47,24 @@ MARTS: dict[str, Mart] = {
     "daily_heatmap_30d": daily_heatmap,
     "partner_contribution": partner_contribution,
 }
+DIMENSIONS: dict[str, Callable[[DataFrame], DataFrame]] = {"dim_product": dim_product, "dim_channel": dim_channel}
+
+
+def store_order_details(od: DataFrame, path: str) -> None:
+    """Write the lines by order month; a hot month is spread over several tasks."""
+    lines = od.withColumn(MONTH, F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit("none")))
+    lines.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+
+
+def read_order_details(
+    spark: SparkSession, path: str, schema: T.StructType, start: DateLike | None = None, end: DateLike | None = None
+) -> DataFrame:
+    """The stored lines, with the months outside ``start``..``end`` left unread."""
+    lines = spark.read.schema(T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])).parquet(path)
+    if start is not None and end is not None:
+        first, last = f"{as_date(start):%Y-%m}", f"{as_date(end):%Y-%m}"
+        lines = lines.where(F.col(MONTH).between(first, last))
+    return lines.select(*schema.fieldNames())
 
 
 def publish_marts(
@@ -48,16 +72,23 @@ def publish_marts(
     out_root: str,
     start: DateLike,
     end: DateLike,
+    current_month: DateLike,
+    previous_month: DateLike,
     names: list[str] | None = None,
+    view_prefix: str = "tableau_",
 ) -> dict[str, str]:
-    """Write each mart to ``<out_root>/<name>``; return name -> path."""
-    spark = od.sparkSession
-    lines_path = f"{out_root.rstrip('/')}/_order_lines"
-    order_lines(od, start, end).write.mode("overwrite").parquet(lines_path)
-    lines = spark.read.schema(od.schema).parquet(lines_path)
+    """Write each mart and dimension to ``<out_root>/<name>`` and register it
+    as the view ``<view_prefix><name>``; return name -> path."""
+    spark, root = od.sparkSession, out_root.rstrip("/")
+    store_order_details(od, f"{root}/order_details")
+    lines = read_order_details(spark, f"{root}/order_details", od.schema, start, end)
+    whole = read_order_details(spark, f"{root}/order_details", od.schema)
+    simple = partial(executive_kpis_simple, current_month=current_month, previous_month=previous_month)
+    builds = {n: partial(f, lines, start, end) for n, f in {**MARTS, "executive_kpis_simple": simple}.items()}
+    builds |= {n: partial(f, whole) for n, f in DIMENSIONS.items()}
     out = {}
-    for name in names or list(MARTS):
-        path = f"{out_root.rstrip('/')}/{name}"
-        MARTS[name](lines, start, end).write.mode("overwrite").parquet(path)
-        out[name] = path
+    for name in names or list(builds):
+        out[name] = f"{root}/{name}"
+        builds[name]().write.mode("overwrite").parquet(out[name])
+        spark.read.parquet(out[name]).createOrReplaceTempView(f"{view_prefix}{name}")
     return out

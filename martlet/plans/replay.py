@@ -1,13 +1,13 @@
-"""Two incremental runs on the order-derived raw rows, as one lazy plan.
+"""Two incremental runs on the order-derived raw rows.
 
 Run 1 stages the first extract from the initial load date to 1999-01-01 into
 an empty fact; run 2 stages the edited extract from run 1's cutoff to
 2002-01-01 and merges it. The cutoff flows into run 2 as a scalar subquery,
 so nothing is collected to the driver.
 
-Run 1's fact and cutoff table are checkpointed into the cluster's
-``spark.checkpoint.dir`` (the point where the real load commits). Without the
-cut every reference to run 2's stage would re-embed the whole run-1 merge
+Run 1's fact and cutoff table are checkpointed, eagerly, into the cluster's
+``spark.checkpoint.dir`` (the point where the real load commits): building a
+query on run 2 runs run 1. Without the cut every reference to run 2's stage would re-embed the whole run-1 merge
 through that subquery and the plan would grow multiplicatively.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.operators.merge import MergePlan, plan_merge
-from martlet.operators.staging import advance_cutoff, stage_updates
+from martlet.operators.staging import advance_cutoff, row_count_audit, stage_updates
 from martlet.plans.control import init_cutoff
 from martlet.schemas import ETL_CUTOFF, FACT_ORDER_DETAIL, empty
 from martlet.session import checkpoint_dir
@@ -59,7 +59,7 @@ class Replay:
 
     @cached_property
     def staged1(self) -> DataFrame:
-        return stage_updates(self.raw1, _pair_cutoff(self.cutoffs0), RUN1_TARGET, INITIAL_LOAD)
+        return stage_updates(self.raw1, None, RUN1_TARGET, INITIAL_LOAD)
 
     @cached_property
     def fact1(self) -> DataFrame:
@@ -84,7 +84,11 @@ class Replay:
 
     @cached_property
     def cutoffs2(self) -> DataFrame:
-        return advance_cutoff(self.cutoffs1, self.staged2, self.fact2, SRC, TGT)
+        return advance_cutoff(self.cutoffs1, self.staged2, self.fact1, SRC, TGT)
+
+    @cached_property
+    def audit2(self) -> DataFrame:
+        return row_count_audit(self.raw2, self.staged2, self.fact1, self.merge2.inserts)
 
 
 def _pair_cutoff(cutoffs: DataFrame):

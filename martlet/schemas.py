@@ -1,7 +1,9 @@
 """Declared table layouts (the reference uses fixed DDL, no inference).
 
-DATETIME is zoneless, so it maps to ``timestamp_ntz``; money columns are
-``decimal(18,2)``. Readers select and cast to these and fail on a missing column.
+DATETIME is zoneless, so it maps to ``timestamp_ntz``. Money of the load (raw,
+staging, fact) is NUMERIC, ``decimal(38,9)``; the derived sales lines hold
+``decimal(18,2)``. Readers select and cast to these and fail on a missing
+column or on a cast that could round.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+NUMERIC = T.DecimalType(38, 9)
 NTZ = T.TimestampNTZType()
 S = T.StringType()
 
@@ -36,9 +39,9 @@ RAW_ORDER_ITEMS = T.StructType(
         _f("partner_name", S),
         _f("product_key", S),
         _f("product_name", S),
-        _f("cost", MONEY),
-        _f("price", MONEY),
-        _f("total_discount", MONEY),
+        _f("cost", NUMERIC),
+        _f("price", NUMERIC),
+        _f("total_discount", NUMERIC),
     ]
 )
 STAGED_ORDER_ITEMS = RAW_ORDER_ITEMS
@@ -59,11 +62,11 @@ FACT_ORDER_DETAIL = T.StructType(
         _f("partner", S),
         _f("product_key", S),
         _f("product_name", S),
-        _f("cost", MONEY),
-        _f("price", MONEY),
-        _f("total_discount", MONEY),
-        _f("dt_insert", NTZ, doc="When record was first inserted"),
-        _f("dt_update", NTZ, doc="When record was last updated"),
+        _f("cost", NUMERIC),
+        _f("price", NUMERIC),
+        _f("total_discount", NUMERIC),
+        _f("dt_insert", NTZ, doc="run clock of the insert; never changed afterwards"),
+        _f("dt_update", NTZ, doc="run clock of the newest update, NULL until then"),
     ]
 )
 
@@ -77,21 +80,21 @@ STAGE_TO_FACT = {
 
 LINEAGE = T.StructType(
     [
-        _f("lineage_key", S, nullable=False, doc="Unique identifier for each ETL run"),
-        _f("data_load_started", NTZ, doc="When ETL process started"),
-        _f("src_table_name", S, doc="Source table name"),
-        _f("tgt_table_name", S, doc="Target table name"),
-        _f("data_load_completed", NTZ, doc="When ETL process completed"),
-        _f("was_successful", T.BooleanType(), doc="Success/failure flag"),
-        _f("source_sys_cutoff_time", NTZ, doc="Data cutoff time for this run"),
+        _f("lineage_key", S, nullable=False, doc="UUID drawn for the run"),
+        _f("data_load_started", NTZ, doc="clock at the run's start"),
+        _f("src_table_name", S, doc="where the rows come from"),
+        _f("tgt_table_name", S, doc="where the rows go"),
+        _f("data_load_completed", NTZ, doc="clock at the run's end, NULL while open"),
+        _f("was_successful", T.BooleanType(), doc="true once the run is closed"),
+        _f("source_sys_cutoff_time", NTZ, doc="exclusive upper bound of the run's window"),
     ]
 )
 
 ETL_CUTOFF = T.StructType(
     [
-        _f("src_table_name", S, doc="Source table name"),
-        _f("tgt_table_name", S, doc="Target table name"),
-        _f("cutoff_time", NTZ, doc="Last successfully processed timestamp"),
+        _f("src_table_name", S, doc="where the rows come from"),
+        _f("tgt_table_name", S, doc="where the rows go"),
+        _f("cutoff_time", NTZ, doc="newest update_date taken over so far, NULL before the first run"),
     ]
 )
 
@@ -118,13 +121,24 @@ ORDER_DETAILS = T.StructType(
 )
 
 
+def _may_round(have: T.DataType, want: T.DataType) -> bool:
+    if not isinstance(want, T.DecimalType):
+        return False
+    return isinstance(have, T.FractionalType) and not (isinstance(have, T.DecimalType) and have.scale <= want.scale)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns in order, cast to its types.
 
-    A missing column raises (AnalysisException) instead of being invented.
+    A missing column raises (AnalysisException) instead of being invented; so
+    does (TypeError) floating-point money, or money with more decimal places
+    than the schema holds, which a cast would round without a word.
     """
-    current = [(f.name, f.dataType) for f in df.schema.fields]
-    if current == [(f.name, f.dataType) for f in schema.fields]:
+    have = {f.name: f.dataType for f in df.schema.fields}
+    for f in schema.fields:
+        if f.name in have and _may_round(have[f.name], f.dataType):
+            raise TypeError(f"{f.name}: {have[f.name].simpleString()} does not fit {f.dataType.simpleString()} exactly")
+    if [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]:
         return df
     cols: list[Column] = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     return df.select(*cols)

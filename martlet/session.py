@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -21,8 +22,6 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Fact partitions are replaced one month directory at a time.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
@@ -51,16 +50,19 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a fresh scratch folder set.
+    A local session without the setting (tests) gets a scratch folder. On a
+    cluster its absence is an error: checkpoints on one machine's disk are
+    lost to the others.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server owns the checkpoint dir
-        return configured or ""
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    folder = configured or tempfile.mkdtemp(prefix="martlet-ckpt-")
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir() or folder
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="martlet-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path on the storage of ``checkpoint_dir``, for a written intermediate."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,76 +1,28 @@
-"""Per-source order feeds (storefront, marketplace, wholesale), each with its
-own column names, derived from ``order_details`` for the unification build.
+"""Per-source order feeds (storefront, marketplace, wholesale) for the
+unification build, derived from one stored copy of ``order_details``.
 
-Each sales line goes to exactly one feed by its market segment, so the three
-feeds together hold every line once.
+The feeds differ as sources do: names, types, units and signs, and the
+wholesale feed has no partner. Each sales line goes to exactly one feed by its
+market segment. The copy is partitioned by feed, so unifying the three reads
+each line once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlet.operators.unify import Feed
+from martlet.schemas import MONEY
+
 # Which feed carries which segment (anything else: storefront).
 MARKETPLACE_SEGMENTS = ("BUILDING", "FURNITURE")
 WHOLESALE_SEGMENTS = ("AUTOMOBILE", "MACHINERY")
 
-# Feed column -> unified column, per feed.
-FEED_COLUMNS = {
-    "storefront": {
-        "order_name": "order_id",
-        "customer": "customer_id",
-        "created_on": "order_date",
-        "kind": "transaction_type",
-        "sku": "product_sku",
-        "title": "product_name",
-        "segment": "marketing_channel",
-        "referrer": "partner_name",
-        "qty": "adjusted_quantity",
-        "list_price": "unit_price",
-        "line_total": "line_revenue",
-        "discount": "line_discount",
-        "unit_cost": "cost",
-        "shipping": "allocated_shipping",
-        "duties": "allocated_duties",
-    },
-    "marketplace": {
-        "marketplace_order_id": "order_id",
-        "buyer_id": "customer_id",
-        "purchase_date": "order_date",
-        "event_type": "transaction_type",
-        "seller_sku": "product_sku",
-        "item_name": "product_name",
-        "sales_channel": "marketing_channel",
-        "affiliate": "partner_name",
-        "quantity_shipped": "adjusted_quantity",
-        "item_price": "unit_price",
-        "item_total": "line_revenue",
-        "promotion_discount": "line_discount",
-        "cogs": "cost",
-        "shipping_fee": "allocated_shipping",
-        "import_fees": "allocated_duties",
-    },
-    "wholesale": {
-        "po_number": "order_id",
-        "account_no": "customer_id",
-        "invoice_date": "order_date",
-        "doc_type": "transaction_type",
-        "item_code": "product_sku",
-        "item_desc": "product_name",
-        "account_segment": "marketing_channel",
-        "broker": "partner_name",
-        "cases": "adjusted_quantity",
-        "case_price": "unit_price",
-        "extended_amount": "line_revenue",
-        "allowance": "line_discount",
-        "case_cost": "cost",
-        "freight": "allocated_shipping",
-        "tariff": "allocated_duties",
-    },
-}
-
-
-def feed_of() -> F.Column:
+MONEY_COLUMNS = ("unit_price", "line_revenue", "line_discount", "cost", "allocated_shipping", "allocated_duties")
+
+
+def feed_of() -> Column:
     seg = F.col("marketing_channel")
     return (
         F.when(seg.isin(*MARKETPLACE_SEGMENTS), "marketplace")
@@ -79,18 +31,87 @@ def feed_of() -> F.Column:
     )
 
 
-def channel_feeds(od: DataFrame) -> dict[str, DataFrame]:
-    """Split ``order_details`` into the three feeds, renamed and re-typed as each source ships them."""
-    tagged = od.withColumn("_feed", feed_of())
-    feeds = {}
-    for feed, mapping in FEED_COLUMNS.items():
-        cols = []
-        for feed_col, unified in mapping.items():
-            c = F.col(unified)
-            if unified == "customer_id":
-                c = c.cast("string")  # sources ship ids as text
-            elif unified == "order_date":
-                c = c.cast("timestamp_ntz")  # and order times, not dates
-            cols.append(c.alias(feed_col))
-        feeds[feed] = tagged.where(F.col("_feed") == feed).select(*cols)
-    return feeds
+def store_feeds(od: DataFrame, path: str) -> None:
+    """Write the lines once, partitioned by the feed that will carry them."""
+    od.withColumn("feed", feed_of()).write.mode("errorifexists").partitionBy("feed").parquet(path)
+
+
+def channel_feeds(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The three feeds as their sources ship them."""
+    lines = spark.read.parquet(path)
+
+    def part(name: str) -> DataFrame:
+        return lines.where(F.col("feed") == name)
+
+    c = F.col
+    in_cents = {m: (c(m) * 100).cast("bigint") for m in MONEY_COLUMNS}
+    storefront = part("storefront").select(
+        c("order_id").alias("order_name"),
+        c("customer_id").cast("string").alias("customer"),
+        c("order_date").cast("timestamp_ntz").alias("created_on"),
+        c("transaction_type").alias("kind"),
+        c("product_sku").alias("sku"),
+        c("product_name").alias("title"),
+        c("marketing_channel").alias("segment"),
+        F.coalesce("partner_name", F.lit("")).alias("referrer"),
+        c("adjusted_quantity").cast("int").alias("qty"),
+        *[c(m) for m in MONEY_COLUMNS],
+    )
+    marketplace = part("marketplace").select(
+        F.substring("order_id", 5, 40).cast("bigint").alias("marketplace_order"),
+        c("customer_id").alias("buyer_id"),
+        F.date_format("order_date", "dd.MM.yyyy").alias("purchase_date"),
+        (c("transaction_type") == "return").alias("is_refund"),
+        c("product_sku").alias("seller_sku"),
+        c("product_name").alias("item_name"),
+        c("marketing_channel").alias("sales_channel"),
+        c("partner_name").alias("affiliate"),
+        c("adjusted_quantity").alias("quantity_shipped"),
+        *[in_cents[m].alias(f"{m}_cents") for m in MONEY_COLUMNS],
+    )
+    wholesale = part("wholesale").select(
+        c("order_id").alias("po_number"),
+        c("customer_id").cast("string").alias("account_no"),
+        F.unix_date("order_date").alias("invoice_day"),
+        F.when(c("transaction_type") == "return", "CR").otherwise("IN").alias("doc_type"),
+        c("product_sku").alias("item_code"),
+        c("product_name").alias("item_desc"),
+        F.lower("marketing_channel").alias("account_segment"),
+        c("adjusted_quantity").cast("decimal(12,0)").alias("cases"),
+        c("unit_price").cast("string").alias("case_price"),
+        c("line_revenue").alias("extended_amount"),
+        (-c("line_discount")).alias("allowance"),
+        c("cost").alias("case_cost"),
+        c("allocated_shipping").alias("freight"),
+        c("allocated_duties").alias("tariff"),
+    )
+    return {"storefront": storefront, "marketplace": marketplace, "wholesale": wholesale}
+
+
+def _amounts() -> dict[str, Column]:
+    return {m: (F.col(f"{m}_cents").cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast(MONEY) for m in MONEY_COLUMNS}
+
+
+# How each feed's columns give the unified ones.
+FEEDS = {
+    "storefront": lambda: Feed(
+        order_id="order_name", customer_id="customer", order_date="created_on", transaction_type="kind",
+        product_sku="sku", product_name="title", marketing_channel="segment",
+        partner_name=F.nullif(F.col("referrer"), F.lit("")), adjusted_quantity="qty",
+        **{m: m for m in MONEY_COLUMNS},
+    ),
+    "marketplace": lambda: Feed(
+        order_id=F.concat(F.lit("ORD-"), F.col("marketplace_order").cast("string")), customer_id="buyer_id",
+        order_date=F.to_date("purchase_date", "dd.MM.yyyy"),
+        transaction_type=F.when(F.col("is_refund"), "return").otherwise("order"),
+        product_sku="seller_sku", product_name="item_name", marketing_channel="sales_channel",
+        partner_name="affiliate", adjusted_quantity="quantity_shipped", **_amounts(),
+    ),
+    "wholesale": lambda: Feed(
+        order_id="po_number", customer_id="account_no", order_date=F.date_from_unix_date("invoice_day"),
+        transaction_type=F.when(F.col("doc_type") == "CR", "return").otherwise("order"),
+        product_sku="item_code", product_name="item_desc", marketing_channel=F.upper("account_segment"),
+        partner_name=None, adjusted_quantity="cases", unit_price="case_price", line_revenue="extended_amount",
+        line_discount=-F.col("allowance"), cost="case_cost", allocated_shipping="freight", allocated_duties="tariff",
+    ),
+}

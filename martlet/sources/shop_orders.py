@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.schemas import MONEY, RAW_ORDER_ITEMS, conform
+from martlet.schemas import MONEY, NUMERIC, RAW_ORDER_ITEMS, conform
 from martlet.sources.tables import read_table
 
 # Fixed values of the derivation.
@@ -67,3 +67,52 @@ def raw_order_items_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
             "fulfillment_status": F.when(edited, F.lit("fulfilled")).otherwise(F.col("fulfillment_status")),
         }
     )
+
+
+# Fixed rule of the mixed extract: what happens to an order by its key modulo MIX.
+MIX = 12
+
+
+def mixed_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows for a target with repeated ids and NULL ids; one in twelve orders is missing."""
+    df = raw_order_items(spark, sf_dir).withColumn("k", F.substring("order_id", 5, 20).cast("bigint"))
+    copies = F.when(F.col("k") % 60 == 1, 2).otherwise(1)
+    return (
+        df.where(F.col("k") % MIX != 10)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+        .withColumn("id", F.when(F.col("k") % 60 != 9, F.col("id")))
+        .drop("k", "copy")
+    )
+
+
+def mixed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staged extract in which each rule of the merge decides some rows.
+
+    By key modulo 12: 0-5 change one compared column each (2 from or to a blank
+    code, 4 to NULL), 6 the price alone, 7 is an exact copy twice, 8 two rows of
+    which one changes the channel, 9 has no id, 10 is new, twice, and 11 sets
+    a status that the target may not have.
+    """
+    df = raw_order_items(spark, sf_dir).withColumn("k", F.substring("order_id", 5, 20).cast("bigint"))
+    arm = F.col("k") % MIX
+    twice = arm.isin(7, 8, 10)
+    df = df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(twice, 2).otherwise(1))))
+    second = F.col("copy") == 2
+    day = F.make_dt_interval(days=F.lit(1))
+    return conform(
+        df.withColumns(
+            {
+                "financial_status": F.when(arm == 0, "void").otherwise(F.col("financial_status")),
+                "fulfillment_status": F.when(arm.isin(1, 11), "returned").otherwise(F.col("fulfillment_status")),
+                "discount_codes": F.when(arm == 2, F.when(F.col("k") % 24 == 2, "").otherwise("NEW")).otherwise(
+                    F.col("discount_codes")
+                ),
+                "channel": F.when((arm == 3) | ((arm == 8) & second), "OUTLET").otherwise(F.col("channel")),
+                "partner_name": F.when(arm != 4, F.col("partner_name")),
+                "update_date": F.when(arm == 5, F.col("update_date") + day).otherwise(F.col("update_date")),
+                "price": F.when((arm == 6) | (arm.isin(8, 10) & ~second), F.col("price") + 1).otherwise(F.col("price")).cast(NUMERIC),
+                "id": F.when(arm == 10, F.concat("id", F.lit("-N"))).when(arm != 9, F.col("id")),
+            }
+        ),
+        RAW_ORDER_ITEMS,
+    )

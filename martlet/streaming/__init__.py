@@ -1,5 +1,5 @@
-"""Structured Streaming front end for the incremental load."""
+"""Structured Streaming front ends."""
 
-from martlet.streaming.landing import start_landing_stream
+from martlet.streaming.landing import start_landing_stream, state_path
 
-__all__ = ["start_landing_stream"]
+__all__ = ["start_landing_stream", "state_path"]

@@ -1,10 +1,8 @@
-"""Synthetic 30-row landing set with the shape of the reference seed.
+"""A small landing set of our own for the incremental load.
 
-Five row templates, six rows each. Within a template the first row has the
-template's start time and row i >= 1 sits on the i-th 5-minute mark after it;
-a template either keeps update_date = order_date or swaps the two clocks of
-another template. Ids, customers, codes and names are synthetic; dates,
-NULL statuses and prices keep the seed's shape.
+24 orders of a tea shop over the first days of March 2031, two to six hours
+apart. Every third order is touched again a day later, every fifth was entered
+late (its update lies before its order), statuses and codes are NULL in turn.
 """
 
 from __future__ import annotations
@@ -14,52 +12,41 @@ from decimal import Decimal
 
 from martlet.schemas import RAW_ORDER_ITEMS
 
-D = Decimal
+ROWS = 24
+START = dt.datetime(2031, 3, 1, 6, 30)
+TEAS = (("T-10", "Assam", "3.125", "11.50"), ("T-20", "Sencha", "4.40", "14.90"), ("T-30", "Rooibos", "2.075", "9.25"))
 
 
-def _times(first: dt.datetime) -> list[dt.datetime]:
-    mark = first + dt.timedelta(minutes=(5 - first.minute % 5) % 5 or 5)
-    return [first] + [mark + dt.timedelta(minutes=5 * i) for i in range(5)]
+def order_time(i: int) -> dt.datetime:
+    return START + dt.timedelta(hours=4 * i + (i * i) % 3, minutes=7 * (i % 5))
 
 
-# (order start, update start, fulfillment, channel, product_key, name, cost, price, discount, code, partner)
-TEMPLATES = [
-    ("2025-09-19 13:55", "2025-09-19 13:55", "fulfilled", "Audio", "02000130", "Green Tin", "21.05", "69.95", "62.95", "alpha", "Partner One"),
-    ("2025-09-16 11:36", "2025-09-16 19:19", None, "Group", "01000130", "Red Tin", "19.26", "99", "0", "beta", "Partner Two"),
-    ("2025-09-15 13:47", "2025-09-15 13:47", "fulfilled", "Audio", "02000130", "Green Tin", "21.05", "69.95", "31.48", "gamma", "Partner Three"),
-    ("2025-09-16 19:19", "2025-09-16 11:36", None, "Group", "01000130", "Red Tin", "19.26", "99", "0", "delta", "Partner Four"),
-    ("2025-09-15 09:56", "2025-09-15 09:56", "fulfilled", "Audio", "02000130", "Green Tin", "21.05", "69.95", "0", "epsilon", "Partner Five"),
-]
+def update_time(i: int) -> dt.datetime:
+    at = order_time(i)
+    if i % 3 == 2:
+        return at + dt.timedelta(days=1, minutes=11)
+    return at - dt.timedelta(hours=2) if i % 5 == 4 else at
 
 
 def seed_rows() -> list[tuple]:
     rows = []
-    n = 0
-    for t, (o, u, ful, ch, pk, pn, cost, price, disc, code, partner) in enumerate(TEMPLATES):
-        for od, ud in zip(_times(dt.datetime.fromisoformat(o)), _times(dt.datetime.fromisoformat(u))):
-            n += 1
-            rows.append(
-                (
-                    f"{30000000000000 + n}",
-                    f"{4000000000000 + n}",
-                    f"{900000 + n}",
-                    od,
-                    ud,
-                    f"{700000000000 + t}",
-                    "paid",
-                    ful,
-                    code,
-                    ch,
-                    partner,
-                    pk,
-                    pn,
-                    D(cost),
-                    D(price),
-                    D(disc),
-                )
+    for i in range(ROWS):
+        key, name, cost, price = TEAS[i % 3]
+        rows.append(
+            (
+                f"line-{i:03d}", f"ord-{i // 2:03d}", f"{7000 + i}", order_time(i), update_time(i), f"cust-{i % 7}",
+                ("paid", "pending", None)[i % 3], "sent" if i % 4 == 0 else None, (None, "", "SPRING")[i % 3],
+                ("web", "shop")[i % 2], None if i % 6 == 0 else f"partner {i % 4}", key, name,
+                Decimal(cost), Decimal(price), Decimal(i % 4),
             )
+        )
     return rows
 
 
 def seed_df(spark):
     return spark.createDataFrame(seed_rows(), RAW_ORDER_ITEMS)
+
+
+def updated_in(low: dt.datetime | None, high: dt.datetime) -> list[int]:
+    """Numbers of the rows whose update lies in [low, high)."""
+    return [i for i in range(ROWS) if (low is None or update_time(i) >= low) and update_time(i) < high]

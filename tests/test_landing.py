@@ -1,20 +1,22 @@
-"""Raw landed by update day: the change window prunes day partitions."""
+"""Raw landed by update day or month: the change window prunes folders."""
 
 import datetime as dt
 
+import pytest
+
 from martlet.operators.staging import stage_updates
-from martlet.sources.landing import read_landing, write_landing
-from tests.seed import seed_df
+from martlet.sources.landing import DAY, MONTH, read_landing, write_landing
+from tests.seed import seed_df, updated_in
 
 
-def test_window_prunes_update_days(spark, scratch):
-    path = f"{scratch}/landing"
-    raw = seed_df(spark)
-    write_landing(raw, path)
-    landed = read_landing(spark, path)
-    staged = stage_updates(landed, dt.datetime(2025, 9, 15, 14, 10), dt.datetime(2025, 9, 17))
+@pytest.mark.parametrize("by", [DAY, MONTH])
+def test_window_prunes_folders(spark, scratch, by):
+    raw, path = seed_df(spark), f"{scratch}/landing"
+    write_landing(raw, path, by=by)
+    low, high = dt.datetime(2031, 3, 2, 9), dt.datetime(2031, 3, 4)
+    staged = stage_updates(read_landing(spark, path, by=by), low, high)
     plan = staged._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(update_day" in plan and "update_day" in plan
-    direct = stage_updates(raw, dt.datetime(2025, 9, 15, 14, 10), dt.datetime(2025, 9, 17))
-    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, direct.collect()))
-    assert staged.count() == 13
+    assert f"PartitionFilters: [isnotnull({by}" in plan
+    direct = stage_updates(raw, low, high)
+    assert sorted(map(str, staged.collect())) == sorted(map(str, direct.collect()))
+    assert staged.count() == len(updated_in(low, high))

@@ -1,4 +1,4 @@
-"""MERGE semantics on hand frames (edge rows of the seed's shape)."""
+"""MERGE semantics on hand frames."""
 
 import datetime as dt
 from decimal import Decimal
@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from martlet.operators.merge import merge_upsert, plan_merge
+from martlet.operators.merge import Rule, merge_upsert, now_los_angeles, plan_merge
 from martlet.operators.staging import advance_cutoff, stage_updates
 from martlet.schemas import ETL_CUTOFF, FACT_ORDER_DETAIL, RAW_ORDER_ITEMS, empty
 
@@ -29,7 +29,7 @@ def fact_of(spark, rows):
 def merged(spark, target_rows, source_rows, **kw):
     target = fact_of(spark, target_rows)
     staged = spark.createDataFrame(source_rows, RAW_ORDER_ITEMS) if source_rows else empty(spark, RAW_ORDER_ITEMS)
-    plan = plan_merge(target, staged, CLOCK, **kw)
+    plan = plan_merge(target, staged, CLOCK, Rule(**kw))
     rows = plan.apply(target).collect()
     return rows, plan.counts().first()
 
@@ -126,8 +126,8 @@ def test_cutoff_falls_back_to_fact_then_null(spark):
 
 
 def test_hot_id_copies_collapse_before_matching(spark):
-    """One id carrying thousands of staged rows (exact copies and price-only
-    variants) meets its target row as a single weighted profile."""
+    """One id with thousands of staged rows (exact copies and price-only
+    variants) meets its target row as a single counted profile."""
     target = fact_of(spark, [raw_row("hot"), raw_row("cold")])
     rows = [raw_row("hot", update="2025-09-18 10:00", price=p) for p in ("1.00", "2.00", "3.00") for _ in range(1000)]
     staged = spark.createDataFrame(rows, RAW_ORDER_ITEMS)
@@ -138,3 +138,32 @@ def test_hot_id_copies_collapse_before_matching(spark):
     single = spark.createDataFrame([raw_row("hot", update="2025-09-18 10:00")] * 3000, RAW_ORDER_ITEMS)
     out = plan_merge(target, single, CLOCK).apply(target).collect()
     assert len(out) == 2 and {r.detail_id: r.update_date for r in out}["hot"] == T("2025-09-18 10:00")
+
+
+def test_merge_of_any_table(spark):
+    """Two keys, one compared column with a default, one plain, other stamps and names."""
+    target = spark.createDataFrame(
+        [(1, "a", 5, None, "keep"), (1, "b", 6, "x", "keep"), (2, "a", None, "y", "keep")],
+        "shop int, item string, stock int, shelf string, note string",
+    ).withColumns({"born": F.lit(CLOCK0).cast("timestamp_ntz"), "seen": F.lit(None).cast("timestamp_ntz")})
+    staged = spark.createDataFrame(
+        [(1, "a", 5, "", "new"), (1, "b", 7, "x", "new"), (2, "a", 9, "y", "new"), (3, "a", 1, "z", "new")],
+        "store int, item string, stock int, shelf string, note string",
+    )
+    rule = Rule(
+        keys=("shop", "item"), change_cols={"stock": None, "shelf": ""}, update_cols=("stock", "shelf"),
+        rename={"store": "shop"}, insert_stamp="born", update_stamp="seen",
+    )
+    plan = plan_merge(target, staged, CLOCK, rule)
+    got = {(r.shop, r.item): (r.stock, r.shelf, r.note, r.born, r.seen) for r in plan.apply(target).collect()}
+    assert got == {
+        (1, "a"): (5, None, "keep", CLOCK0, None),  # blank and NULL are the same shelf
+        (1, "b"): (7, "x", "keep", CLOCK0, CLOCK),
+        (2, "a"): (None, "y", "keep", CLOCK0, None),  # NULL stock against a value is no difference
+        (3, "a"): (1, "z", "new", CLOCK, None),
+    }
+    assert tuple(plan.counts().first()) == (4, 1, 1, 2)
+
+
+def test_clock_keeps_microseconds():
+    assert any(now_los_angeles().microsecond for _ in range(20))
