@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martlet.llm import urls
+from martlet.llm import decontaminate, jaccard, urls
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.RULES)
 _LOW, _HIGH = urls.PRIOR_PAGES
@@ -68,5 +68,53 @@ FROM parsed p LEFT JOIN fits f USING (host, path) LEFT JOIN p_host h USING (host
 """
 
 
+_FOLD = f"translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}')"
+
+# Windows of the documents, of every length that some item's windows have, joined by their text.
+DECONTAMINATION = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+items AS (
+  SELECT item_id::VARCHAR AS id, w, least({decontaminate.WINDOW}, len(w)) AS n
+  FROM (SELECT item_id, regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+  WHERE len(w) > 0
+),
+windows AS (SELECT DISTINCT id, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM items, unnest(range(1, len(w) - n + 2)) t(i)),
+found AS (
+  SELECT DISTINCT d.r, d.n, d.i, v.id
+  FROM (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+        FROM docs, (SELECT DISTINCT n FROM items) l, unnest(range(1, len(w) - n + 2)) t(i)) d
+  JOIN windows v ON v.n = d.n AND v.s = d.s
+),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + n)) t(p) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, id FROM found) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+JACCARD = rf"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_FOLD}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE
+    WHEN len(w) >= {jaccard.WIDTH}
+      THEN list_distinct(list_transform(range(1, len(w) - {jaccard.WIDTH} + 2), lambda i: array_to_string(w[i:i + {jaccard.WIDTH} - 1], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
+  FROM words
+),
+members AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM members a JOIN members b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= {jaccard.PERCENT} * (a.n + b.n - count(*))
+),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+labels AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id FROM sets JOIN labels USING (doc_id)
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op10_url_filters": URL_FILTERS}
+    return {"op2_jaccard_join": JACCARD, "op4_decontamination": DECONTAMINATION, "op10_url_filters": URL_FILTERS}

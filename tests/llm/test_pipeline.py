@@ -1,5 +1,7 @@
 """The pipeline and the registered queries."""
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -8,6 +10,7 @@ from martlet.llm.mix import word_count
 from tests.conftest import SF_SMOKE
 from tests.llm.frames import documents
 from tests.llm.test_text_search import bench_words, plain_components, plain_sets
+from tests.oracle_compare import digest
 
 
 def test_eleven_queries():
@@ -16,6 +19,17 @@ def test_eleven_queries():
     assert set(queries.oracle_sql()) <= set(names)
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_equal_their_sql(spark, name):
+    out = queries.queries()[name](spark, SF_SMOKE)
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMOKE}/{t}.parquet'")
+    res = con.execute(queries.oracle_sql()[name])
+    columns = [d[0] for d in res.description]
+    assert digest(columns, res.fetchall()) == digest(out.columns, [tuple(r) for r in out.collect()])
+
+
 def test_stages_in_turn(spark):
     docs = documents(spark, extra=False).cache()
     columns, seen = docs.columns, {}

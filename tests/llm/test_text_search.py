@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from martlet.llm import decontaminate, jaccard, substrings
@@ -125,8 +126,11 @@ def near_copies(n, seed=4):
     return rows
 
 
-@pytest.mark.parametrize("percent", [85, 80])
-def test_jaccard_components_equal_plain_join(spark, percent):
+@pytest.mark.parametrize("percent, small", [(85, jaccard.SMALL), (80, 2)])
+def test_jaccard_components_equal_plain_join(spark, monkeypatch, percent, small):
+    """With a bound of two, most groups are compared block against block."""
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
     rows = near_copies(60)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     join = jaccard.Join(docs, percent=percent)
@@ -137,6 +141,16 @@ def test_jaccard_components_equal_plain_join(spark, percent):
     assert got == {i: (len(sets[i]), want[i]) for i in sets}
 
 
+def test_block_links_connect_what_is_similar(monkeypatch):
+    monkeypatch.setattr(jaccard, "COLUMNS", 7)
+    base = list(range(100))
+    members = [base, base[:90], base[5:], list(range(500, 560)), list(range(500, 555)), [1], [1], list(range(60, 160))]
+    rows = pd.DataFrame({"rep": range(8), "label": [0, 1, 2, 3, 4, 5, 5, 7], "members": [np.array(m) for m in members]})
+    links = jaccard.block_links(rows, 85)
+    groups = plain_components({i: frozenset(m) for i, m in enumerate(members)}, 85)
+    assert all(groups[a] == groups[b] for a, b in links) and len(links) == 3
+
+
 def test_signatures_cover_every_similar_pair():
     """Any two sets within the limit share a signature under some tag."""
     r = random.Random(8)
