@@ -1,9 +1,10 @@
 """Monthly product performance: rank, tier and previous-row lag (P5).
 
-The rank window partitions by month (rows per partition = products sold
-that month) and the lag window by sku (rows = months): both run on the
-monthly aggregate, whose size is set by the catalog and the calendar, not by
-the number of sales lines.
+Both windows run on the monthly aggregate. The lag window partitions by sku
+(rows = months). A month's ranking would sort its whole catalogue in one task,
+so it is taken in two levels: products fall into ``BANDS`` bands of net revenue
+between the month's least and greatest, ranks count within a band, and the
+products of the bands above are added. Equal revenues share a band.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ COLUMNS = (
 # Fixed tier cut-offs, first match wins.
 TIERS = ((5, "Top 5"), (10, "Top 10"), (20, "Top 20"))
 OTHER = "Other"
+#: Bands of net revenue that a month's ranking is split into.
+BANDS = 64
 
 
 def product_monthly(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
@@ -35,11 +38,24 @@ def product_monthly(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     )
 
 
+def ranked_in_month(monthly: DataFrame) -> DataFrame:
+    """``monthly`` with ``revenue_rank``: RANK() by net revenue, largest first, NULLs last."""
+    net = F.col("net_revenue").cast("double")
+    bounds = monthly.groupBy("_month").agg(F.min(net).alias("_least"), F.max(net).alias("_most"))
+    width = F.col("_most") - F.col("_least")
+    band = F.when(net.isNull(), BANDS).when(width <= 0, 0).otherwise(F.floor((F.col("_most") - net) / width * (BANDS - 1)))
+    banded = monthly.join(bounds, "_month").withColumn("_band", band.cast("int"))
+    above = Window.partitionBy("_month").orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    counts = banded.groupBy("_month", "_band").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_month", "_band", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
+    in_band = Window.partitionBy("_month", "_band").orderBy(F.col("net_revenue").desc())
+    rank = (F.col("_above") + F.rank().over(in_band)).cast("bigint")
+    return banded.join(before, ["_month", "_band"]).withColumn("revenue_rank", rank)
+
+
 def product_performance(od: DataFrame, start: DateLike, end: DateLike, with_lead: bool = False) -> DataFrame:
     monthly = product_monthly(od, start, end)
-    in_month = Window.partitionBy("_month").orderBy(F.col("net_revenue").desc())
     by_sku = Window.partitionBy("product_sku").orderBy("_month", "product_name")
-    rank = F.rank().over(in_month).cast("bigint")
     tier = F.lit(OTHER)
     for cut, name in reversed(TIERS):
         tier = F.when(F.col("revenue_rank") <= cut, name).otherwise(tier)
@@ -61,4 +77,4 @@ def product_performance(od: DataFrame, start: DateLike, end: DateLike, with_lead
             F.lead("units_sold", 1).over(by_sku).alias("next_month_units"),
             F.lead("net_revenue", 1).over(by_sku).alias("next_month_revenue"),
         ]
-    return monthly.withColumn("revenue_rank", rank).select(*cols)
+    return ranked_in_month(monthly).select(*cols)

@@ -64,6 +64,21 @@ def test_tied_products_share_rank(spark):
     assert ranks == {"A": (1, "Top 5"), "B": (1, "Top 5"), "C": (3, "Top 5")}
 
 
+def test_rank_over_bands_equals_one_window(spark, monkeypatch):
+    import random
+
+    from martlet.operators import products
+
+    monkeypatch.setattr(products, "BANDS", 5)
+    r = random.Random(3)
+    rows = [line(sku=f"S{i}", name=f"N{i}", rev=f"{r.choice([-50, 0, 1, 2, 3, 70, 900])}.00") for i in range(60)]
+    rows += [line(sku="null", name="null")[:10] + (None,) + line()[11:]]
+    got = {x.product_sku: (x.revenue_rank, x.net_revenue) for x in product_performance(frame(spark, rows), START, END).collect()}
+    for sku, (rank, net) in got.items():
+        greater = sum(1 for _, other in got.values() if other is not None and (net is None or other > net))
+        assert rank == greater + 1
+
+
 def test_lag_takes_previous_present_month(spark):
     od = frame(spark, [line(day="2023-01-05", qty=1), line(day="2023-03-05", qty=3)])
     rows = {r.year_month: r.prev_month_units for r in product_performance(od, START, END).collect()}
