@@ -7,8 +7,9 @@ so nothing is collected to the driver.
 
 Run 1's fact and cutoff table are checkpointed, eagerly, into the cluster's
 ``spark.checkpoint.dir`` (the point where the real load commits): building a
-query on run 2 runs run 1. Without the cut every reference to run 2's stage would re-embed the whole run-1 merge
-through that subquery and the plan would grow multiplicatively.
+query on run 2 runs run 1. Without the cut every reference to run 2's stage
+would re-embed the whole run-1 merge through that subquery, and the plan would
+grow multiplicatively.
 """
 
 from __future__ import annotations
