@@ -196,10 +196,11 @@ def _set_rows(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for batch, text in pieces(batches):
             hashes, bounds = _sets(text, width)
+            node = pa.array(set_keys(hashes, bounds).view(np.int64), pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64), pa.int64()))
-            yield with_columns(batch, ["node"], members=lists)
+            yield with_columns(batch, [], node=node, members=lists)
 
-    return docs.select("node", "text").mapInArrow(run, "node long, members array<long>")
+    return docs.select("text").mapInArrow(run, "node long, members array<long>")
 
 
 class Join:
@@ -215,6 +216,7 @@ class Join:
         self.rows = self.scratch.keep(keyed(base, ["id"], width), "rows")
         reps = self.rows.filter("n_shingles > 0").groupBy("node").agg(F.min("id").alias("rep"))
         shared = self.scratch.keep(_shared(_signature_rows(base, width, percent)), "shared")
+        self.scratch.release()
         groups = shared.join(reps.hint("merge"), "node").filter(F.col("rep").isNotNull())
         sizes = groups.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
         groups = groups.join(sizes.hint("merge"), "sig")
@@ -223,11 +225,14 @@ class Join:
         groups = groups.join(central.hint("merge"), "node").select("sig", "n", "node", "rep", "score", F.col("rep").alias("label"))
         groups = self.scratch.keep(groups, "groups-0")
         self.scratch.drop("shared")
-        wanted = groups.select("node", F.col("rep").alias("id")).distinct()
-        # One row for each node: equal ids with equal texts would bring it twice.
-        texts = base.join(wanted, "id").join(self.rows.select("id", "node").distinct(), ["id", "node"])
+        self.scratch.release()
+        wanted = groups.select(F.col("rep").alias("id")).distinct()
+        # One row for each node: rows that share an id may bring one twice.
+        texts = base.join(wanted, "id", "left_semi")
         self.sets = self.scratch.keep(_set_rows(texts, width).dropDuplicates(["node"]), "sets")
+        self.scratch.release()
         links = self._links(groups)
+        self.scratch.release()
         labels = components(links, self.scratch, "components")
         joined = reps.join(labels.hint("merge"), reps["rep"] == labels["node"], "left")
         self.nodes = joined.select(reps["node"], "rep", F.coalesce("label", "rep").alias("component_id"))
@@ -235,6 +240,7 @@ class Join:
     def _links(self, groups: DataFrame) -> DataFrame:
         """Links (a, b) between smallest ids that connect every component."""
         first = self.scratch.keep(self._similar(self._central(groups)), "links-0").select("a", "b")
+        self.scratch.release()
         merged = components(first, self.scratch, "merge")
         labels = groups.join(merged.withColumnRenamed("label", "new").hint("merge"), groups["rep"] == merged["node"], "left")
         groups = labels.select("sig", "n", groups["node"], "rep", F.coalesce("new", "label").alias("label"))
