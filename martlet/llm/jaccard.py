@@ -227,9 +227,11 @@ class Join:
         self.scratch.drop("shared")
         self.scratch.release()
         wanted = groups.select(F.col("rep").alias("id")).distinct()
-        # One row for each node: rows that share an id may bring one twice.
         texts = base.join(wanted, "id", "left_semi")
-        self.sets = self.scratch.keep(_set_rows(texts, width).dropDuplicates(["node"]), "sets")
+        sets = _set_rows(texts, width)
+        if self.rows.groupBy("id").count().filter("count > 1").limit(1).count():
+            sets = sets.dropDuplicates(["node"])  # rows that share an id: else each node has one row anyway
+        self.sets = self.scratch.keep(sets, "sets")
         self.scratch.release()
         links = self._links(groups)
         self.scratch.release()
@@ -239,7 +241,7 @@ class Join:
 
     def _links(self, groups: DataFrame) -> DataFrame:
         """Links (a, b) between smallest ids that connect every component."""
-        first = self.scratch.keep(self._similar(self._central(groups)), "links-0").select("a", "b")
+        first = self.scratch.keep(self._similar(self._central(groups), "central"), "links-0").select("a", "b")
         self.scratch.release()
         merged = components(first, self.scratch, "merge")
         labels = groups.join(merged.withColumnRenamed("label", "new").hint("merge"), groups["rep"] == merged["node"], "left")
@@ -247,10 +249,11 @@ class Join:
         groups = self.scratch.keep(groups, "groups-1")
         open_groups = groups.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
         groups = groups.join(open_groups.select("sig").hint("merge"), "sig", "left_semi")
-        small = self._similar(self._all_pairs(groups.filter(F.col("n") <= SMALL))).select("a", "b")
-        large = self._in_blocks(groups.filter(F.col("n") > SMALL))
-        rest = self.scratch.keep(small.unionByName(large), "links-1")
-        return first.unionByName(rest)
+        small = self._similar(self._all_pairs(groups.filter(F.col("n") <= SMALL)), "small").select("a", "b")
+        small = self.scratch.keep(small, "links-1")
+        self.scratch.release()
+        large = self.scratch.keep(self._in_blocks(groups.filter(F.col("n") > SMALL)), "links-2")
+        return first.unionByName(small).unionByName(large)
 
     @staticmethod
     def _central(groups: DataFrame) -> DataFrame:
@@ -301,10 +304,14 @@ class Join:
             .applyInPandas(compare, f"a {kind}, b {kind}")
         )
 
-    def _similar(self, pairs: DataFrame) -> DataFrame:
+    def _similar(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs whose whole sets are similar enough, as (a, b)."""
-        one = self.sets.select("node", F.col("members").alias("m1"))
-        two = self.sets.select(F.col("node").alias("node2"), F.col("members").alias("m2"))
+        pairs = self.scratch.keep(pairs, f"{name}-pairs")
+        self.scratch.release()
+        # Only the sets that the pairs name travel.
+        one = self.sets.join(pairs.select("node").distinct(), "node", "left_semi")
+        two = self.sets.join(pairs.select(F.col("node2").alias("node")).distinct(), "node", "left_semi")
+        one, two = one.withColumnRenamed("members", "m1"), two.select(F.col("node").alias("node2"), F.col("members").alias("m2"))
         return (
             pairs.join(one.hint("merge"), "node")
             .join(two.hint("merge"), "node2")
