@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -51,15 +50,6 @@ class Scratch:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def release(self) -> None:
-        """Let Spark remove the shuffle files of plans that nothing refers to any more.
-
-        It does so when the driver collects its garbage, which a large heap may
-        put off until the disks are full.
-        """
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def drop(self, name: str) -> None:
         """Delete a table that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm
