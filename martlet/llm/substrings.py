@@ -9,12 +9,16 @@ repeats across documents meets in one shard without comparing all shards.
 Segments that are equal as a whole (128 bits of hash) repeat the first of
 them. Of those that only share the anchor, the first of each kind goes on with
 its bytes: a shard joins them, sorts a suffix array by Larsson-Sadakane
-refinement, takes the common prefixes of neighbours, and marks all but the
-first of equal strings. A shard over ``ARRAY_BYTES`` has several arrays, which
-are merged by binary search of the later strings in the earlier arrays.
+refinement, compares neighbours, and marks all but the first of equal strings.
+An array of up to ``ARRAY_BYTES`` holds whole anchors, and as equal strings
+have one anchor, arrays need not be compared with each other.
 
-Each task merges what repeats within its own texts before the shuffle, so an
-anchor that a third of all rows holds sends one row per task.
+Each task merges what repeats within its own texts before the shuffle, so a
+segment that a third of all rows holds sends one row per task. A passage in
+differing contexts still sends a segment for each document, all of one anchor.
+Anchors with more than ``HOT_ROWS`` segments are therefore not dealt as one:
+their segments are dealt by their own hash, and their strings one by one by
+128 bits of hash, an aggregate whose least position is the first of equals.
 
 Order is doc_id, then start. Defined cases: null texts are empty; texts under
 ``LENGTH`` bytes keep every byte; rows equal in id and text are one document
@@ -29,6 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +47,8 @@ GRAM = 32
 SHARD_BYTES = 24 << 20
 #: Bytes that one suffix array sorts.
 ARRAY_BYTES = 2 << 20
+#: Segments of one anchor that go to one task; so many fill an array at most.
+HOT_ROWS = ARRAY_BYTES // (2 * LENGTH - GRAM)
 #: Anchor rows that a task merges before it sends them.
 MERGE_ROWS = 600_000
 
@@ -49,6 +56,8 @@ MERGE_ROWS = 600_000
 SLICE_BYTES = 4 << 20
 
 _LOW = np.uint64(0x7FFFFFFF)
+#: Other numbers for the bytes, for a second hash.
+_OTHER = mix(np.arange(256, dtype=np.uint64), 77)
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray):
@@ -170,14 +179,29 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "mark", "text").mapInArrow(run, "fp long, ext long, doc long, pack long")
 
 
-def _decide(rows: DataFrame, shards: int) -> DataFrame:
-    """(doc, mark, lo, size, fp): spans that repeat (null fp), and segments to be compared byte by byte."""
+def _hot_anchors(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(fp, hot): the anchors with more than ``HOT_ROWS`` segments.
+
+    Anchors are first counted in buckets of few rows on average; only a bucket
+    over the bound can hold such an anchor, so most anchors are never dealt.
+    """
+    held = rows.filter(F.shiftright("pack", 24).bitwiseAND(F.lit(0xFF).cast("long")) > 0)
+    bucket = F.pmod(F.col("fp"), F.lit(max(1 << 10, 4 * rows.count() // HOT_ROWS)).cast("long"))
+    held = held.select("fp", bucket.alias("bucket"))
+    over = lambda *key: held.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > HOT_ROWS)
+    full = scratch.keep(over("bucket").select("bucket"), "buckets")
+    held = held.join(full, "bucket", "left_semi")
+    return over("fp").select("fp", F.lit(True).alias("hot"))
+
+
+def _decide(rows: DataFrame, hot: DataFrame, shards: int) -> DataFrame:
+    """(doc, mark, lo, size, fp, hot): spans that repeat (null fp), and segments to be compared byte by byte."""
 
     def run(batches):
         held = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
         if not held:
             return
-        fp, ext, doc, pack = (np.concatenate(x) for x in zip(*held))
+        fp, ext, doc, pack, hot = (np.concatenate(x) for x in zip(*held))
         size = (pack >> 24) & 0xFF
         known = size == 0
         order = _order(fp, ext, doc, pack)
@@ -186,7 +210,8 @@ def _decide(rows: DataFrame, shards: int) -> DataFrame:
         first = _first_of_kind(f, e)
         kinds = np.add.reduceat(first.astype(np.int64), np.flatnonzero(np.r_[True, f[1:] != f[:-1]])) if len(f) else first
         many = np.repeat(kinds > 1, np.diff(np.flatnonzero(np.r_[True, f[1:] != f[:-1], True]))) if len(f) else first
-        again, compare = order[~first], order[first & many]
+        # A hot anchor's other kinds are in other tasks.
+        again, compare = order[~first], order[first & (many | hot[order])]
         spans = np.concatenate([np.flatnonzero(known), again])
         lengths = np.where(known, ext, size)
         every = np.concatenate([spans, compare])
@@ -197,22 +222,26 @@ def _decide(rows: DataFrame, shards: int) -> DataFrame:
                 pa.array(pack[every] >> 32, pa.int64()),
                 pa.array(lengths[every], pa.int64()),
                 pa.array(fp[every], pa.int64(), mask=np.arange(len(every)) < len(spans)),
+                pa.array(hot[every], pa.bool_()),
             ],
-            names=["doc", "mark", "lo", "size", "fp"],
+            names=["doc", "mark", "lo", "size", "fp", "hot"],
         )
 
-    return rows.repartition(shards, "fp").mapInArrow(run, "doc long, mark long, lo long, size long, fp long")
+    told = rows.join(hot, "fp", "left").select("fp", "ext", "doc", "pack", F.coalesce("hot", F.lit(False)).alias("hot"))
+    dealt = told.repartition(shards, "fp", F.when(F.col("hot"), F.col("ext")))
+    return dealt.mapInArrow(run, "doc long, mark long, lo long, size long, fp long, hot boolean")
 
 
 def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(fp, doc, mark, lo, bytes) of the wanted segments."""
-    lists = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("fp", "lo", "size")).alias("cuts"))
+    """(fp, doc, mark, lo, bytes, hot) of the wanted segments."""
+    lists = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("fp", "lo", "size", "hot")).alias("cuts"))
     # Rows equal in id and text are one document, so their text is read once.
     texts = docs.join(lists.hint("merge"), ["doc", "mark"])
     cuts = texts.select("doc", "mark", F.col("text").cast("binary").alias("text"), F.explode("cuts").alias("c"))
     return cuts.select(
         F.col("c.fp").alias("fp"), "doc", "mark", F.col("c.lo").alias("lo"),
         F.substring("text", (F.col("c.lo") + 1).cast("int"), F.col("c.size").cast("int")).alias("bytes"),
+        F.col("c.hot").alias("hot"),
     )
 
 
@@ -325,6 +354,18 @@ def repeated_strings(segments: list[bytes], array_bytes: int = ARRAY_BYTES) -> l
     return out
 
 
+def _packs(fp: np.ndarray, sizes: np.ndarray, array_bytes: int) -> list[tuple[int, int]]:
+    """Runs [a, b) of sorted segments that hold whole anchors, of up to ``array_bytes`` or one anchor."""
+    edges = np.flatnonzero(np.r_[True, fp[1:] != fp[:-1], True])
+    ends = np.r_[0, np.cumsum(sizes)][edges]
+    packs, at = [], 0
+    while at < len(edges) - 1:
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] + array_bytes, side="right")) - 1)
+        packs.append((int(edges[at]), int(edges[stop])))
+        at = stop
+    return packs
+
+
 def _resolve(cuts: DataFrame, shards: int) -> DataFrame:
     """Spans (doc, mark, lo, size) of the compared segments that repeat."""
 
@@ -333,30 +374,109 @@ def _resolve(cuts: DataFrame, shards: int) -> DataFrame:
         if not held:
             return
         rows = pa.Table.from_batches(held)
-        doc, mark, lo = (rows.column(c).to_numpy() for c in ("doc", "mark", "lo"))
-        order = np.lexsort((lo, mark, doc))
+        fp, doc, mark, lo = (rows.column(c).to_numpy() for c in ("fp", "doc", "mark", "lo"))
+        order = np.lexsort((lo, mark, doc, fp))
         keep = np.r_[True, (np.diff(doc[order]) != 0) | (np.diff(mark[order]) != 0) | (np.diff(lo[order]) != 0)]
         order = order[keep]
-        segments = rows.column("bytes").take(pa.array(order)).to_pylist()
-        starts = repeated_strings(segments)
-        group = np.repeat(np.arange(len(order)), [len(s) for s in starts])
-        where = np.concatenate(starts) if starts else np.empty(0, np.int64)
-        group, first, last = merge_spans(group, where, where + LENGTH)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[order][group]), pa.array(mark[order][group]), pa.array(lo[order][group] + first), pa.array(last - first)],
-            names=["doc", "mark", "lo", "size"],
-        )
+        sizes = pc.binary_length(rows.column("bytes")).to_numpy()[order]
+        for a, b in _packs(fp[order], sizes, ARRAY_BYTES):
+            part = order[a:b]
+            starts = repeated_strings(rows.column("bytes").take(pa.array(part)).to_pylist())
+            group = np.repeat(np.arange(len(part)), [len(s) for s in starts])
+            where = np.concatenate(starts)
+            group, first, last = merge_spans(group, where, where + LENGTH)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[part][group]), pa.array(mark[part][group]), pa.array(lo[part][group] + first), pa.array(last - first)],
+                names=["doc", "mark", "lo", "size"],
+            )
 
     return cuts.repartition(shards, "fp").mapInArrow(run, "doc long, mark long, lo long, size long")
 
 
+def _first_strings(cuts: DataFrame) -> DataFrame:
+    """(doc, mark, lo): the first place of every string of the segments, by 128 bits of the string's hash."""
+
+    def flush(held):
+        h1, h2, doc, place = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((place, doc, h2, h1))
+        h1, h2 = h1[order], h2[order]
+        first = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+        order = order[first]
+        columns = (h1[first].view(np.int64), h2[first].view(np.int64), doc[order], place[order])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["h1", "h2", "doc", "place"])
+
+    def run(batches):
+        held, rows = [], 0
+        for batch, segments in pieces(batches, "bytes"):
+            data, bounds = joined_bytes(segments)
+            strings = np.diff(bounds) - LENGTH + 1
+            owner = np.repeat(np.arange(len(strings)), strings)
+            offset = np.arange(len(owner)) - np.repeat(np.cumsum(strings) - strings, strings)
+            at = bounds[owner] + offset
+            doc, mark, lo = (batch.column(c).to_numpy(zero_copy_only=False)[owner] for c in (1, 2, 3))
+            ones, twos = prefix_sums(data), prefix_sums(_OTHER[data])
+            h1, h2 = mix(run_hashes(ones, at, at + LENGTH), 75), mix(run_hashes(twos, at, at + LENGTH), 76)
+            held.append((h1, h2, doc, (mark << 32) | (lo + offset)))
+            rows += len(owner)
+            if rows >= MERGE_ROWS:
+                yield flush(held)
+                held, rows = [], 0
+        if rows:
+            yield flush(held)
+
+    each = cuts.mapInArrow(run, "h1 long, h2 long, doc long, place long")
+    least = each.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place")).alias("p"))
+    low = F.lit(0xFFFFFFFF).cast("long")
+    return least.select("p.doc", F.shiftright("p.place", 32).alias("mark"), F.col("p.place").bitwiseAND(low).alias("lo"))
+
+
+def _resolve_hot(cuts: DataFrame, segments: DataFrame) -> DataFrame:
+    """Spans (doc, mark, lo, size) of the segments' strings that are not the first of equals.
+
+    No key is hot here: strings are aggregated, and firsts meet segments by text.
+    """
+    firsts = _first_strings(cuts).groupBy("doc", "mark").agg(F.collect_list("lo").alias("firsts"))
+    lists = segments.groupBy("doc", "mark").agg(F.collect_list(F.struct("lo", "size")).alias("cuts"))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for doc, mark, cuts, first in zip(*(c.to_pylist() for c in batch.columns)):
+                lo = np.array([c["lo"] for c in cuts], dtype=np.int64)
+                strings = np.array([c["size"] for c in cuts], dtype=np.int64) - LENGTH + 1
+                at = np.arange(int(strings.sum())) + np.repeat(lo - (np.cumsum(strings) - strings), strings)
+                again = np.setdiff1d(at, np.array(first or [], dtype=np.int64))
+                _, a, b = merge_spans(np.zeros(len(again), np.int64), again, again + LENGTH)
+                out += [(doc, mark, x, y - x) for x, y in zip(a.tolist(), b.tolist())]
+            columns = list(zip(*out)) or [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc", "mark", "lo", "size"])
+
+    joined = lists.join(firsts.hint("merge"), ["doc", "mark"], "left").select("doc", "mark", "cuts", "firsts")
+    return joined.mapInArrow(run, "doc long, mark long, lo long, size long")
+
+
 def repeated_spans(docs: DataFrame, scratch: Scratch, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc, mark, lo, size): byte spans of repeated strings, for docs of (doc, mark, text)."""
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, total // shard_bytes)
-    decided = scratch.keep(_decide(_anchor_rows(docs), shards), "decided")
-    compared = scratch.keep(_resolve(_cut(docs, decided.filter(F.col("fp").isNotNull())), shards), "resolved")
-    return decided.filter(F.col("fp").isNull()).drop("fp").unionByName(compared)
+    rows = scratch.keep(_anchor_rows(docs), "anchors")
+    hot = scratch.keep(_hot_anchors(rows, scratch), "hot")
+    decided = scratch.keep(_decide(rows, hot, shards), "decided")
+    scratch.drop("anchors")
+    found = decided.filter(F.col("fp").isNull()).select("doc", "mark", "lo", "size")
+    segments = decided.filter(F.col("fp").isNotNull())
+    # Segments overlap, so they can hold several times the bytes of the texts.
+    sizes = {r["hot"]: r["bytes"] for r in segments.groupBy("hot").agg(F.sum("size").alias("bytes")).collect()}
+    cuts = _cut(docs, segments)
+    if True in sizes:  # both ways of comparing read the texts once
+        cuts = scratch.keep(cuts, "cuts")
+    cold = _resolve(cuts.filter(~F.col("hot")).drop("hot"), max(shards, sizes.get(False, 0) // shard_bytes))
+    found = found.unionByName(scratch.keep(cold, "resolved"))
+    if True in sizes:
+        spread = _resolve_hot(cuts.filter("hot"), segments.filter("hot"))
+        found = found.unionByName(scratch.keep(spread, "resolved-hot"))
+        scratch.drop("cuts")
+    return found
 
 
 def marked(documents: DataFrame) -> DataFrame:

@@ -270,6 +270,27 @@ def test_repeated_strings_equal_plain_scan(array_bytes):
     assert [g.tolist() for g in got] == want
 
 
+def test_common_passage_in_differing_contexts(spark, monkeypatch):
+    """Segments that name one anchor do not meet in one task when they are many."""
+    monkeypatch.setattr(substrings, "HOT_ROWS", 20, raising=False)
+    monkeypatch.setattr(substrings, "MERGE_ROWS", 500)
+    seen, resolve = [], substrings._resolve
+
+    def watched(cuts, shards):
+        seen.append(cuts.groupBy("fp").count().agg({"count": "max"}).first()[0] or 0)
+        return resolve(cuts, shards)
+
+    monkeypatch.setattr(substrings, "_resolve", watched)
+    passages = [prose(7001, 30)[:60], prose(7002, 40)[:110]]
+    rows = [(i, prose(8000 + i, 20) + " " + passages[i % 3 % 2] + " " + prose(9000 + i % 40, 20)) for i in range(150)]
+    rows += [(n + len(rows), t) for n, t in repeats(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = plain_removal(sorted((i, (t or "").encode()) for i, t in rows))
+    got = {r["doc_id"]: tuple(r)[1:] for r in substrings.substring_digest(docs).collect()}
+    assert got == want
+    assert max(seen) <= 20
+
+
 def test_substring_digest_on_odd_rows(spark):
     docs = documents(spark)
     got = substrings.substring_digest(docs).collect()
