@@ -2,9 +2,14 @@
 
 A page is cut into blocks at block-level tags. Pass 1 decides a block by where
 it stands and what it holds: inside a menu, header, footer, sidebar, notice,
-advert, form or comment section it is bad; with most of its characters in
-links it is bad; inside an article it is good; elsewhere, length and stop-word
-density make it good, bad, or leave it open when it is short. Pass 2 gives
+advert, form or comment section it is bad; inside an article it is good, unless
+it is in a list with most of its characters in links; elsewhere it is bad with
+most of its characters in links, and length and stop-word density make it good,
+bad, or leave it open when it is short.
+
+A section is marked by its tag, by a whole class, id or role name, or by a part
+of such a name. A part (``has-sidebar``, ``comments-open``) says nothing of an
+element that is an article or holds one, and is ignored there. Pass 2 gives
 every open block the label of its nearest decided neighbours: good when both
 sides, or the nearer one, are good.
 
@@ -64,25 +69,33 @@ _TOKEN = re.compile(r"[^a-z0-9]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+LISTS = frozenset("ul ol dl menu".split())
+
+
 class _Blocks(HTMLParser):
-    """Collects (text, link characters, in article, in boilerplate) of each block."""
+    """Collects the text, link characters and standing of each block."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, bool, bool]] = []
-        self.open: list[tuple[str, bool, bool, bool]] = []  # tag, silent, boilerplate, article
+        # Text, link characters, in article, in boilerplate, partly named elements round it, innermost list in the article.
+        self.blocks: list[tuple[str, int, bool, bool, tuple, list | None]] = []
+        # Tag, silent, article, boilerplate, partly named elements as [still marked], list as [characters, in links].
+        self.open: list[tuple[str, bool, bool, bool, tuple, list | None]] = []
         self.parts: list[str] = []
         self.links = self.linked = 0
 
     def _state(self):
-        return self.open[-1][1:] if self.open else (False, False, False)
+        return self.open[-1][1:] if self.open else (False, False, False, (), None)
 
     def cut(self):
         if self.parts:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                _, boiler, article = self._state()
-                self.blocks.append((text, self.linked, article, boiler))
+                _, article, boiler, partly, entries = self._state()
+                self.blocks.append((text, self.linked, article, boiler, partly, entries))
+                if entries is not None:
+                    entries[0] += len(text)
+                    entries[1] += self.linked
             self.parts = []
         self.linked = 0
 
@@ -96,15 +109,32 @@ class _Blocks(HTMLParser):
             return
         if tag == "a":
             self.links += 1
-        silent, boiler, article = self._state()
-        named = " ".join(v.lower() for k, v in attrs if v and k in ("class", "id", "role"))
-        words = set(_TOKEN.split(named)) if named else ()
+        silent, article, boiler, partly, entries = self._state()
+        names = " ".join(v.lower() for k, v in attrs if v and k in ("class", "id", "role")).split()
         hidden = any(k == "hidden" for k, _ in attrs)
-        if tag in ("article", "main") or (named and ARTICLE_WORDS.intersection(named.split())):
-            article = True
-        if tag in BOILER_TAGS or (tag == "header" and not article) or hidden or BOILER_WORDS.intersection(words):
-            boiler = boiler or tag not in ("html", "body", "main")
-        self.open.append((tag, silent or tag in SILENT, boiler, article))
+        begins = tag in ("article", "main") or not ARTICLE_WORDS.isdisjoint(names)
+        article = article or begins
+        if tag not in ("html", "body", "main"):
+            boiler = boiler or tag in BOILER_TAGS or (tag == "header" and not article) or hidden
+            boiler = boiler or not BOILER_WORDS.isdisjoint(names)
+            if not begins and any(not BOILER_WORDS.isdisjoint(_TOKEN.split(name)) for name in names):
+                partly = (*partly, [True])
+        if begins:
+            entries = None
+            if not boiler and not silent:
+                for mark in partly:
+                    mark[0] = False
+        elif article and tag in LISTS:
+            entries = [0, 0]
+        self.open.append((tag, silent or tag in SILENT, article, boiler, partly, entries))
+
+    def labels(self) -> list:
+        """What the first pass says of every block."""
+        out = []
+        for text, linked, article, boiler, partly, entries in self.blocks:
+            linked_list = entries is not None and entries[1] > MAX_LINK_DENSITY * entries[0]
+            out.append(first_pass(text, linked, article, boiler or any(mark[0] for mark in partly), linked_list))
+        return out
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -142,12 +172,14 @@ class _Blocks(HTMLParser):
                 self.linked += len(data)
 
 
-def first_pass(text: str, linked: int, article: bool, boiler: bool):
+def first_pass(text: str, linked: int, article: bool, boiler: bool, linked_list: bool = False):
     """GOOD, BAD or OPEN for one block."""
-    if boiler or linked > MAX_LINK_DENSITY * len(text):
+    if boiler or linked_list:
         return BAD
     if article:
         return GOOD
+    if linked > MAX_LINK_DENSITY * len(text):
+        return BAD
     words = _WORD.findall(text.lower())
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if len(text) < SHORT_CHARS:
@@ -181,7 +213,7 @@ def main_text(html: str) -> str:
     parser.feed(html)
     parser.close()
     parser.cut()
-    labels = second_pass([first_pass(*b) for b in parser.blocks])
+    labels = second_pass(parser.labels())
     return "\n".join(b[0] for b, good in zip(parser.blocks, labels) if good)
 
 

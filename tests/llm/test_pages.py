@@ -27,6 +27,25 @@ def test_odd_pages():
     assert main_text("<article><p>a &lt;b&gt; &amp;amp; c</p></article></div></p>") == "a <b> &amp; c"
 
 
+def test_names_of_layouts_do_not_hide_the_article():
+    for page in (
+        "<div class='layout has-sidebar'><article><p>text</p></article></div>",
+        "<article class='post comments-open'><p>text</p></article>",
+        "<div class='no-sidebar'><main class='with-nav'><p>text</p></main></div><div class='ad-slot'>buy</div>",
+        "<div id='page-with-menu'><div class='entry-content share-on'><p>text</p></div><div class='cookie-notice'>ok</div></div>",
+    ):
+        assert main_text(page) == "text", page
+    assert main_text("<article><p>text</p></article><div class='comments'><article><p>I say</p></article></div>") == "text"
+
+
+def test_links_inside_an_article():
+    page = """<article><h1><a href='/a'>Title</a></h1><p><a href='/b'>mostly a link</a> here</p>
+<ul><li><a href='/1'>one</a></li><li><a href='/2'>two</a></li></ul>
+<ul><li>plain entry of some words</li><li><a href='/3'>linked</a></li></ul></article>"""
+    assert main_text(page).split("\n") == ["Title", "mostly a link here", "plain entry of some words", "linked"]
+    assert main_text("<ul><li><article><h2><a href='/a'>Title</a></h2></article></li></ul>") == "Title"
+
+
 def test_rules_without_an_article():
     prose = "the cat and the dog went to the house of the man and it was in the garden for all of them to see " * 3
     page = f"<body><p>Short one</p><p>{prose}</p><p>Next to it</p><p>Near the links</p><p><a href='/x'>many links here</a> <a>and more</a></p></body>"
