@@ -197,9 +197,10 @@ def _set_rows(docs: DataFrame, width: int) -> DataFrame:
         for batch, text in pieces(batches):
             hashes, bounds = _sets(text, width)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64), pa.int64()))
-            yield with_columns(batch, ["node"], members=lists)
+            keys = pa.array(set_keys(hashes, bounds).view(np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays([keys, lists], names=["node", "members"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, members array<long>")
+    return docs.select("text").mapInArrow(run, "node long, members array<long>")
 
 
 class Join:
@@ -224,9 +225,10 @@ class Join:
         groups = self.scratch.keep(groups, "groups-0")
         self.scratch.drop("shared")
         wanted = groups.select("node", F.col("rep").alias("id")).distinct()
-        # One row for each node: equal ids with equal texts would bring it twice.
-        texts = base.join(wanted, "id").join(self.rows.select("id", "node").distinct(), ["id", "node"])
-        self.sets = self.scratch.keep(_set_rows(texts, width).dropDuplicates(["node"]), "sets")
+        # The node is taken from the text itself, as one id can stand on several texts.
+        texts = base.join(wanted.select("id").distinct(), "id", "left_semi")
+        sets = _set_rows(texts, width).join(wanted.select("node").distinct().hint("merge"), "node", "left_semi")
+        self.sets = self.scratch.keep(sets.dropDuplicates(["node"]), "sets")
         links = self._links(groups)
         labels = components(links, self.scratch, "components")
         joined = reps.join(labels.hint("merge"), reps["rep"] == labels["node"], "left")

@@ -187,6 +187,19 @@ def test_jaccard_digest_on_odd_rows(spark):
     assert sorted(i for i in kept if i is not None) == sorted(wanted) and kept.count(None) == 2
 
 
+def test_one_id_on_two_texts(spark):
+    """Every node is compared with the set of its own text."""
+    words = [f"w{i}" for i in range(80)]
+    other = [f"v{i}" for i in range(80)]
+    rows = [(1, " ".join(words)), (1, " ".join(other)), (2, " ".join(words[:-1])), (3, " ".join(other[:-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    join = jaccard.Join(docs)
+    sets = {r["node"]: len(r["members"]) for r in join.sets.collect()}
+    want = {r["node"]: r["n_shingles"] for r in join.rows.collect()}
+    assert sets == want and sorted(sets.values()) == [76, 76, 77, 77]
+    assert [r["component_id"] for r in join.nodes.collect()] == [1] * 4
+
+
 def test_shingle_sets_tell_texts_apart():
     texts = [b"a b c d", b"a b c", b"", b"  ", b"A  b\tC d", b"a b c d e", b"b a c d", "é b c d".encode()]
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
