@@ -16,10 +16,13 @@ Signatures that two nodes share make groups. In a first round each node is
 compared with the most central member of its groups, which joins most near
 copies; links are checked exactly on the whole sets and merged into
 components. Then every pair that shares a group across components is compared,
-so no link that joins two components is missed: groups of up to ``SMALL``
-members as pairs, larger ones joined into clusters whose nodes are dealt to
-blocks, block against block, each compared inside one task. Neither copies nor
-near copies are expanded into all pairs of a group.
+so no link that joins two components is missed: of groups of up to ``SMALL``
+members all pairs, of the nodes of larger ones the pairs that share a shingle
+of their prefixes. There the shingles of a set are ordered by how many of these
+nodes hold them, rare ones first, and similar sets share one of the first few;
+sizes, places in the order and bits of an odd sketch, none of which drops a
+similar pair, sort out most others before any set is sent. A passage in many
+texts comes last in the order and so makes no pairs of texts that only share it.
 
 Sets, nodes and signatures are 64-bit hashes. Defined cases: null and blank
 texts have no shingles and are linked with nothing; fewer words than a shingle
@@ -48,7 +51,11 @@ PERCENT = 85
 SPARE = 3
 #: Members of a group whose pairs are listed one by one.
 SMALL = 16
-#: Nodes of one block of a cluster, and shingles counted at once in it.
+#: Shingles that are known as common, and prefix rows of one shingle for each task.
+COMMON, SALT_ROWS = 1 << 17, 4096
+#: Words of 64 bits in a sketch.
+SKETCH = 8
+#: Nodes of one block, and shingles counted at once in it.
 BLOCK, COLUMNS = 256, 4096
 #: Nodes whose signatures a task remembers to have sent.
 SEEN = 500_000
@@ -203,6 +210,53 @@ def _set_rows(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, members array<long>")
 
 
+def _prefix_rows(sets: DataFrame, common: list, percent: int) -> DataFrame:
+    """(shingle, node, rep, label, size, place, short, k0..): the prefix of each set, rare shingles first.
+
+    A set shares one of its prefix with any similar one, one of its ``short``
+    prefix with any similar one that is not smaller.
+    """
+    known = np.array([r["shingle"] for r in common], dtype=np.int64)
+    by = np.argsort(known)
+    known, often = known[by], np.array([r["n"] for r in common], dtype=np.int64)[by]
+    sent = sets.sparkSession.sparkContext.broadcast((known, often))
+    keep = [sets.schema[c] for c in ("node", "rep", "label")]
+    more = [T.StructField(c, T.LongType()) for c in ["shingle", "size", "place"]] + [T.StructField("short", T.BooleanType())]
+    sketch = [T.StructField(f"k{i}", T.LongType()) for i in range(SKETCH)]
+
+    def run(batches):
+        known, often = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(3)
+            hashes = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.array(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+            starts = np.cumsum(sizes) - sizes
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            count = np.zeros(len(hashes), dtype=np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                count = np.where(known[at] == hashes, often[at], 0)
+            bits = mix(hashes.view(np.uint64), 91)
+            words = np.zeros(len(sizes) * SKETCH, dtype=np.uint64)
+            word = owner * SKETCH + ((bits >> np.uint64(6)) % np.uint64(SKETCH)).astype(np.int64)
+            np.bitwise_xor.at(words, word, np.uint64(1) << (bits & np.uint64(63)))
+            words = words.view(np.int64).reshape(-1, SKETCH)
+            order = np.lexsort((hashes, count, owner))
+            place = np.arange(len(order)) - starts[owner]
+            long = sizes + 1 + (-percent * sizes) // 100
+            short = sizes + 1 + (-2 * percent * sizes) // (100 + percent)
+            first = place < long[owner]
+            of, place, shingle = owner[first], place[first], hashes[order[first]]
+            columns = [batch.column(i).take(pa.array(of)) for i in range(3)]
+            columns += [pa.array(c, pa.int64()) for c in (shingle, sizes[of], place)] + [pa.array(place < short[of])]
+            columns += [pa.array(words[of, i], pa.int64()) for i in range(SKETCH)]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*keep, *more, *sketch]])
+
+    return sets.mapInArrow(run, T.StructType([*keep, *more, *sketch]))
+
+
 class Join:
     """The join over ``docs`` (an ``id`` column and ``text``).
 
@@ -244,7 +298,7 @@ class Join:
         open_groups = groups.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
         groups = groups.join(open_groups.select("sig").hint("merge"), "sig", "left_semi")
         small = self._similar(self._all_pairs(groups.filter(F.col("n") <= SMALL))).select("a", "b")
-        large = self._in_blocks(groups.filter(F.col("n") > SMALL))
+        large = self._similar(self._sharing_prefix(groups.filter(F.col("n") > SMALL))).select("a", "b")
         rest = self.scratch.keep(small.unionByName(large), "links-1")
         return first.unionByName(rest)
 
@@ -271,31 +325,31 @@ class Join:
         pairs = one.join(two.hint("merge"), "sig").filter("label < label2")
         return pairs.select("node", "rep", "node2", "rep2").distinct()
 
-    def _in_blocks(self, groups: DataFrame) -> DataFrame:
-        """Links (a, b) within the clusters that the large groups make, block against block."""
-        heads = groups.groupBy("sig").agg(F.min("rep").alias("b"))
-        stars = groups.join(heads.hint("merge"), "sig").select(F.col("rep").alias("a"), "b")
-        cluster = components(stars, self.scratch, "clusters").select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
-        members = groups.select("node", "rep", "label").distinct().join(cluster.hint("merge"), "rep")
-        sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        own = F.pmod(F.xxhash64(F.lit(29), "node"), F.col("blocks")).cast("int")
-        dealt = (
-            members.join(sizes.hint("merge"), "cluster")
-            .withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "rep", "label")
-        )
-        percent = self.percent
-
-        def compare(rows: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame(block_links(rows, percent), columns=["a", "b"])
-
-        kind = groups.schema["rep"].dataType.simpleString()
-        return (
-            dealt.join(self.sets.hint("merge"), "node")
-            .groupBy("cluster", "i", "j")
-            .applyInPandas(compare, f"a {kind}, b {kind}")
+    def _sharing_prefix(self, groups: DataFrame) -> DataFrame:
+        """Pairs across components, of nodes in these groups, that share a shingle of
+        their prefixes and may be similar by their sizes and sketches."""
+        nodes = groups.select("node", "rep", "label").distinct()
+        sets = self.sets.join(nodes.hint("merge"), "node").select("node", "rep", "label", "members")
+        counts = sets.select(F.explode("members").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
+        common = counts.filter(F.col("n") > SMALL).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
+        rows = self.scratch.keep(_prefix_rows(sets, common, self.percent), "prefixes")
+        many = rows.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > SALT_ROWS)
+        many = self.scratch.keep(many.select("shingle", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts")), "salts")
+        rows = rows.join(many, "shingle", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+        one = rows.withColumn("salt", F.pmod(F.xxhash64(F.lit(29), "node"), F.col("salts")).cast("int")).drop("salts")
+        two = rows.filter("short").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts", "short")
+        two = two.select("shingle", "salt", *[F.col(c).alias(f"{c}2") for c in two.columns if c not in ("shingle", "salt")])
+        least = F.ceil((F.col("size") + F.col("size2")) * self.percent / F.lit(100 + self.percent) - 1e-9).cast("long")
+        differ = sum((F.bit_count(F.col(f"k{i}").bitwiseXOR(F.col(f"k{i}2"))) for i in range(SKETCH)), F.lit(0))
+        pairs = one.join(two.hint("merge"), ["shingle", "salt"]).filter(
+            (F.col("label") != F.col("label2"))
+            & ((F.col("size2") < F.col("size")) | ((F.col("size2") == F.col("size")) & (F.col("node2") < F.col("node"))))
+            & (F.col("size2") * 100 >= F.col("size") * self.percent)
+            # If this is the first shingle both have, the rest bounds what they share.
+            & (F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2")) >= least)
+            & (differ <= F.col("size") + F.col("size2") - 2 * least)
         )
+        return pairs.select("node", "rep", "node2", "rep2").distinct()
 
     def _similar(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets are similar enough, as (a, b)."""

@@ -187,6 +187,27 @@ def test_jaccard_digest_on_odd_rows(spark):
     assert sorted(i for i in kept if i is not None) == sorted(wanted) and kept.count(None) == 2
 
 
+def test_shared_passage_makes_no_pairs(spark, monkeypatch):
+    """Short texts that share a passage, but are not similar, are not compared."""
+    monkeypatch.setattr(jaccard, "SMALL", 4)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, " ".join(f"a{i}x{j}" for j in range(7)) + f" {passage} " + " ".join(f"b{i}x{j}" for j in range(7))) for i in range(80)]
+    rows += [(80 + i, rows[i][1] + " end") for i in range(0, 80, 20)]
+    asked, similar = [], jaccard.Join._similar
+
+    def watched(self, pairs):
+        asked.append(pairs.count())
+        return similar(self, pairs)
+
+    monkeypatch.setattr(jaccard.Join, "_similar", watched)
+    # Blocks are compared without a list of pairs.
+    monkeypatch.setattr(jaccard, "block_links", lambda rows, percent: 1 / 0)
+    join = jaccard.Join(spark.createDataFrame(rows, "doc_id long, text string"))
+    nodes = {r["rep"]: r["component_id"] for r in join.nodes.collect()}
+    assert nodes == plain_components(plain_sets(rows), 85)
+    assert sum(asked[1:]) < 80
+
+
 def test_one_id_on_two_texts(spark):
     """Every node is compared with the set of its own text."""
     words = [f"w{i}" for i in range(80)]
