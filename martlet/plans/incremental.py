@@ -133,7 +133,9 @@ def run_incremental(
 
     rows = stage_updates(raw, cutoff, target_cutoff, initial_load)
     if late is not None and cutoff is not None:
-        under = late.where((F.col("update_date") < ts(cutoff)) & (F.col("update_date") < ts(target_cutoff)))
+        # Rows older than the initial load are never taken, as in the first run's window.
+        since = F.col("update_date") >= ts(initial_load)
+        under = late.where(since & (F.col("update_date") < ts(cutoff)) & (F.col("update_date") < ts(target_cutoff)))
         rows = rows.unionByName(under.select(*rows.columns))
     _write(rows, after, "staging")
     staged = read_table(spark, after, "staging")

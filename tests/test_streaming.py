@@ -65,6 +65,18 @@ def test_late_file_and_rows_past_the_target(spark, scratch):
     assert len(land.reports) == before  # nothing landed, nothing to run
 
 
+@pytest.mark.parametrize("per_batch", [None, 1])
+def test_rows_before_the_initial_load_are_never_taken(spark, scratch, per_batch):
+    land, raw = Landing(spark, scratch), seed_df(spark)
+    part = F.substring("id", 6, 3).cast("int") % 2
+    for k in (0, 1):  # in the first and in a later file
+        old = raw.where(part == k).withColumn("update_date", F.lit("2031-02-01").cast("timestamp"))
+        old = old.withColumn("id", F.concat(F.lit("old-"), "id")).select(raw.columns)
+        land.deliver(raw.where(part == k).unionByName(old))
+    fact = land.take(per_batch=per_batch)
+    assert same(fact, single_run(spark, scratch))
+
+
 def test_checkpoint_is_required(spark, scratch):
     with pytest.raises(TypeError):
         start_landing_stream(spark, scratch, scratch, "raw", "fact")
