@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martlet.llm import decontaminate, jaccard, urls
+from martlet.llm import audit, decontaminate, jaccard, urls
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.RULES)
 _LOW, _HIGH = urls.PRIOR_PAGES
@@ -115,6 +115,55 @@ labels AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id FROM sets JOIN labels USING (doc_id)
 """
 
+_LETTER = "(VALUES " + ", ".join(f"('{x}')" for x in audit.LETTERS) + ")"
+
+# Every order is applied to every set of failed filters, step by step.
+FILTER_AUDIT = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{audit.WORD}') AS w
+  FROM documents
+),
+failed AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < {audit.MIN_WORDS} THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < {audit.MIN_DISTINCT} * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > {audit.MAX_CAPITALS} * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '{audit.MARKS}') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS f
+  FROM docs
+),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+combos AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, f
+),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o
+  FROM {_LETTER} a(x), {_LETTER} b(x), {_LETTER} c(x), {_LETTER} d(x), {_LETTER} e(x)
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+placed AS (
+  SELECT *, coalesce(list_min(list_transform(string_split(f, ''), lambda y: CASE WHEN y <> '' THEN instr(o, y) END)), 9) AS gone
+  FROM combos, orders
+),
+steps AS (
+  SELECT part, o, s, o[s] AS letter, sum(n) FILTER (WHERE gone > s) AS kept, sum(n) FILTER (WHERE gone = s) AS removed,
+    sum(n) FILTER (WHERE gone < s AND contains(f, o[s])) AS redundant, sum(n) FILTER (WHERE f = o[s]) AS unique_fails,
+    sum(good) FILTER (WHERE gone = s) AS good_lost, sum(toxic) FILTER (WHERE gone = s) AS toxic_lost
+  FROM placed, range(1, 6) t(s) GROUP BY part, o, s
+)
+SELECT part, o AS filter_order, s::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, letter), 0)::BIGINT AS shapley
+FROM steps
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": JACCARD, "op4_decontamination": DECONTAMINATION, "op10_url_filters": URL_FILTERS}
+    return {
+        "op2_jaccard_join": JACCARD,
+        "op4_decontamination": DECONTAMINATION,
+        "op10_url_filters": URL_FILTERS,
+        "op11_filter_audit": FILTER_AUDIT,
+    }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martlet.llm import oracle
 from martlet.llm._io import table
 from martlet.llm.ann import nearest_digest
+from martlet.llm.audit import filter_audit
 from martlet.llm.decontaminate import contamination_digest
 from martlet.llm.html import extracted_pages
 from martlet.llm.jaccard import jaccard_digest
@@ -60,6 +61,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -72,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_extraction": op8_html_extraction,
         "op9_nearest_neighbours": op9_nearest_neighbours,
         "op10_url_filters": op10_url_filters,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
