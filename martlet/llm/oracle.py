@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martlet.llm import audit, decontaminate, jaccard, urls
+from martlet.llm import audit, decontaminate, jaccard, spelling, urls
 
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.RULES)
 _LOW, _HIGH = urls.PRIOR_PAGES
@@ -159,6 +159,48 @@ SELECT part, o AS filter_order, s::INTEGER AS step, coalesce(kept, 0)::BIGINT AS
 FROM steps
 """
 
+_BIT = "CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END"
+_BYTES = """flatten(list_transform(string_split(s, ''), lambda c:
+      CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [192 + (ord(c) >> 6)::BIGINT, 128 + (ord(c) & 63)::BIGINT] END))"""
+
+# The checksum bit by bit; near words by their words with one code point deleted.
+SPELLING = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '{spelling.RUN}')) AS run
+  FROM documents
+),
+told AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, {_BYTES}),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda d, e: {_BIT})), 4294967295) AS h
+  FROM (SELECT run, count(*) AS n, coalesce(doc_id::VARCHAR, '') || ':' || run AS s
+        FROM runs WHERE length(run) >= {spelling.MIN_LENGTH} GROUP BY doc_id, run)
+),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % {spelling.SLIP} = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, (h % length(run) + 2)::BIGINT) ELSE run END AS word FROM told)
+  WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}
+),
+cut AS (SELECT DISTINCT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS v FROM words, unnest(range(1, length(word) + 1)) t(i)),
+pairs AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+  UNION SELECT DISTINCT a.word, b.word, b.n FROM cut a JOIN words b ON a.v = b.word
+  UNION SELECT DISTINCT a.word, b.word, b.n FROM words a JOIN cut b ON b.v = a.word
+),
+best AS (SELECT word, count(*) AS n_near, max(n) AS top FROM pairs GROUP BY word),
+named AS (SELECT p.word, min(p.other) AS other FROM pairs p JOIN best b ON b.word = p.word AND b.top = p.n GROUP BY p.word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
+    CASE WHEN b.top >= {spelling.RATIO} * w.n THEN o.other END AS form, CASE WHEN b.top >= {spelling.RATIO} * w.n THEN b.top END AS form_n
+  FROM words w LEFT JOIN best b USING (word) LEFT JOIN named o USING (word)
+),
+chain(word, root) AS (
+  SELECT word, word FROM forms WHERE form IS NULL
+  UNION ALL SELECT f.word, c.root FROM forms f JOIN chain c ON f.form = c.word
+)
+SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n FROM forms JOIN chain USING (word)
+"""
+
 
 def all_sql() -> dict[str, str]:
     return {
@@ -166,4 +208,5 @@ def all_sql() -> dict[str, str]:
         "op4_decontamination": DECONTAMINATION,
         "op10_url_filters": URL_FILTERS,
         "op11_filter_audit": FILTER_AUDIT,
+        "op12_spelling_variants": SPELLING,
     }

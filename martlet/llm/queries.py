@@ -16,6 +16,7 @@ from martlet.llm.jaccard import jaccard_digest
 from martlet.llm.langid import language_digest
 from martlet.llm.mix import mix_digest
 from martlet.llm.shard import sharded_digest
+from martlet.llm.spelling import spelling_digest
 from martlet.llm.substrings import substring_digest
 from martlet.llm.toxicity import toxicity_digest
 from martlet.llm.urls import judged_pages
@@ -65,6 +66,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_nearest_neighbours": op9_nearest_neighbours,
         "op10_url_filters": op10_url_filters,
         "op11_filter_audit": op11_filter_audit,
+        "op12_spelling_variants": op12_spelling_variants,
     }
 
 
