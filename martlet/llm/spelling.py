@@ -43,8 +43,8 @@ MIN_LENGTH, MIN_COUNT = 5, 3
 RATIO = 2
 #: Words of one group, of one block, and code points of one block.
 GROUP, BLOCK, BLOCK_POINTS = 1024, 256, 1 << 20
-#: Rows that a task gathers before it compares them.
-GATHER = 4096
+#: Rows that a task gathers before it compares them, and rows of one task.
+GATHER, TASK_ROWS = 4096, 1 << 16
 _KEY = ["m", "p", "s", "cap", "pre", "suf"]
 
 
@@ -180,7 +180,9 @@ def near_words(groups: DataFrame) -> DataFrame:
         if rows:
             yield flush()
 
-    ordered = groups.select("word", "n", *_KEY).repartition(*_KEY).sortWithinPartitions(*_KEY)
+    # Small rows, much work: the parts follow the rows, not their bytes.
+    parts = groups.count() // TASK_ROWS + 1
+    ordered = groups.select("word", "n", *_KEY).repartition(parts, *_KEY).sortWithinPartitions(*_KEY)
     return ordered.mapInArrow(run, "word string, near long, best_n long, best string")
 
 
