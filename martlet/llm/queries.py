@@ -15,6 +15,7 @@ from martlet.llm.html import extracted_pages
 from martlet.llm.jaccard import jaccard_digest
 from martlet.llm.langid import language_digest
 from martlet.llm.mix import mix_digest
+from martlet.llm.packing import packing_digest
 from martlet.llm.shard import sharded_digest
 from martlet.llm.spelling import spelling_digest
 from martlet.llm.substrings import substring_digest
@@ -70,6 +71,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_url_filters": op10_url_filters,
         "op11_filter_audit": op11_filter_audit,
         "op12_spelling_variants": op12_spelling_variants,
+        "op13_packing": op13_packing,
     }
 
 
