@@ -33,7 +33,6 @@ component but name none; an empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,8 +54,8 @@ SMALL = 16
 COMMON, SALT_ROWS = 1 << 17, 4096
 #: Words of 64 bits in a sketch.
 SKETCH = 8
-#: Nodes of one block, and shingles counted at once in it.
-BLOCK, COLUMNS = 256, 4096
+#: Cells of a count sketch, and shingles of a set for each cell.
+CELLS, CELL_SHINGLES = (64, 8192), 2
 #: Nodes whose signatures a task remembers to have sent.
 SEEN = 500_000
 _PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -199,15 +198,40 @@ def _shared(sigs: DataFrame) -> DataFrame:
     return sigs.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(run, "sig long, node long")
 
 
+def count_sketch(hashes: np.ndarray) -> bytes:
+    """How many members of a set fall into each cell, at most 255; larger sets have more cells."""
+    low, high = CELLS
+    bits = int(np.clip((len(hashes) - 1) // CELL_SHINGLES, low - 1, high - 1)).bit_length()
+    cell = (mix(hashes, 92) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def least_difference(one: list[bytes], two: list[bytes]) -> np.ndarray:
+    """For each pair of sketches, a bound below the number of shingles that only one of the sets has."""
+    widths = np.array([[len(a), len(b)] for a, b in zip(one, two)])
+    out = np.zeros(len(one), dtype=np.int64)
+    for a, b in np.unique(widths, axis=0) if len(one) else ():
+        at = np.flatnonzero((widths == (a, b)).all(axis=1))
+        counts = []
+        for sketches, width in ((one, a), (two, b)):
+            c = np.frombuffer(b"".join(sketches[i] for i in at), dtype=np.uint8).reshape(len(at), width).astype(np.int64)
+            # Neighbouring cells of the wider sketch are one of the narrower.
+            counts.append(np.minimum(c.reshape(len(at), min(a, b), -1).sum(axis=2), 255))
+        out[at] = np.abs(counts[0] - counts[1]).sum(axis=1)
+    return out
+
+
 def _set_rows(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for batch, text in pieces(batches):
             hashes, bounds = _sets(text, width)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64), pa.int64()))
             keys = pa.array(set_keys(hashes, bounds).view(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, lists], names=["node", "members"])
+            sketches = pa.array([count_sketch(hashes[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary())
+            sizes = pa.array(np.diff(bounds), pa.int64())
+            yield pa.RecordBatch.from_arrays([keys, sizes, sketches, lists], names=["node", "n", "sketch", "members"])
 
-    return docs.select("text").mapInArrow(run, "node long, members array<long>")
+    return docs.select("text").mapInArrow(run, "node long, n long, sketch binary, members array<long>")
 
 
 def _prefix_rows(sets: DataFrame, common: list, percent: int) -> DataFrame:
@@ -351,8 +375,27 @@ class Join:
         )
         return pairs.select("node", "rep", "node2", "rep2").distinct()
 
+    def _plausible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that may be similar by the sizes and count sketches of their sets."""
+        one = self.sets.select("node", "n", "sketch")
+        two = self.sets.select(F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
+        percent = self.percent
+        sized = pairs.join(one.hint("merge"), "node").join(two.hint("merge"), "node2")
+        sized = sized.filter(F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
+
+        def run(batches):
+            for batch in batches:
+                n, n2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 6))
+                least = -(-(n + n2) * percent // (100 + percent))
+                differ = least_difference(batch.column(5).to_pylist(), batch.column(7).to_pylist())
+                yield batch.select([0, 1, 2, 3]).filter(pa.array(differ <= n + n2 - 2 * least))
+
+        columns = ["node", "rep", "node2", "rep2"]
+        return sized.select(*columns, "n", "sketch", "n2", "sketch2").mapInArrow(run, pairs.select(columns).schema)
+
     def _similar(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose whole sets are similar enough, as (a, b)."""
+        pairs = self._plausible(pairs)
         one = self.sets.select("node", F.col("members").alias("m1"))
         two = self.sets.select(F.col("node").alias("node2"), F.col("members").alias("m2"))
         return (
@@ -364,43 +407,6 @@ class Join:
         )
 
 
-def block_links(rows: pd.DataFrame, percent: int) -> list[tuple]:
-    """Links across components among some nodes (rep, label, members): enough to
-    connect whatever the similar pairs among them connect."""
-    sizes = rows["members"].map(len).to_numpy()
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    _, shingle, times = np.unique(np.concatenate(rows["members"].to_numpy()), return_inverse=True, return_counts=True)
-    # Shingles of one node only are in no intersection.
-    number = np.cumsum(times > 1) - 1
-    held = (times > 1)[shingle]
-    owner, shingle = owner[held], number[shingle[held]]
-    order = np.argsort(shingle, kind="stable")
-    owner, shingle = owner[order], shingle[order]
-    both = np.zeros((len(rows), len(rows)), dtype=np.float32)
-    for at in range(0, int(number[-1]) + 1, COLUMNS):
-        a, b = np.searchsorted(shingle, [at, at + COLUMNS])
-        has = np.zeros((len(rows), COLUMNS), dtype=np.float32)
-        has[owner[a:b], shingle[a:b] - at] = 1
-        both += has @ has.T
-    both = both.astype(np.int64)
-    union = sizes[:, None] + sizes[None, :] - both
-    parent = {x: x for x in rows["label"]}
-
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    label, rep, links = rows["label"].to_numpy(), rows["rep"].to_numpy(), []
-    for i, j in zip(*np.nonzero(np.triu(100 * both >= percent * union, 1))):
-        x, y = root(label[i]), root(label[j])
-        if x != y:
-            parent[x] = y
-            links.append((rep[i], rep[j]))
-    return links
-
-
 def jaccard_digest(documents: DataFrame) -> DataFrame:
     """``op2``: set size and component of every document."""
     join = Join(documents)

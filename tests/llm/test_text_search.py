@@ -130,7 +130,6 @@ def near_copies(n, seed=4):
 def test_jaccard_components_equal_plain_join(spark, monkeypatch, percent, small):
     """With a bound of two, most groups are compared block against block."""
     monkeypatch.setattr(jaccard, "SMALL", small)
-    monkeypatch.setattr(jaccard, "BLOCK", 4)
     rows = near_copies(60)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     join = jaccard.Join(docs, percent=percent)
@@ -141,14 +140,22 @@ def test_jaccard_components_equal_plain_join(spark, monkeypatch, percent, small)
     assert got == {i: (len(sets[i]), want[i]) for i in sets}
 
 
-def test_block_links_connect_what_is_similar(monkeypatch):
-    monkeypatch.setattr(jaccard, "COLUMNS", 7)
-    base = list(range(100))
-    members = [base, base[:90], base[5:], list(range(500, 560)), list(range(500, 555)), [1], [1], list(range(60, 160))]
-    rows = pd.DataFrame({"rep": range(8), "label": [0, 1, 2, 3, 4, 5, 5, 7], "members": [np.array(m) for m in members]})
-    links = jaccard.block_links(rows, 85)
-    groups = plain_components({i: frozenset(m) for i, m in enumerate(members)}, 85)
-    assert all(groups[a] == groups[b] for a, b in links) and len(links) == 3
+def test_sketches_bound_the_difference():
+    """The bound never exceeds what only one set has, and tells strangers apart."""
+    r = np.random.default_rng(4)
+    for n in (1, 5, 120, 130, 700, 3000, 30000, 2_000_000):
+        base = r.integers(0, 1 << 63, n).astype(np.uint64)
+        for share in (0.0, 0.05, 0.2, 1.0):
+            k = int(n * share)
+            other = np.concatenate([base[k:], r.integers(0, 1 << 63, k // 2).astype(np.uint64)])
+            if not len(other):
+                continue
+            bound = jaccard.least_difference([jaccard.count_sketch(base)], [jaccard.count_sketch(other)])[0]
+            only = len(np.setxor1d(base, other))
+            assert bound <= only
+            if share == 1.0 and 100 <= n <= 30000:
+                assert bound > 0.25 * n
+    assert jaccard.least_difference([], []).tolist() == []
 
 
 def test_signatures_cover_every_similar_pair():
@@ -193,15 +200,13 @@ def test_shared_passage_makes_no_pairs(spark, monkeypatch):
     passage = " ".join(f"p{i}" for i in range(30))
     rows = [(i, " ".join(f"a{i}x{j}" for j in range(7)) + f" {passage} " + " ".join(f"b{i}x{j}" for j in range(7))) for i in range(80)]
     rows += [(80 + i, rows[i][1] + " end") for i in range(0, 80, 20)]
-    asked, similar = [], jaccard.Join._similar
+    asked, plausible = [], jaccard.Join._plausible
 
     def watched(self, pairs):
         asked.append(pairs.count())
-        return similar(self, pairs)
+        return plausible(self, pairs)
 
-    monkeypatch.setattr(jaccard.Join, "_similar", watched)
-    # Blocks are compared without a list of pairs.
-    monkeypatch.setattr(jaccard, "block_links", lambda rows, percent: 1 / 0)
+    monkeypatch.setattr(jaccard.Join, "_plausible", watched)
     join = jaccard.Join(spark.createDataFrame(rows, "doc_id long, text string"))
     nodes = {r["rep"]: r["component_id"] for r in join.nodes.collect()}
     assert nodes == plain_components(plain_sets(rows), 85)
