@@ -56,6 +56,8 @@ COMMON, SALT_ROWS = 1 << 17, 4096
 SKETCH = 8
 #: Cells of a count sketch, and shingles of a set for each cell.
 CELLS, CELL_SHINGLES = (64, 8192), 2
+#: Ids that are broadcast to the texts (8 bytes each).
+FEW = 1 << 18
 #: Nodes whose signatures a task remembers to have sent.
 SEEN = 500_000
 _PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -123,21 +125,22 @@ def _sets(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return shingle_sets(words, at, width)
 
 
-def keyed(docs: DataFrame, keep: list[str], width: int) -> DataFrame:
-    """``keep`` columns of every document with its set's size ``n_shingles`` and key ``node``."""
-    schema = T.StructType(
-        [docs.schema[c] for c in keep] + [T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())]
-    )
+def keyed(docs: DataFrame, keep: list[str], width: int, sketch: bool = False) -> DataFrame:
+    """``keep`` columns of every document with its set's size ``n_shingles``, key ``node`` and, if asked for, ``sketch``."""
+    more = [T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())]
+    more += [T.StructField("sketch", T.BinaryType())] * sketch
+    schema = T.StructType([docs.schema[c] for c in keep] + more)
 
     def run(batches):
         for batch, text in pieces(batches):
             hashes, bounds = _sets(text, width)
-            yield with_columns(
-                batch,
-                keep,
-                n_shingles=pa.array(np.diff(bounds), pa.int64()),
-                node=pa.array(set_keys(hashes, bounds).view(np.int64), pa.int64()),
-            )
+            columns = {
+                "n_shingles": pa.array(np.diff(bounds), pa.int64()),
+                "node": pa.array(set_keys(hashes, bounds).view(np.int64), pa.int64()),
+            }
+            if sketch:
+                columns["sketch"] = pa.array([count_sketch(hashes[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary())
+            yield with_columns(batch, keep, **columns)
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
@@ -227,11 +230,9 @@ def _set_rows(docs: DataFrame, width: int) -> DataFrame:
             hashes, bounds = _sets(text, width)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64), pa.int64()))
             keys = pa.array(set_keys(hashes, bounds).view(np.int64), pa.int64())
-            sketches = pa.array([count_sketch(hashes[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary())
-            sizes = pa.array(np.diff(bounds), pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, sizes, sketches, lists], names=["node", "n", "sketch", "members"])
+            yield pa.RecordBatch.from_arrays([keys, lists], names=["node", "members"])
 
-    return docs.select("text").mapInArrow(run, "node long, n long, sketch binary, members array<long>")
+    return docs.select("text").mapInArrow(run, "node long, members array<long>")
 
 
 def _prefix_rows(sets: DataFrame, common: list, percent: int) -> DataFrame:
@@ -289,11 +290,12 @@ class Join:
     """
 
     def __init__(self, docs: DataFrame, id: str = "doc_id", width: int = WIDTH, percent: int = PERCENT):
-        self.scratch, self.percent = Scratch(docs.sparkSession, "jaccard"), percent
-        base = docs.select(F.col(id).alias("id"), "text")
-        self.rows = self.scratch.keep(keyed(base, ["id"], width), "rows")
+        self.scratch, self.percent, self.width = Scratch(docs.sparkSession, "jaccard"), percent, width
+        self.base = docs.select(F.col(id).alias("id"), "text")
+        rows = self.scratch.keep(keyed(self.base, ["id"], width, sketch=True), "rows")
+        self.rows = rows.drop("sketch")
         reps = self.rows.filter("n_shingles > 0").groupBy("node").agg(F.min("id").alias("rep"))
-        shared = self.scratch.keep(_shared(_signature_rows(base, width, percent)), "shared")
+        shared = self.scratch.keep(_shared(_signature_rows(self.base, width, percent)), "shared")
         groups = shared.join(reps.hint("merge"), "node").filter(F.col("rep").isNotNull())
         sizes = groups.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
         groups = groups.join(sizes.hint("merge"), "sig")
@@ -302,11 +304,9 @@ class Join:
         groups = groups.join(central.hint("merge"), "node").select("sig", "n", "node", "rep", "score", F.col("rep").alias("label"))
         groups = self.scratch.keep(groups, "groups-0")
         self.scratch.drop("shared")
-        wanted = groups.select("node", F.col("rep").alias("id")).distinct()
-        # The node is taken from the text itself, as one id can stand on several texts.
-        texts = base.join(wanted.select("id").distinct(), "id", "left_semi")
-        sets = _set_rows(texts, width).join(wanted.select("node").distinct().hint("merge"), "node", "left_semi")
-        self.sets = self.scratch.keep(sets.dropDuplicates(["node"]), "sets")
+        sketches = rows.filter("n_shingles > 0").select("node", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["node"])
+        wanted = groups.select("node").distinct()
+        self.sketches = self.scratch.keep(sketches.join(wanted.hint("merge"), "node", "left_semi"), "sketches")
         links = self._links(groups)
         labels = components(links, self.scratch, "components")
         joined = reps.join(labels.hint("merge"), reps["rep"] == labels["node"], "left")
@@ -314,17 +314,27 @@ class Join:
 
     def _links(self, groups: DataFrame) -> DataFrame:
         """Links (a, b) between smallest ids that connect every component."""
-        first = self.scratch.keep(self._similar(self._central(groups)), "links-0").select("a", "b")
+        first = self._similar(self._central(groups), "central")
         merged = components(first, self.scratch, "merge")
         labels = groups.join(merged.withColumnRenamed("label", "new").hint("merge"), groups["rep"] == merged["node"], "left")
         groups = labels.select("sig", "n", groups["node"], "rep", F.coalesce("new", "label").alias("label"))
         groups = self.scratch.keep(groups, "groups-1")
         open_groups = groups.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
         groups = groups.join(open_groups.select("sig").hint("merge"), "sig", "left_semi")
-        small = self._similar(self._all_pairs(groups.filter(F.col("n") <= SMALL))).select("a", "b")
-        large = self._similar(self._sharing_prefix(groups.filter(F.col("n") > SMALL))).select("a", "b")
-        rest = self.scratch.keep(small.unionByName(large), "links-1")
-        return first.unionByName(rest)
+        small = self._all_pairs(groups.filter(F.col("n") <= SMALL))
+        large = self._sharing_prefix(groups.filter(F.col("n") > SMALL))
+        return first.unionByName(self._similar(small.unionByName(large).distinct(), "rest"))
+
+    def _sets(self, nodes: DataFrame, name: str) -> DataFrame:
+        """The written (node, members) of some ``nodes`` (node, rep)."""
+        nodes = self.scratch.keep(nodes.select("node", F.col("rep").alias("id")).distinct(), f"{name}-nodes")
+        # Few ids go to the texts; beyond that the texts are shuffled to the ids.
+        ids = nodes.select("id").distinct()
+        few = nodes.count() <= FEW
+        texts = self.base.join(F.broadcast(ids) if few else ids.hint("merge"), "id", "left_semi")
+        # The node is taken from the text itself, as one id can stand on several texts.
+        sets = _set_rows(texts, self.width).join(nodes.select("node").distinct().hint("merge"), "node", "left_semi")
+        return self.scratch.keep(sets.dropDuplicates(["node"]), f"{name}-sets")
 
     @staticmethod
     def _central(groups: DataFrame) -> DataFrame:
@@ -353,7 +363,7 @@ class Join:
         """Pairs across components, of nodes in these groups, that share a shingle of
         their prefixes and may be similar by their sizes and sketches."""
         nodes = groups.select("node", "rep", "label").distinct()
-        sets = self.sets.join(nodes.hint("merge"), "node").select("node", "rep", "label", "members")
+        sets = self._sets(nodes, "large").join(nodes.hint("merge"), "node").select("node", "rep", "label", "members")
         counts = sets.select(F.explode("members").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
         common = counts.filter(F.col("n") > SMALL).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
         rows = self.scratch.keep(_prefix_rows(sets, common, self.percent), "prefixes")
@@ -377,8 +387,8 @@ class Join:
 
     def _plausible(self, pairs: DataFrame) -> DataFrame:
         """The pairs that may be similar by the sizes and count sketches of their sets."""
-        one = self.sets.select("node", "n", "sketch")
-        two = self.sets.select(F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
+        one = self.sketches
+        two = self.sketches.select(F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
         percent = self.percent
         sized = pairs.join(one.hint("merge"), "node").join(two.hint("merge"), "node2")
         sized = sized.filter(F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
@@ -393,18 +403,23 @@ class Join:
         columns = ["node", "rep", "node2", "rep2"]
         return sized.select(*columns, "n", "sketch", "n2", "sketch2").mapInArrow(run, pairs.select(columns).schema)
 
-    def _similar(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose whole sets are similar enough, as (a, b)."""
-        pairs = self._plausible(pairs)
-        one = self.sets.select("node", F.col("members").alias("m1"))
-        two = self.sets.select(F.col("node").alias("node2"), F.col("members").alias("m2"))
-        return (
+    def _similar(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The written links (a, b): pairs whose whole sets are similar enough."""
+        pairs = self.scratch.keep(self._plausible(pairs), f"{name}-pairs")
+        named = pairs.select("node", "rep").unionByName(pairs.select(F.col("node2").alias("node"), F.col("rep2").alias("rep")))
+        sets = self._sets(named, name)
+        one = sets.select("node", F.col("members").alias("m1"))
+        two = sets.select(F.col("node").alias("node2"), F.col("members").alias("m2"))
+        links = (
             pairs.join(one.hint("merge"), "node")
             .join(two.hint("merge"), "node2")
             .withColumn("both", F.size(F.array_intersect("m1", "m2")))
             .filter(F.col("both") * 100 >= (F.size("m1") + F.size("m2") - F.col("both")) * self.percent)
             .select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
         )
+        links = self.scratch.keep(links, f"{name}-links")
+        self.scratch.drop(f"{name}-sets")
+        return links
 
 
 def jaccard_digest(documents: DataFrame) -> DataFrame:

@@ -213,14 +213,16 @@ def test_shared_passage_makes_no_pairs(spark, monkeypatch):
     assert sum(asked[1:]) < 80
 
 
-def test_one_id_on_two_texts(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_one_id_on_two_texts(spark, monkeypatch, few):
     """Every node is compared with the set of its own text."""
+    monkeypatch.setattr(jaccard, "FEW", few)
     words = [f"w{i}" for i in range(80)]
     other = [f"v{i}" for i in range(80)]
     rows = [(1, " ".join(words)), (1, " ".join(other)), (2, " ".join(words[:-1])), (3, " ".join(other[:-1]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     join = jaccard.Join(docs)
-    sets = {r["node"]: len(r["members"]) for r in join.sets.collect()}
+    sets = {r["node"]: len(r["members"]) for r in join._sets(join.nodes, "test").collect()}
     want = {r["node"]: r["n_shingles"] for r in join.rows.collect()}
     assert sets == want and sorted(sets.values()) == [76, 76, 77, 77]
     assert [r["component_id"] for r in join.nodes.collect()] == [1] * 4
