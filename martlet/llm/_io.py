@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -31,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="martlet-llm-"))
     return spark.sparkContext.getCheckpointDir()
@@ -50,6 +51,15 @@ class Scratch:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Free the shuffle files of frames that nothing holds any more.
+
+        Spark deletes them when the driver's JVM collects those frames (every
+        ``spark.cleaner.periodicGC.interval`` at the latest); this asks for it now.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, name: str) -> None:
         """Delete a table that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm

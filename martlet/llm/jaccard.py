@@ -296,6 +296,8 @@ class Join:
         self.rows = rows.drop("sketch")
         reps = self.rows.filter("n_shingles > 0").groupBy("node").agg(F.min("id").alias("rep"))
         shared = self.scratch.keep(_shared(_signature_rows(self.base, width, percent)), "shared")
+        # The signatures are the largest shuffle of the join.
+        self.scratch.release()
         groups = shared.join(reps.hint("merge"), "node").filter(F.col("rep").isNotNull())
         sizes = groups.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
         groups = groups.join(sizes.hint("merge"), "sig")
@@ -334,7 +336,9 @@ class Join:
         texts = self.base.join(F.broadcast(ids) if few else ids.hint("merge"), "id", "left_semi")
         # The node is taken from the text itself, as one id can stand on several texts.
         sets = _set_rows(texts, self.width).join(nodes.select("node").distinct().hint("merge"), "node", "left_semi")
-        return self.scratch.keep(sets.dropDuplicates(["node"]), f"{name}-sets")
+        sets = self.scratch.keep(sets.dropDuplicates(["node"]), f"{name}-sets")
+        self.scratch.release()
+        return sets
 
     @staticmethod
     def _central(groups: DataFrame) -> DataFrame:
@@ -367,6 +371,9 @@ class Join:
         counts = sets.select(F.explode("members").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
         common = counts.filter(F.col("n") > SMALL).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
         rows = self.scratch.keep(_prefix_rows(sets, common, self.percent), "prefixes")
+        del counts, sets
+        self.scratch.drop("large-sets")
+        self.scratch.release()
         many = rows.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > SALT_ROWS)
         many = self.scratch.keep(many.select("shingle", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts")), "salts")
         rows = rows.join(many, "shingle", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
