@@ -20,9 +20,15 @@ so no link that joins two components is missed: of groups of up to ``SMALL``
 members all pairs, of the nodes of larger ones the pairs that share a shingle
 of their prefixes. There the shingles of a set are ordered by how many of these
 nodes hold them, rare ones first, and similar sets share one of the first few;
-sizes, places in the order and bits of an odd sketch, none of which drops a
-similar pair, sort out most others before any set is sent. A passage in many
-texts comes last in the order and so makes no pairs of texts that only share it.
+sizes and places in the order, neither of which drops a similar pair, sort out
+others. A passage in many texts comes last in the order and so makes no pairs of
+texts that only share it.
+
+Before any set is sent for a pair, of either kind, two counts must allow it: the
+sizes, and a count sketch of each set, which says how many of its shingles hash
+into each of a few cells. Cell by cell the counts of two sets differ by at most
+the shingles that only one of them has, so no similar pair is dropped. A short
+form of the sketch, with cells added up, is compared before the whole one.
 
 Sets, nodes and signatures are 64-bit hashes. Defined cases: null and blank
 texts have no shingles and are linked with nothing; fewer words than a shingle
@@ -52,10 +58,10 @@ SPARE = 3
 SMALL = 16
 #: Shingles that are known as common, and prefix rows of one shingle for each task.
 COMMON, SALT_ROWS = 1 << 17, 4096
-#: Words of 64 bits in a sketch.
-SKETCH = 8
 #: Cells of a count sketch, and shingles of a set for each cell.
 CELLS, CELL_SHINGLES = (64, 8192), 2
+#: Cells of the short form that is looked at first.
+BRIEF = 128
 #: Ids that are broadcast to the texts (8 bytes each).
 FEW = 1 << 18
 #: Nodes whose signatures a task remembers to have sent.
@@ -126,9 +132,10 @@ def _sets(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def keyed(docs: DataFrame, keep: list[str], width: int, sketch: bool = False) -> DataFrame:
-    """``keep`` columns of every document with its set's size ``n_shingles``, key ``node`` and, if asked for, ``sketch``."""
+    """``keep`` columns of every document with its set's size ``n_shingles``, key ``node`` and, if asked for, its ``sketch`` and ``brief`` sketch."""
     more = [T.StructField("n_shingles", T.LongType()), T.StructField("node", T.LongType())]
-    more += [T.StructField("sketch", T.BinaryType())] * sketch
+    if sketch:
+        more += [T.StructField(c, T.BinaryType()) for c in ("sketch", "brief")]
     schema = T.StructType([docs.schema[c] for c in keep] + more)
 
     def run(batches):
@@ -139,7 +146,9 @@ def keyed(docs: DataFrame, keep: list[str], width: int, sketch: bool = False) ->
                 "node": pa.array(set_keys(hashes, bounds).view(np.int64), pa.int64()),
             }
             if sketch:
-                columns["sketch"] = pa.array([count_sketch(hashes[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary())
+                whole = [count_sketch(hashes[a:b]) for a, b in zip(bounds, bounds[1:])]
+                columns["sketch"] = pa.array(whole, pa.binary())
+                columns["brief"] = pa.array([brief_sketch(x) for x in whole], pa.binary())
             yield with_columns(batch, keep, **columns)
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
@@ -209,6 +218,12 @@ def count_sketch(hashes: np.ndarray) -> bytes:
     return np.minimum(np.bincount(cell, minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
+def brief_sketch(sketch: bytes) -> bytes:
+    """The sketch with neighbouring cells added up to at most ``BRIEF`` cells."""
+    cells = np.frombuffer(sketch, dtype=np.uint8).astype(np.int64)
+    return np.minimum(cells.reshape(min(len(cells), BRIEF), -1).sum(axis=1), 255).astype(np.uint8).tobytes()
+
+
 def least_difference(one: list[bytes], two: list[bytes]) -> np.ndarray:
     """For each pair of sketches, a bound below the number of shingles that only one of the sets has."""
     widths = np.array([[len(a), len(b)] for a, b in zip(one, two)])
@@ -236,7 +251,7 @@ def _set_rows(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _prefix_rows(sets: DataFrame, common: list, percent: int) -> DataFrame:
-    """(shingle, node, rep, label, size, place, short, k0..): the prefix of each set, rare shingles first.
+    """(node, label, shingle, size, place, short): the prefix of each set, rare shingles first.
 
     A set shares one of its prefix with any similar one, one of its ``short``
     prefix with any similar one that is not smaller.
@@ -245,16 +260,14 @@ def _prefix_rows(sets: DataFrame, common: list, percent: int) -> DataFrame:
     by = np.argsort(known)
     known, often = known[by], np.array([r["n"] for r in common], dtype=np.int64)[by]
     sent = sets.sparkSession.sparkContext.broadcast((known, often))
-    keep = [sets.schema[c] for c in ("node", "rep", "label")]
-    more = [T.StructField(c, T.LongType()) for c in ["shingle", "size", "place"]] + [T.StructField("short", T.BooleanType())]
-    sketch = [T.StructField(f"k{i}", T.LongType()) for i in range(SKETCH)]
+    names = ["node", "label", "shingle", "size", "place", "short"]
 
     def run(batches):
         known, often = sent.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists = batch.column(3)
+            lists = batch.column(2)
             hashes = lists.flatten().to_numpy(zero_copy_only=False)
             sizes = np.array(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
             starts = np.cumsum(sizes) - sizes
@@ -263,23 +276,19 @@ def _prefix_rows(sets: DataFrame, common: list, percent: int) -> DataFrame:
             if len(known):
                 at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                 count = np.where(known[at] == hashes, often[at], 0)
-            bits = mix(hashes.view(np.uint64), 91)
-            words = np.zeros(len(sizes) * SKETCH, dtype=np.uint64)
-            word = owner * SKETCH + ((bits >> np.uint64(6)) % np.uint64(SKETCH)).astype(np.int64)
-            np.bitwise_xor.at(words, word, np.uint64(1) << (bits & np.uint64(63)))
-            words = words.view(np.int64).reshape(-1, SKETCH)
             order = np.lexsort((hashes, count, owner))
             place = np.arange(len(order)) - starts[owner]
             long = sizes + 1 + (-percent * sizes) // 100
             short = sizes + 1 + (-2 * percent * sizes) // (100 + percent)
             first = place < long[owner]
             of, place, shingle = owner[first], place[first], hashes[order[first]]
-            columns = [batch.column(i).take(pa.array(of)) for i in range(3)]
+            columns = [batch.column(i).take(pa.array(of)) for i in range(2)]
             columns += [pa.array(c, pa.int64()) for c in (shingle, sizes[of], place)] + [pa.array(place < short[of])]
-            columns += [pa.array(words[of, i], pa.int64()) for i in range(SKETCH)]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*keep, *more, *sketch]])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return sets.mapInArrow(run, T.StructType([*keep, *more, *sketch]))
+    fields = [T.StructField("node", T.LongType()), sets.schema["label"]]
+    fields += [T.StructField(c, T.LongType()) for c in names[2:5]] + [T.StructField("short", T.BooleanType())]
+    return sets.select("node", "label", "members").mapInArrow(run, T.StructType(fields))
 
 
 class Join:
@@ -293,7 +302,7 @@ class Join:
         self.scratch, self.percent, self.width = Scratch(docs.sparkSession, "jaccard"), percent, width
         self.base = docs.select(F.col(id).alias("id"), "text")
         rows = self.scratch.keep(keyed(self.base, ["id"], width, sketch=True), "rows")
-        self.rows = rows.drop("sketch")
+        self.rows = rows.drop("sketch", "brief")
         reps = self.rows.filter("n_shingles > 0").groupBy("node").agg(F.min("id").alias("rep"))
         shared = self.scratch.keep(_shared(_signature_rows(self.base, width, percent)), "shared")
         # The signatures are the largest shuffle of the join.
@@ -306,9 +315,9 @@ class Join:
         groups = groups.join(central.hint("merge"), "node").select("sig", "n", "node", "rep", "score", F.col("rep").alias("label"))
         groups = self.scratch.keep(groups, "groups-0")
         self.scratch.drop("shared")
-        sketches = rows.filter("n_shingles > 0").select("node", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["node"])
-        wanted = groups.select("node").distinct()
-        self.sketches = self.scratch.keep(sketches.join(wanted.hint("merge"), "node", "left_semi"), "sketches")
+        sketches = rows.filter("n_shingles > 0").select("node", F.col("n_shingles").alias("n"), "brief", "sketch")
+        wanted = groups.select("node", "rep").distinct()
+        self.sketches = self.scratch.keep(sketches.dropDuplicates(["node"]).join(wanted.hint("merge"), "node"), "sketches")
         links = self._links(groups)
         labels = components(links, self.scratch, "components")
         joined = reps.join(labels.hint("merge"), reps["rep"] == labels["node"], "left")
@@ -321,6 +330,7 @@ class Join:
         labels = groups.join(merged.withColumnRenamed("label", "new").hint("merge"), groups["rep"] == merged["node"], "left")
         groups = labels.select("sig", "n", groups["node"], "rep", F.coalesce("new", "label").alias("label"))
         groups = self.scratch.keep(groups, "groups-1")
+        self.scratch.drop("groups-0")
         open_groups = groups.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
         groups = groups.join(open_groups.select("sig").hint("merge"), "sig", "left_semi")
         small = self._all_pairs(groups.filter(F.col("n") <= SMALL))
@@ -328,15 +338,15 @@ class Join:
         return first.unionByName(self._similar(small.unionByName(large).distinct(), "rest"))
 
     def _sets(self, nodes: DataFrame, name: str) -> DataFrame:
-        """The written (node, members) of some ``nodes`` (node, rep)."""
-        nodes = self.scratch.keep(nodes.select("node", F.col("rep").alias("id")).distinct(), f"{name}-nodes")
+        """The written ``members`` of some ``nodes`` (node, rep, ...), beside their columns."""
+        nodes = self.scratch.keep(nodes.distinct(), f"{name}-nodes")
         # Few ids go to the texts; beyond that the texts are shuffled to the ids.
-        ids = nodes.select("id").distinct()
+        ids = nodes.select(F.col("rep").alias("id")).distinct()
         few = nodes.count() <= FEW
         texts = self.base.join(F.broadcast(ids) if few else ids.hint("merge"), "id", "left_semi")
         # The node is taken from the text itself, as one id can stand on several texts.
-        sets = _set_rows(texts, self.width).join(nodes.select("node").distinct().hint("merge"), "node", "left_semi")
-        sets = self.scratch.keep(sets.dropDuplicates(["node"]), f"{name}-sets")
+        sets = _set_rows(texts, self.width).dropDuplicates(["node"]).join(nodes.hint("merge"), "node")
+        sets = self.scratch.keep(sets, f"{name}-sets")
         self.scratch.release()
         return sets
 
@@ -349,27 +359,27 @@ class Join:
         named = (
             groups.join(leaders.hint("merge"), "sig")
             .filter("node <> p.node")
-            .groupBy("node", "rep", F.col("p.node").alias("node2"), F.col("p.rep").alias("rep2"))
+            .groupBy("node", F.col("p.node").alias("node2"), F.col("p.rep").alias("rep2"))
             .agg(F.count("*").alias("led"))
         )
         best = F.max(F.struct("led", "node2", "rep2")).alias("p")
-        return named.groupBy("node", "rep").agg(best).select("node", "rep", "p.node2", "p.rep2")
+        return named.groupBy("node").agg(best).select("node", "p.node2")
 
     @staticmethod
     def _all_pairs(groups: DataFrame) -> DataFrame:
         """The pairs across components that share one of these groups of bounded size."""
-        one = groups.select("sig", "node", "rep", "label")
-        two = groups.select("sig", F.col("node").alias("node2"), F.col("rep").alias("rep2"), F.col("label").alias("label2"))
+        one = groups.select("sig", "node", "label")
+        two = groups.select("sig", F.col("node").alias("node2"), F.col("label").alias("label2"))
         pairs = one.join(two.hint("merge"), "sig").filter("label < label2")
-        return pairs.select("node", "rep", "node2", "rep2").distinct()
+        return pairs.select("node", "node2").distinct()
 
     def _sharing_prefix(self, groups: DataFrame) -> DataFrame:
         """Pairs across components, of nodes in these groups, that share a shingle of
-        their prefixes and may be similar by their sizes and sketches."""
-        nodes = groups.select("node", "rep", "label").distinct()
-        sets = self._sets(nodes, "large").join(nodes.hint("merge"), "node").select("node", "rep", "label", "members")
+        their prefixes and may be similar by their sizes and its places."""
+        sets = self._sets(groups.select("node", "rep", "label"), "large")
         counts = sets.select(F.explode("members").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
         common = counts.filter(F.col("n") > SMALL).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
+        self.scratch.release()
         rows = self.scratch.keep(_prefix_rows(sets, common, self.percent), "prefixes")
         del counts, sets
         self.scratch.drop("large-sets")
@@ -381,34 +391,36 @@ class Join:
         two = rows.filter("short").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts", "short")
         two = two.select("shingle", "salt", *[F.col(c).alias(f"{c}2") for c in two.columns if c not in ("shingle", "salt")])
         least = F.ceil((F.col("size") + F.col("size2")) * self.percent / F.lit(100 + self.percent) - 1e-9).cast("long")
-        differ = sum((F.bit_count(F.col(f"k{i}").bitwiseXOR(F.col(f"k{i}2"))) for i in range(SKETCH)), F.lit(0))
         pairs = one.join(two.hint("merge"), ["shingle", "salt"]).filter(
             (F.col("label") != F.col("label2"))
             & ((F.col("size2") < F.col("size")) | ((F.col("size2") == F.col("size")) & (F.col("node2") < F.col("node"))))
             & (F.col("size2") * 100 >= F.col("size") * self.percent)
             # If this is the first shingle both have, the rest bounds what they share.
             & (F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2")) >= least)
-            & (differ <= F.col("size") + F.col("size2") - 2 * least)
         )
-        return pairs.select("node", "rep", "node2", "rep2").distinct()
+        return pairs.select("node", "node2").distinct()
 
     def _plausible(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that may be similar by the sizes and count sketches of their sets."""
-        one = self.sketches
-        two = self.sketches.select(F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
+        """The pairs (node, node2) that may be similar by the sizes and count sketches
+        of their sets, with the smallest ids of both."""
         percent = self.percent
-        sized = pairs.join(one.hint("merge"), "node").join(two.hint("merge"), "node2")
-        sized = sized.filter(F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
 
         def run(batches):
             for batch in batches:
-                n, n2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 6))
+                n, n2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 4))
                 least = -(-(n + n2) * percent // (100 + percent))
-                differ = least_difference(batch.column(5).to_pylist(), batch.column(7).to_pylist())
-                yield batch.select([0, 1, 2, 3]).filter(pa.array(differ <= n + n2 - 2 * least))
-
-        columns = ["node", "rep", "node2", "rep2"]
-        return sized.select(*columns, "n", "sketch", "n2", "sketch2").mapInArrow(run, pairs.select(columns).schema)
+                differ = least_difference(batch.column(3).to_pylist(), batch.column(5).to_pylist())
+                yield batch.select([0, 1]).filter(pa.array(differ <= n + n2 - 2 * least))
+
+        for sketch in ("brief", "sketch"):
+            one = self.sketches.select("node", "n", F.col(sketch).alias("s"))
+            two = one.select(*[F.col(c).alias(f"{c}2") for c in one.columns])
+            sized = pairs.join(one.hint("merge"), "node").join(two.hint("merge"), "node2")
+            sized = sized.filter(F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
+            pairs = sized.select("node", "node2", "n", "s", "n2", "s2").mapInArrow(run, "node long, node2 long")
+        reps = self.sketches.select("node", "rep")
+        two = reps.select(F.col("node").alias("node2"), F.col("rep").alias("rep2"))
+        return pairs.join(reps.hint("merge"), "node").join(two.hint("merge"), "node2")
 
     def _similar(self, pairs: DataFrame, name: str) -> DataFrame:
         """The written links (a, b): pairs whose whole sets are similar enough."""
