@@ -60,8 +60,8 @@ SMALL = 16
 COMMON, SALT_ROWS = 1 << 17, 4096
 #: Cells of a count sketch, and shingles of a set for each cell.
 CELLS, CELL_SHINGLES = (64, 8192), 2
-#: Cells of the short form that is looked at first.
-BRIEF = 128
+#: Cells of the short form that is looked at first; pairs whose sketches are compared at once.
+BRIEF, AT_ONCE = 128, 256
 #: Ids that are broadcast to the texts (8 bytes each).
 FEW = 1 << 18
 #: Nodes whose signatures a task remembers to have sent.
@@ -232,7 +232,7 @@ def least_difference(one: list[bytes], two: list[bytes]) -> np.ndarray:
         at = np.flatnonzero((widths == (a, b)).all(axis=1))
         counts = []
         for sketches, width in ((one, a), (two, b)):
-            c = np.frombuffer(b"".join(sketches[i] for i in at), dtype=np.uint8).reshape(len(at), width).astype(np.int64)
+            c = np.frombuffer(b"".join(sketches[i] for i in at), dtype=np.uint8).reshape(len(at), width).astype(np.int32)
             # Neighbouring cells of the wider sketch are one of the narrower.
             counts.append(np.minimum(c.reshape(len(at), min(a, b), -1).sum(axis=2), 255))
         out[at] = np.abs(counts[0] - counts[1]).sum(axis=1)
@@ -409,8 +409,11 @@ class Join:
             for batch in batches:
                 n, n2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 4))
                 least = -(-(n + n2) * percent // (100 + percent))
-                differ = least_difference(batch.column(3).to_pylist(), batch.column(5).to_pylist())
-                yield batch.select([0, 1]).filter(pa.array(differ <= n + n2 - 2 * least))
+                for at in range(0, batch.num_rows, AT_ONCE):
+                    some = slice(at, at + AT_ONCE)
+                    part = batch.slice(at, AT_ONCE)
+                    differ = least_difference(part.column(3).to_pylist(), part.column(5).to_pylist())
+                    yield part.select([0, 1]).filter(pa.array(differ <= (n + n2 - 2 * least)[some]))
 
         for sketch in ("brief", "sketch"):
             one = self.sketches.select("node", "n", F.col(sketch).alias("s"))
