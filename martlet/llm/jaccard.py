@@ -240,23 +240,79 @@ def least_difference(one: list[bytes], two: list[bytes]) -> np.ndarray:
 
 
 def _set_rows(docs: DataFrame, width: int) -> DataFrame:
+    """(node, members) of the texts; a task sends equal sets once."""
+
     def run(batches):
+        seen = set()
         for batch, text in pieces(batches):
             hashes, bounds = _sets(text, width)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64), pa.int64()))
-            keys = pa.array(set_keys(hashes, bounds).view(np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, lists], names=["node", "members"])
+            keys = set_keys(hashes, bounds).view(np.int64)
+            new = []
+            for i, k in enumerate(keys.tolist()):
+                if k not in seen:
+                    seen.add(k)
+                    new.append(i)
+            if len(seen) > SEEN:
+                seen.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), lists], names=["node", "members"]).take(pa.array(new, pa.int64()))
 
     return docs.select("text").mapInArrow(run, "node long, members array<long>")
 
 
-def _prefix_rows(sets: DataFrame, common: list, percent: int) -> DataFrame:
+def _count_keys(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The upper 32 + ``bits`` bits of shingles, by which they are counted."""
+    return hashes.view(np.uint64) >> np.uint64(32 - bits)
+
+
+def _counted(sets: DataFrame, bits: int, least: int) -> DataFrame:
+    """(key, n): by their keys, the shingles that more than ``least`` of the sets have.
+
+    A task sends its counts as arrays, one for each value of the upper bits.
+    """
+
+    def send(batches):
+        for batch in batches:
+            keys, counts = np.unique(_count_keys(batch.column(0).flatten().to_numpy(zero_copy_only=False), bits), return_counts=True)
+            parts = (keys >> np.uint64(32)).astype(np.int64)
+            starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(parts) else []
+            ends = [*starts[1:], len(parts)]
+            rows = [(int(parts[a]), keys[a:b].astype("<u4").tobytes(), counts[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends)]
+            part, low, times = zip(*rows) if rows else ([], [], [])
+            columns = [pa.array(part, pa.int64()), pa.array(low, pa.binary()), pa.array(times, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "low", "times"])
+
+    def total(part, lows, times):
+        low = np.frombuffer(b"".join(lows), "<u4")
+        keys, of = np.unique(low, return_inverse=True)
+        n = np.bincount(of, np.frombuffer(b"".join(times), "<u4"), minlength=len(keys)).astype(np.int64)
+        keys = (keys[n > least].astype(np.int64)) + (part << 32)
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n[n > least], pa.int64())], names=["key", "n"])
+
+    def receive(batches):
+        now, lows, times = None, [], []
+        for batch in batches:
+            for part, low, count in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if part != now:
+                    if lows:
+                        yield total(now, lows, times)
+                    now, lows, times = part, [], []
+                lows.append(low)
+                times.append(count)
+        if lows:
+            yield total(now, lows, times)
+
+    sent = sets.select("members").mapInArrow(send, "part long, low binary, times binary")
+    return sent.repartition("part").sortWithinPartitions("part").mapInArrow(receive, "key long, n long")
+
+
+def _prefix_rows(sets: DataFrame, common: list, bits: int, percent: int) -> DataFrame:
     """(node, label, shingle, size, place, short): the prefix of each set, rare shingles first.
 
     A set shares one of its prefix with any similar one, one of its ``short``
     prefix with any similar one that is not smaller.
     """
-    known = np.array([r["shingle"] for r in common], dtype=np.int64)
+    known = np.array([r["key"] for r in common], dtype=np.int64)
     by = np.argsort(known)
     known, often = known[by], np.array([r["n"] for r in common], dtype=np.int64)[by]
     sent = sets.sparkSession.sparkContext.broadcast((known, often))
@@ -274,8 +330,9 @@ def _prefix_rows(sets: DataFrame, common: list, percent: int) -> DataFrame:
             owner = np.repeat(np.arange(len(sizes)), sizes)
             count = np.zeros(len(hashes), dtype=np.int64)
             if len(known):
-                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                count = np.where(known[at] == hashes, often[at], 0)
+                keys = _count_keys(hashes, bits).view(np.int64)
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                count = np.where(known[at] == keys, often[at], 0)
             order = np.lexsort((hashes, count, owner))
             place = np.arange(len(order)) - starts[owner]
             long = sizes + 1 + (-percent * sizes) // 100
@@ -340,12 +397,14 @@ class Join:
     def _sets(self, nodes: DataFrame, name: str) -> DataFrame:
         """The written ``members`` of some ``nodes`` (node, rep, ...), beside their columns."""
         nodes = self.scratch.keep(nodes.distinct(), f"{name}-nodes")
-        # Few ids go to the texts; beyond that the texts are shuffled to the ids.
         ids = nodes.select(F.col("rep").alias("id")).distinct()
-        few = nodes.count() <= FEW
-        texts = self.base.join(F.broadcast(ids) if few else ids.hint("merge"), "id", "left_semi")
         # The node is taken from the text itself, as one id can stand on several texts.
-        sets = _set_rows(texts, self.width).dropDuplicates(["node"]).join(nodes.hint("merge"), "node")
+        if nodes.count() <= FEW:
+            # Few ids go to the texts; beyond that the texts are shuffled to the ids.
+            sets = _set_rows(self.base.join(F.broadcast(ids), "id", "left_semi"), self.width).join(F.broadcast(nodes), "node")
+        else:
+            sets = _set_rows(self.base.join(ids.hint("merge"), "id", "left_semi"), self.width)
+            sets = sets.dropDuplicates(["node"]).join(nodes.hint("merge"), "node")
         sets = self.scratch.keep(sets, f"{name}-sets")
         self.scratch.release()
         return sets
@@ -377,18 +436,23 @@ class Join:
         """Pairs across components, of nodes in these groups, that share a shingle of
         their prefixes and may be similar by their sizes and its places."""
         sets = self._sets(groups.select("node", "rep", "label"), "large")
-        counts = sets.select(F.explode("members").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
-        common = counts.filter(F.col("n") > SMALL).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
+        total = self.sketches.agg(F.sum("n")).first()[0] or 0
+        bits = min(31, (total >> 20).bit_length())
+        common = _counted(sets, bits, SMALL).orderBy(F.desc("n"), "key").limit(COMMON).collect()
         self.scratch.release()
-        rows = self.scratch.keep(_prefix_rows(sets, common, self.percent), "prefixes")
-        del counts, sets
+        rows = self.scratch.keep(_prefix_rows(sets, common, bits, self.percent), "prefixes")
+        del sets
         self.scratch.drop("large-sets")
         self.scratch.release()
         many = rows.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > SALT_ROWS)
         many = self.scratch.keep(many.select("shingle", F.ceil(F.col("n") / SALT_ROWS).cast("int").alias("salts")), "salts")
-        rows = rows.join(many, "shingle", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-        one = rows.withColumn("salt", F.pmod(F.xxhash64(F.lit(29), "node"), F.col("salts")).cast("int")).drop("salts")
-        two = rows.filter("short").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts", "short")
+        rows = rows.join(many, "shingle", "left")
+        salt = F.pmod(F.xxhash64(F.lit(29), "node"), F.coalesce("salts", F.lit(1))).cast("int")
+        one = rows.withColumn("salt", salt).drop("salts")
+        # Only rows of the salted shingles stand in several tasks.
+        short = rows.filter("short").drop("short")
+        spread = short.filter("salts IS NOT NULL").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        two = short.filter("salts IS NULL").withColumn("salt", F.lit(0)).unionByName(spread).drop("salts")
         two = two.select("shingle", "salt", *[F.col(c).alias(f"{c}2") for c in two.columns if c not in ("shingle", "salt")])
         least = F.ceil((F.col("size") + F.col("size2")) * self.percent / F.lit(100 + self.percent) - 1e-9).cast("long")
         pairs = one.join(two.hint("merge"), ["shingle", "salt"]).filter(
