@@ -20,6 +20,9 @@ from martlet.functions.measures import Lines, money, safe_pct
 from martlet.operators._common import day_col, order_lines
 
 DIRECT = "Direct"
+# A lag's series, and the order of its rows.
+SERIES = ("product_sku", "marketing_channel", "partner_name")
+SERIES_ORDER = ("order_date", "product_name")
 MEASURED = (
     "order_id", "customer_id", "adjusted_quantity", "unit_price", "line_revenue", "line_discount", "cost",
     "allocated_shipping", "allocated_duties",
@@ -32,7 +35,8 @@ def _first_of(group: list[str], c: str):
     return F.when(F.col(c).isNotNull() & (place == 1), 1).otherwise(0)
 
 
-def daily_sales(od: DataFrame, start: DateLike, end: DateLike, lag_rows: int = 30) -> DataFrame:
+def daily_grain(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+    """The mart without its lagged columns: one row per day, product, channel and partner."""
     lines = order_lines(od, start, end)
     m = Lines(lines)
     keys = [
@@ -66,7 +70,7 @@ def daily_sales(od: DataFrame, start: DateLike, end: DateLike, lag_rows: int = 3
         m.mean("cost").alias("_avg_cost"),
     )
     d = F.col("order_date")
-    daily = g.select(
+    return g.select(
         d,
         F.year(d).cast("bigint").alias("year"),
         F.quarter(d).cast("bigint").alias("quarter"),
@@ -93,7 +97,11 @@ def daily_sales(od: DataFrame, start: DateLike, end: DateLike, lag_rows: int = 3
         money("_avg_price").alias("avg_unit_price"),
         money("_avg_cost").alias("avg_unit_cost"),
     )
-    w = Window.partitionBy("product_sku", "marketing_channel", "partner_name").orderBy("order_date", "product_name")
+
+
+def with_lag(daily: DataFrame, lag_rows: int = 30) -> DataFrame:
+    """``daily_grain`` rows with the values ``lag_rows`` rows back in their series."""
+    w = Window.partitionBy(*SERIES).orderBy(*SERIES_ORDER)
     suffix = f"{lag_rows}d"
     lagged = daily.withColumns(
         {
@@ -106,3 +114,7 @@ def daily_sales(od: DataFrame, start: DateLike, end: DateLike, lag_rows: int = 3
     return lagged.withColumn(
         f"revenue_change_{suffix}_pct", safe_pct(F.col("net_revenue") - prev, prev)
     )
+
+
+def daily_sales(od: DataFrame, start: DateLike, end: DateLike, lag_rows: int = 30) -> DataFrame:
+    return with_lag(daily_grain(od, start, end), lag_rows)

@@ -54,7 +54,11 @@ def ranked_in_month(monthly: DataFrame) -> DataFrame:
 
 
 def product_performance(od: DataFrame, start: DateLike, end: DateLike, with_lead: bool = False) -> DataFrame:
-    monthly = product_monthly(od, start, end)
+    return performance(product_monthly(od, start, end), with_lead)
+
+
+def performance(monthly: DataFrame, with_lead: bool = False) -> DataFrame:
+    """Ranks, tiers and lags of ``product_monthly`` rows."""
     by_sku = Window.partitionBy("product_sku").orderBy("_month", "product_name")
     tier = F.lit(OTHER)
     for cut, name in reversed(TIERS):

@@ -24,7 +24,7 @@ from martlet.operators.staging import advance_cutoff, row_count_audit, stage_upd
 from martlet.plans.control import init_cutoff
 from martlet.schemas import ETL_CUTOFF, FACT_ORDER_DETAIL, empty
 from martlet.session import checkpoint_dir
-from martlet.sources import raw_order_items, raw_order_items_edited
+from martlet.sources import raw_order_items, raw_order_items_corrected, raw_order_items_edited
 
 # Fixed parameters of the replay.
 SRC = "raw_order_items"
@@ -32,6 +32,7 @@ TGT = "fact_order_detail"
 INITIAL_LOAD = "1995-01-01 00:00:00"
 RUN1_TARGET = "1999-01-01 00:00:00"
 RUN2_TARGET = "2002-01-01 00:00:00"
+LATE_TARGET = "1999-03-01 00:00:00"
 RUN1_CLOCK = "2025-09-16 08:00:00"
 RUN2_CLOCK = "2025-09-17 08:00:00"
 
@@ -83,6 +84,13 @@ class Replay:
     def fact2(self) -> DataFrame:
         return self.merge2.apply(self.fact1)
 
+    @cached_property
+    def late_merge(self) -> MergePlan:
+        """Another second run: a few days of new orders, and corrections to two months."""
+        raw = raw_order_items_corrected(self.spark, self.sf_dir)
+        staged = stage_updates(raw, _pair_cutoff(self.cutoffs1), LATE_TARGET, INITIAL_LOAD)
+        return plan_merge(self.fact1, staged, RUN2_CLOCK)
+
     @cached_property
     def cutoffs2(self) -> DataFrame:
         return advance_cutoff(self.cutoffs1, self.staged2, self.fact1, SRC, TGT)

@@ -69,6 +69,25 @@ def raw_order_items_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Orders of these months are corrected later: one in EDIT_EVERY gets another channel, half of them another partner.
+LATE_FROM, LATE_TO = "1998-11-01 00:00:00", "1999-01-01 00:00:00"
+LATE_CHANNEL, LATE_PARTNER = "9-LATE", "Partner late"
+
+
+def raw_order_items_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later extract in which orders of two months have corrected channels and partners."""
+    df = raw_order_items(spark, sf_dir)
+    date, key = F.col("order_date"), F.col("id").cast("bigint")
+    late = (key % EDIT_EVERY == 0) & (date >= F.lit(LATE_FROM).cast("timestamp_ntz")) & (date < F.lit(LATE_TO).cast("timestamp_ntz"))
+    return df.withColumns(
+        {
+            "update_date": F.when(late, F.lit(EDIT_STAMP).cast("timestamp_ntz")).otherwise(F.col("update_date")),
+            "channel": F.when(late, LATE_CHANNEL).otherwise(F.col("channel")),
+            "partner_name": F.when(late & (key % 2 == 0), LATE_PARTNER).otherwise(F.col("partner_name")),
+        }
+    )
+
+
 # Fixed rule of the mixed extract: what happens to an order by its key modulo MIX.
 MIX = 12
 
