@@ -1,6 +1,7 @@
 """Page operators: extraction rules and url judgement."""
 
 import html
+import time
 
 from martlet.llm import urls
 from martlet.llm._io import table
@@ -38,6 +39,54 @@ def test_names_of_layouts_do_not_hide_the_article():
     assert main_text("<article><p>text</p></article><div class='comments'><article><p>I say</p></article></div>") == "text"
 
 
+BODY = "<article><p>the text of it</p></article>"
+
+
+def test_comments_and_related_cards_stay_out():
+    for page in (
+        BODY + "<section class='comments-area'><article class='comment-body'><p>I say " + "so " * 90 + "</p></article></section>",
+        BODY + "<div class='related-posts'><article><p>Another story</p></article></div>",
+        "<article><p>the text of it</p><ol class='commentlist'><li>I say so</li></ol></article>",
+        "<article><p>the text of it</p><p style='color:red; display: none'>hidden</p></article>",
+        "<div class='has-sidebar'>" + BODY + "<div class='sidebar-left'><article><p>card</p></article></div></div>",
+        "<main>" + BODY + "<div id='comments'><article class='comment'>I say</article><article>me too</article></div></main>",
+        BODY + "<article class='related-post'><p>card</p></article>",
+    ):
+        assert main_text(page) == "the text of it", page
+
+
+def test_wrappers_do_not_empty_a_page():
+    prose = "the cat and the dog went to the house of the man and it was in the garden for all of them to see " * 3
+    for page in (
+        "<form id='all'><input>" + BODY + "</form>",
+        "<div class='widget'>" + BODY + "</div><div class='widget'>Buy</div>",
+        "<div class='single comments-open'>" + BODY + "</div>",
+        "<div class='comments'>" + BODY + "</div>",
+    ):
+        assert main_text(page) == "the text of it", page
+    assert main_text(f"<form><p>{prose}</p><select><option>x</option></select></form>") == prose.strip()
+    assert main_text(f"<p>{prose}</p><form><p>{prose}</p></form>") == prose.strip()
+
+
+def test_pages_outside_the_stop_list():
+    chinese = "\u6211\u4eec\u5728\u8fd9\u91cc\u8bb2\u4e00\u4e2a\u6545\u4e8b\u3002" * 4
+    assert main_text(f"<body><nav>\u83dc\u5355</nav><p>{chinese}</p><p><a href='/'>\u94fe\u63a5</a></p></body>") == chinese
+    italian = "Questa notte abbiamo visto molte stelle sopra le montagne, poi siamo tornati verso casa cantando."
+    assert main_text(f"<body><p>{italian}</p><footer>Fine</footer></body>") == italian
+    assert main_text("<body><p>Loading</p></body>") == ""
+
+
+def test_work_is_linear_in_tags():
+    n = 100_000
+    for page in (
+        "<div>" * n + "</p>" * n, "<b>" * n + "</i>" * n, "<u><div>" + "<b>" * n + "</u>" * n,
+        "<div class='menu'>" * n + "x" + "</div>" * n, "<article class='share'>" * n + "x", "<i>" * n + "<p>x" * n,
+    ):
+        start = time.process_time()
+        main_text(page)
+        assert time.process_time() - start < 10
+
+
 def test_links_inside_an_article():
     page = """<article><h1><a href='/a'>Title</a></h1><p><a href='/b'>mostly a link</a> here</p>
 <ul><li><a href='/1'>one</a></li><li><a href='/2'>two</a></li></ul>
