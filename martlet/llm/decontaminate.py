@@ -4,12 +4,15 @@ The patterns are all runs of ``WINDOW`` consecutive words of the benchmark
 items; an item with fewer words is one pattern of its own length. Patterns of
 one length share a table: a shift table keyed by blocks of up to ``BLOCK``
 words says how far the window may move on, buckets keyed by the last block
-list the places in the items where a pattern with that block ends, and a
-direct comparison of the words confirms an occurrence.
+hold the distinct patterns that end with it, and a direct comparison of the
+words confirms an occurrence. A place is compared with one pattern of its
+bucket, found by its words, so repeated words cost no more than others.
 
-The benchmark is cut into parts of bounded size; each part is sent to the
-executors and searched in a pass of its own over all documents. One part, the
-usual case, needs no shuffle.
+The benchmark is cut into parts of bounded size, an item longer than a part
+into runs that overlap by ``WINDOW`` - 1 words. The parts pass through the
+driver one at a time; each is sent to the executors and searched in a pass of
+its own over all documents, whose hits are written. One part, the usual case,
+needs no shuffle.
 
 Defined cases: a null or empty text has no words and no hits; an item without
 words is no pattern; a null item id counts for hits but is not listed; equal
@@ -19,6 +22,10 @@ table gives no rows and an empty benchmark no hits.
 
 from __future__ import annotations
 
+import itertools
+import uuid
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,13 +49,14 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Patterns:
-    """Shift table and buckets of all patterns of one length."""
+    """Shift table and buckets of all patterns of one length; equal patterns are one entry."""
 
     def __init__(self, length: int):
         self.length, self.block = length, min(BLOCK, length)
         self.far = length - self.block + 1
         self.shift: dict[bytes, int] = {}
-        self.ends: dict[bytes, list[tuple[list[bytes], int, int]]] = {}
+        #: Patterns by their last block, then by their words, with the items that hold them.
+        self.ends: dict[bytes, dict[bytes, list[int]]] = {}
 
     def add(self, item: int, words: list[bytes]) -> None:
         last = len(words) - 1
@@ -59,27 +67,35 @@ class Patterns:
             if end + ahead <= last:
                 self.shift[key] = min(ahead, self.shift.get(key, self.far))
             if end >= self.length - 1:
-                self.ends.setdefault(key, []).append((words, end - self.length + 1, item))
+                run = b" ".join(words[end - self.length + 1 : end + 1])
+                holders = self.ends.setdefault(key, {}).setdefault(run, [])
+                if not holders or holders[-1] != item:  # items are added one after the other
+                    holders.append(item)
 
-    def find(self, words: list[bytes], hits: set[int], items: set[int]) -> None:
+    def find(self, words: list[bytes], hits: bytearray, items: set[int]) -> None:
+        """Mark the words inside an occurrence in ``hits`` and add the items to ``items``."""
         n, m, b, far = len(words), self.length, self.block, self.far
         shift, ends, end = self.shift, self.ends, self.length - 1
+        marked, met = 0, set()
         while end < n:
             key = b" ".join(words[end - b + 1 : end + 1]) if b > 1 else words[end]
             step = shift.get(key, far)
             if step == 0:
-                run = None
-                for source, start, item in ends[key]:
-                    if source[start] == words[end - m + 1]:
-                        run = run or words[end - m + 1 : end + 1]
-                        if source[start : start + m] == run:
-                            hits.update(range(end - m + 1, end + 1))
-                            items.add(item)
+                run = b" ".join(words[end - m + 1 : end + 1])
+                found = ends[key].get(run)
+                if found is not None:
+                    start = max(marked, end - m + 1)
+                    marked = end + 1
+                    hits[start:marked] = b"\x01" * (marked - start)
+                    if run not in met:
+                        met.add(run)
+                        items.update(found)
                 step = 1
             end += step
 
 
 def build(items: list[tuple[str | None, bytes | None]], window: int = WINDOW) -> list[Patterns]:
+    """Tables of all patterns. Runs cut from one item keep its length, if it has a window at all."""
     tables: dict[int, Patterns] = {}
     for number, (_, text) in enumerate(items):
         words = words_of(text)
@@ -89,20 +105,69 @@ def build(items: list[tuple[str | None, bytes | None]], window: int = WINDOW) ->
     return list(tables.values())
 
 
-def _parts(benchmark: DataFrame, part_bytes: int) -> list[list[tuple[str | None, bytes]]]:
-    """The benchmark in parts of about ``part_bytes``; each is collected on its own."""
+def _cut(window: int, run_bytes: int):
+    """Items as rows of at most about ``run_bytes``: runs of whole words that overlap by
+    ``window`` - 1 words, so that every window lies in a run and no run is short of one."""
+
+    def run(batches):
+        for batch in batches:
+            ids, runs = [], []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if len(text) <= run_bytes:
+                    ids.append(item)
+                    runs.append(text)
+                    continue
+                words = words_of(text)
+                start = 0
+                while start < len(words):
+                    end, size = start, 0
+                    while end < len(words) and (end - start < window or size < run_bytes):
+                        size += len(words[end]) + 1
+                        end += 1
+                    ids.append(item)
+                    runs.append(b" ".join(words[start:end]))
+                    if end == len(words):
+                        break
+                    start = end - window + 1
+            yield pa.record_batch([pa.array(ids, pa.string()), pa.array(runs, pa.binary())], names=["id", "text"])
+
+    return run
+
+
+def _parts(benchmark: DataFrame, part_bytes: int, window: int = WINDOW) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The benchmark in parts of about ``part_bytes``, collected one at a time.
+
+    An item longer than a part is dealt in overlapping runs; runs of equal words are one.
+    """
     items = benchmark.select(
         F.col("item_id").cast("string").alias("id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
     )
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // part_bytes))
+    size, longest = items.agg(F.sum(F.octet_length("text")), F.max(F.octet_length("text"))).first()
+    if (longest or 0) > part_bytes:
+        items = Scratch(benchmark.sparkSession, "benchmark").keep(
+            items.mapInArrow(_cut(window, part_bytes), items.schema), "runs"
+        )
+        size = items.agg(F.sum(F.octet_length("text"))).first()[0]
+    n = max(1, -(-(size or 0) // part_bytes))
     part = F.pmod(F.xxhash64("id", "text"), F.lit(n))
     for k in range(n):
         yield [(r["id"], bytes(r["text"])) for r in items.filter(part == k).distinct().collect()]
 
 
+#: The tables of the part that this worker searched last, by its broadcast.
+_TABLES: dict[tuple, list[Patterns]] = {}
+
+
+def _tables(part: str, items: list, window: int) -> list[Patterns]:
+    if part not in _TABLES:
+        _TABLES.clear()
+        _TABLES[part] = build(items, window)
+    return _TABLES[part]
+
+
 def _search(docs: DataFrame, keep: list[str], items: list, window: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(items)
+    part = uuid.uuid4().hex
     schema = T.StructType(
         [docs.schema[c] for c in keep]
         + [
@@ -114,16 +179,16 @@ def _search(docs: DataFrame, keep: list[str], items: list, window: int) -> DataF
 
     def run(batches):
         ids = [i for i, _ in sent.value]
-        tables = build(sent.value, window)
+        tables = _tables(part, sent.value, window)
         for batch, texts in pieces(batches):
             counts, where, which = [], [], []
             for text in texts.to_pylist():
                 words = words_of(text)
-                hits, found = set(), set()
+                hits, found = bytearray(len(words)), set()
                 for table in tables:
                     table.find(words, hits, found)
                 counts.append(len(words))
-                where.append(sorted(hits))
+                where.append([i for i, hit in enumerate(hits) if hit] if found else [])
                 which.append(sorted({ids[i] for i in found if ids[i] is not None}))
             yield with_columns(
                 batch,
@@ -141,17 +206,20 @@ def find_benchmark(
 ) -> DataFrame:
     """``keep`` columns of every document, ``n_words``, ``hits`` (numbers of the
     words inside any occurrence, from 0) and ``items`` (ids that occur, as sorted strings)."""
-    found = list(_parts(benchmark, part_bytes))
-    if len(found) == 1:
-        return _search(docs, keep, found[0], window)
+    parts = _parts(benchmark, part_bytes, window)
+    items = next(parts)
+    after = next(parts, None)
+    if after is None:
+        return _search(docs, keep, items, window)
     scratch = Scratch(docs.sparkSession, "decontaminate")
     numbered = scratch.keep(
         docs.select(*dict.fromkeys([*keep, "text"])).withColumn("_pos", F.monotonically_increasing_id()), "documents"
     )
-    passes = [_search(numbered, ["_pos"], items, window) for items in found]
-    every = passes[0]
-    for more in passes[1:]:
-        every = every.unionByName(more)
+    every = None
+    for k, items in enumerate(itertools.chain([items, after], parts)):
+        # A part's hits are written before the next part is collected.
+        some = scratch.keep(_search(numbered, ["_pos"], items, window), f"part{k}")
+        every = some if every is None else every.unionByName(some)
     merged = every.groupBy("_pos").agg(
         F.max("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pandas as pd
@@ -75,6 +76,25 @@ def test_contamination_equals_plain_search(spark, part_bytes):
         assert sorted(digest, key=str) == want
 
 
+def test_repeated_words_are_searched_in_linear_time():
+    words = [b"tick"] * 20_000
+    (found,) = decontaminate.build([("a", b" ".join(words)), ("b", b" ".join(words[:12]))])
+    hits, items = bytearray(len(words)), set()
+    start = time.process_time()
+    found.find(words, hits, items)
+    assert time.process_time() - start < 5 and all(hits) and items == {0, 1}
+
+
+def test_long_items_are_cut_without_loss(spark):
+    words = [f"w{i % 97}" for i in range(500)]
+    bench = spark.createDataFrame([("x", " ".join(words)), ("y", "w1 w2")], "item_id string, text string")
+    parts = list(decontaminate._parts(bench, 200))
+    runs = [text.split() for part in parts for i, text in part if i == "x"]
+    windows = {tuple(r[k : k + 10]) for r in runs for k in range(len(r) - 9)}
+    assert windows == {tuple(w.encode() for w in words[k : k + 10]) for k in range(491)}
+    assert len(parts) > 1 and all(10 <= len(r) for r in runs) and max(len(b" ".join(r)) for r in runs) < 250
+
+
 def test_clean_documents_keeps_columns(spark):
     docs = documents(spark)
     bench, items = bench_frame(spark, docs)
