@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.operators.unify import Feed
+from martlet.operators.unify import Feed, Parsed
 from martlet.schemas import MONEY
 
 # Which feed carries which segment (anything else: storefront).
@@ -88,6 +88,27 @@ def channel_feeds(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {"storefront": storefront, "marketplace": marketplace, "wholesale": wholesale}
 
 
+def spoiled(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The feeds with cells as careless sources ship them: words for ids, days that do not
+    exist, prices with a currency or a third decimal place, blank accounts."""
+    c = F.col
+    storefront, marketplace, wholesale = feeds["storefront"], feeds["marketplace"], feeds["wholesale"]
+    name, po = F.substring("order_name", 5, 40).cast("bigint"), F.substring("po_number", 5, 40).cast("bigint")
+    price = F.when(po % 17 == 5, F.concat(F.lit("EUR "), c("case_price"))).when(po % 17 == 6, F.concat(c("case_price"), F.lit("5")))
+    return {
+        "storefront": storefront.withColumn("customer", F.when(name % 11 == 3, "guest").otherwise(c("customer"))),
+        "marketplace": marketplace.withColumn(
+            "purchase_date", F.when(c("marketplace_order") % 13 == 4, "31.02.1995").otherwise(c("purchase_date"))
+        ),
+        "wholesale": wholesale.withColumns(
+            {
+                "case_price": F.coalesce(price, c("case_price")),
+                "account_no": F.when(po % 19 == 7, "").otherwise(c("account_no")),
+            }
+        ),
+    }
+
+
 def _amounts() -> dict[str, Column]:
     return {m: (F.col(f"{m}_cents").cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast(MONEY) for m in MONEY_COLUMNS}
 
@@ -102,7 +123,7 @@ FEEDS = {
     ),
     "marketplace": lambda: Feed(
         order_id=F.concat(F.lit("ORD-"), F.col("marketplace_order").cast("string")), customer_id="buyer_id",
-        order_date=F.to_date("purchase_date", "dd.MM.yyyy"),
+        order_date=Parsed("purchase_date", F.try_to_date("purchase_date", "dd.MM.yyyy")),
         transaction_type=F.when(F.col("is_refund"), "return").otherwise("order"),
         product_sku="seller_sku", product_name="item_name", marketing_channel="sales_channel",
         partner_name="affiliate", adjusted_quantity="quantity_shipped", **_amounts(),
