@@ -3,8 +3,9 @@
 Both windows run on the monthly aggregate. The lag window partitions by sku
 (rows = months). A month's ranking would sort its whole catalogue in one task,
 so it is taken in two levels: products fall into ``BANDS`` bands of net revenue
-between the month's least and greatest, ranks count within a band, and the
-products of the bands above are added. Equal revenues share a band.
+between quantiles of the month, ranks count within a band, and the products of
+the bands above are added. Bands hold about equally many products however the
+revenues are spread; equal revenues share a band.
 """
 
 from __future__ import annotations
@@ -41,10 +42,11 @@ def product_monthly(od: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
 def ranked_in_month(monthly: DataFrame) -> DataFrame:
     """``monthly`` with ``revenue_rank``: RANK() by net revenue, largest first, NULLs last."""
     net = F.col("net_revenue").cast("double")
-    bounds = monthly.groupBy("_month").agg(F.min(net).alias("_least"), F.max(net).alias("_most"))
-    width = F.col("_most") - F.col("_least")
-    band = F.when(net.isNull(), BANDS).when(width <= 0, 0).otherwise(F.floor((F.col("_most") - net) / width * (BANDS - 1)))
-    banded = monthly.join(bounds, "_month").withColumn("_band", band.cast("int"))
+    cuts = [k / BANDS for k in range(1, BANDS)]
+    bounds = monthly.groupBy("_month").agg(F.percentile_approx(net, cuts).alias("_cuts"))
+    # The number of cuts above a revenue; quantiles need not be exact for the ranks to be.
+    higher = F.size(F.filter("_cuts", lambda cut: cut > net))
+    banded = monthly.join(bounds, "_month").withColumn("_band", F.when(net.isNull(), BANDS).otherwise(higher))
     above = Window.partitionBy("_month").orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     counts = banded.groupBy("_month", "_band").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_month", "_band", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))

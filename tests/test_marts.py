@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from martlet.operators.channels import channel_performance
@@ -11,7 +12,7 @@ from martlet.operators.dashboards import rolling_12m_revenue
 from martlet.operators.dimensions import dim_product
 from martlet.operators.executive import executive_kpis, executive_kpis_simple
 from martlet.operators.pricing import pricing_analysis
-from martlet.operators.products import product_performance
+from martlet.operators.products import BANDS, product_monthly, product_performance, ranked_in_month
 from martlet.schemas import ORDER_DETAILS, empty
 
 D = Decimal
@@ -129,3 +130,20 @@ def test_negative_base_keeps_its_sign(spark):
     out = daily_sales(frame(spark, rows), START, END).orderBy("order_date").collect()
     assert out[30].net_revenue_30d_ago == D("-2.00")
     assert out[30].revenue_change_30d_pct == D("-350.00")  # (5 - -2) / -2 * 100
+
+
+def test_an_outlier_does_not_crowd_the_bands(spark):
+    rows = [line(sku=f"S{i}", rev=f"{10 + i}.00") for i in range(640)] + [line(sku="BIG", rev="99999999.00")]
+    monthly = product_monthly(frame(spark, rows), START, END)
+    ranked = ranked_in_month(monthly)
+    assert ranked.groupBy("_band").count().agg(F.max("count")).first()[0] <= 2 * 641 / BANDS
+    assert [r[0] for r in ranked.orderBy("revenue_rank").select("revenue_rank").collect()] == list(range(1, 642))
+    assert ranked.where("product_sku = 'BIG'").first().revenue_rank == 1
+
+
+def test_ties_and_null_revenues_rank_as_one_window_would(spark):
+    rows = [(f"S{i}", None if i % 10 == 0 else D(i // 3)) for i in range(300)]
+    monthly = spark.createDataFrame(rows, "product_sku string, net_revenue decimal(18,2)").withColumn("_month", F.lit(dt.date(2023, 1, 1)))
+    plain = F.rank().over(Window.partitionBy("_month").orderBy(F.col("net_revenue").desc())).cast("bigint")
+    got = ranked_in_month(monthly).withColumn("plain", plain)
+    assert got.where("revenue_rank <> plain").count() == 0 and got.count() == 300
