@@ -14,7 +14,10 @@ The permutations are swap-or-not shuffles: each round maps x to K - x (mod n)
 when a hash of the pair says so, which is a bijection of [0, n) for every n and
 needs no sort. Stream positions come from a two-level running sum over salted
 groups of a source (as many salts as the square root of the rows), so a hot
-source is never one task's window.
+source is never one task's window. Salt and order come from what a row holds
+(its id and a hash of its text), so files, cores and partitions of the input
+change nothing; rows that are equal in both share a salt, and a row number only
+tells them apart.
 
 Defined cases: null or blank text has no words, is in no block and is taken 0
 times; a null source is a source of its own, last in order; repeated rows are
@@ -97,9 +100,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.0, max_pa
 
 
 class Mix:
-    """One mix of ``records``, which have ``source`` and ``size`` (words) columns.
+    """One mix of ``records``, which have ``source``, ``size`` (words) and ``tie`` columns.
 
-    ``rows``: the records with ``pos``, a row number of their own. ``sources``:
+    Rows stand in the order of ``order`` and ``tie``, a hash of their texts. ``rows``: the records with ``pos``, a row number of their own. ``sources``:
     targets and draws. ``segments``: the word ranges of each row in each block.
     ``slots``: what stands at each place of each output shard.
     """
@@ -111,8 +114,8 @@ class Mix:
         self.rows = self.scratch.keep(base.withColumn("pos", F.monotonically_increasing_id()), "rows")
         n = self.rows.count()
         salts = max(1, math.isqrt(n))
-        salt = F.pmod(F.xxhash64(F.lit(seed + 2), "pos"), F.lit(salts)).cast("int")
-        narrow = self.rows.select("source", F.col("size").cast("long").alias("size"), "pos", F.col(order).alias("ord"), salt.alias("salt"))
+        salt = F.pmod(F.xxhash64(F.lit(seed + 2), order, "tie"), F.lit(salts)).cast("int")
+        narrow = self.rows.select("source", F.col("size").cast("long").alias("size"), "pos", F.col(order).alias("ord"), "tie", salt.alias("salt"))
         groups = narrow.groupBy("source", "salt").agg(F.sum("size").alias("words"))
         sizes = groups.groupBy("source").agg(F.sum("words").alias("source_size"))
         of_source = source_targets(sizes, **targets)
@@ -133,7 +136,7 @@ class Mix:
         offsets = offsets.join(ranks, F.col("source").eqNullSafe(F.col("_s"))).select(
             F.col("source").alias("_s"), F.col("salt").alias("_salt"), "offset", "rank"
         )
-        within = Window.partitionBy("source", "salt").orderBy("ord", "pos").rowsBetween(Window.unboundedPreceding, -1)
+        within = Window.partitionBy("source", "salt").orderBy("ord", "tie", "pos").rowsBetween(Window.unboundedPreceding, -1)
         starts = (
             narrow.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
             .filter("size > 0")
@@ -201,7 +204,7 @@ def mixed_texts(documents: DataFrame, **params) -> DataFrame:
     the input has it; the other columns are kept.
     """
     docs, back = set_aside(documents, "doc_id", "source", "text", "n_chars")
-    mix = Mix(docs.withColumn("size", word_count(F.col("text"))), **params)
+    mix = Mix(docs.withColumns({"size": word_count(F.col("text")), "tie": F.xxhash64("text")}), **params)
     joined = mix.rows.hint("merge").join(mix.passages(), "pos")
 
     def cut(words):
@@ -219,7 +222,7 @@ def mixed_texts(documents: DataFrame, **params) -> DataFrame:
 
 def mix_digest(documents: DataFrame) -> DataFrame:
     """``op1``: target of every document's source and the words taken of it."""
-    records = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    records = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"))
     mix = Mix(records)
     of_source = mix.sources.select(F.col("source").alias("_s"), "source_size", "target")
     return (

@@ -4,12 +4,15 @@ Pass 1 gives every record a shard and, inside it, a memory-sized bucket, both
 from seeded hashes, and writes the scattered records. Pass 2 sorts each bucket
 by a seeded hash, draws a Fisher-Yates permutation of its positions
 (``shuffle(sequence(...), seed)``) and numbers the records through it; bucket
-offsets make the numbers of a shard gapless.
+offsets make the numbers of a shard gapless. ``shuffle`` seeds its draws by
+partition, so bucket numbers alone decide the partition of a draw and its place
+there: files, cores and shuffle partitions of the session change no slot.
 
 Shards follow the ``key`` law by rendezvous hashing: a record goes to the
 shard with the largest hash of (key, shard), so one more shard can only take
-records into itself. A bucket holds the key hash and the row's position in the
-scan, so a repeated key cannot fill one bucket.
+records into itself. The bucket of a record comes from a hash of its key and content, so
+a repeated key cannot fill one bucket; records that are equal as a whole share a
+bucket, and their position in the scan only tells them apart.
 
 Defined cases: a null key hashes like any value; a null or empty text weighs
 one byte; repeated rows keep one slot each; an empty table gives no rows;
@@ -18,6 +21,8 @@ columns of the input named like ``shard_col``/``slot_col`` are replaced.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,10 +30,14 @@ from martlet.llm._io import Scratch
 
 SHARDS = 16
 SEED = 20177
+#: Types without a hash, in the JSON of a column's type.
+NO_HASH = re.compile(r'"(?:map|variant)"')
 #: Bytes a bucket may hold, so that one task sorts it in memory.
 BUCKET_BYTES = 32 << 20
 #: Rows a bucket may hold, whatever their size.
 BUCKET_ROWS = 250_000
+#: Most tasks that draw permutations; each then draws for several buckets in order.
+DRAW_TASKS = 1024
 
 
 def rendezvous(key: Column, shards: int, seed: int = SEED) -> Column:
@@ -52,28 +61,32 @@ def shuffle_into_shards(
     spark = records.sparkSession
     scratch = Scratch(spark, "shard")
     base = records.drop(shard_col, slot_col)
+    # Maps have no hash; records that differ in them alone count as equal here.
+    content = [F.col(f"`{f.name}`") for f in base.schema if not NO_HASH.search(f.dataType.json())]
     placed = base.select(
         F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("rec"),
         F.coalesce(size, F.lit(1)).cast("long").alias("bytes"),
         rendezvous(F.col(f"`{key}`"), shards, seed).alias("s"),
         F.xxhash64(F.lit(seed + 1), F.col(f"`{key}`")).alias("h"),
+        F.xxhash64(F.lit(seed + 3), *content).alias("content"),
         F.monotonically_increasing_id().alias("pos"),
     )
     scattered = scratch.keep(placed, "scattered")
     total = scattered.agg(F.sum("bytes").alias("b"), F.count("*").alias("n")).first()
     per_shard = max(1, -(-(total["b"] or 0) // (shards * bucket_bytes)), -(-total["n"] // (shards * bucket_rows)))
-    bucket = F.col("s").cast("long") * per_shard + F.pmod(F.xxhash64(F.lit(seed + 2), "h", "pos"), F.lit(per_shard))
+    bucket = F.col("s").cast("long") * per_shard + F.pmod(F.xxhash64(F.lit(seed + 2), "h", "content"), F.lit(per_shard))
     rows = scattered.withColumn("bucket", bucket)
 
+    tasks = min(DRAW_TASKS, shards * per_shard)
     counts = rows.groupBy("s", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = counts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
     draws = (
-        buckets.repartition("bucket")
+        buckets.repartitionById(tasks, F.pmod("bucket", F.lit(tasks)).cast("int"))
         .sortWithinPartitions("bucket")
         .select("bucket", "offset", F.shuffle(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), seed).alias("draw"))
     )
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("h", "pos"))
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("h", "content", "pos"))
     return (
         rows.withColumn("rank", rank)
         .join(draws.hint("merge"), "bucket")

@@ -97,6 +97,30 @@ def test_shards_written_in_slot_order(spark, scratch):
     assert back.count() == 300 and back.select("shard").distinct().count() == 3
 
 
+def test_layout_changes_neither_mix_nor_slots(spark, scratch):
+    docs = documents(spark)
+    few, many = docs.coalesce(1).orderBy(F.desc("text")), docs.repartition(13, F.rand(5))
+    few.write.parquet(f"{scratch}/few")
+    many.write.parquet(f"{scratch}/many")
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for folder, partitions in (("few", "3"), ("many", "16")):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            rows = spark.read.parquet(f"{scratch}/{folder}")
+            split = shard.shuffle_into_shards(rows, "doc_id", F.octet_length("text"), shards=3, bucket_bytes=2000, bucket_rows=5)
+            results = (mix.mix_digest(rows), mix.mixed_texts(rows), shard.sharded_digest(rows), split)
+            seen.append([sorted(map(str, r.collect())) for r in results])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1]
+
+
+def test_records_with_maps_are_sharded(spark):
+    rows = spark.range(20).select("id", F.create_map(F.lit("a"), "id").alias("m"), F.array(F.create_map(F.lit("a"), "id")).alias("ms"))
+    out = shard.shuffle_into_shards(rows, "id", F.lit(1), shards=2).collect()
+    assert sorted(r["id"] for r in out) == list(range(20)) and all(r["m"]["a"] == r["id"] for r in out)
+
+
 def test_empty_tables(spark):
     empty = no_documents(spark)
     assert mix.mix_digest(empty).count() == 0
