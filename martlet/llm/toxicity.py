@@ -6,8 +6,10 @@ occur, or seldom make up a fair share of the words, in clean documents, picked
 until every toxic one is covered several times. A generative label model (expectation maximisation over "fires or not"
 given the hidden class) estimates each voter's accuracy; the correlations of
 the voters are estimated with it and shrink the say of voters that repeat each
-other. The known label of a training row is one more voter. A linear
-classifier is trained on the posterior labels and scores whole texts.
+other. The known label of a training row is one more voter: how far it is
+trusted is estimated from how it agrees with the others, so a label that they
+contradict can be overturned. A linear classifier is trained on the posterior
+labels and scores whole texts.
 
 Only the text is an input of a score. Defined cases: null and empty texts fire
 no voter and get the base score; rows without a label or with a null label
@@ -37,8 +39,9 @@ TERM_PRECISION = 0.9
 COVER = 4
 MAX_TERMS = 400
 CANDIDATES = 4000
-#: Trust in a training label when it votes beside the others.
+#: Trust in training labels before the other voters are heard, and the rows of a class that it counts for.
 LABEL_ACCURACY = 0.98
+LABEL_ROWS = 10
 THRESHOLD = 0.7
 PREFIXES = (3, 4, 5, 6, 7)
 #: Shares of a document's words at which a term counts as frequent.
@@ -207,13 +210,13 @@ def pick_terms(fires: list[list[int]], toxic: np.ndarray, terms: list[str]) -> l
 def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, float]:
     """Posterior of class 1 per row, voters' (rate in class 1, rate in class 0), prior.
 
-    ``votes``: rows x voters, 1 where a voter fires; ``known``: the labels, a
-    voter whose accuracy is set to ``LABEL_ACCURACY``. A voter's log odds are
-    divided by 1 + the sum of its positive correlations with the others inside
-    the classes.
+    ``votes``: rows x voters, 1 where a voter fires; ``known``: the labels, where
+    the estimate starts and a voter beside the others. Its two rates are taken
+    against what the others say alone, since against a posterior that holds its
+    own vote it would confirm itself. A voter's log odds are divided by 1 + the
+    sum of its positive correlations with the others inside the classes.
     """
-    sure = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY)) * (2 * known - 1)
-    post = 1 / (1 + np.exp(-sure))
+    post = np.where(known > 0, LABEL_ACCURACY, 1 - LABEL_ACCURACY)
     weight = np.ones(votes.shape[1])
     for r in range(rounds):
         prior = float(np.clip(post.mean(), 0.001, 0.999))
@@ -229,8 +232,12 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 30) -> tuple
             weight = 1 / corr.sum(axis=1)
         on = weight * (np.log(hit) - np.log(miss))
         off = weight * (np.log1p(-hit) - np.log1p(-miss))
-        odds = sure + np.log(prior / (1 - prior)) + off.sum() + votes @ (on - off)
-        post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        others = np.log(prior / (1 - prior)) + off.sum() + votes @ (on - off)
+        alone = 1 / (1 + np.exp(-np.clip(others, -30, 30)))
+        said = (alone @ known + LABEL_ROWS * LABEL_ACCURACY) / (alone.sum() + LABEL_ROWS)
+        wrong = ((1 - alone) @ known + LABEL_ROWS * (1 - LABEL_ACCURACY)) / ((1 - alone).sum() + LABEL_ROWS)
+        label = np.where(known > 0, np.log(said / wrong), np.log((1 - said) / (1 - wrong)))
+        post = 1 / (1 + np.exp(-np.clip(others + label, -30, 30)))
     return post, np.stack([hit, miss]), prior
 
 

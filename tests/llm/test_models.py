@@ -96,6 +96,25 @@ def test_label_model_trusts_the_better_voter():
     assert ((post > 0.5) == (y > 0)).mean() > 0.95
 
 
+def test_label_model_overturns_wrong_labels():
+    r = np.random.default_rng(6)
+    y = (r.random(3000) < 0.15).astype(float)
+    votes = np.stack([np.where(r.random(3000) < 0.9, y, r.random(3000) < 0.02) for _ in range(4)], axis=1).astype(float)
+    wrong = r.random(3000) < 0.08
+    known = np.where(wrong, 1 - y, y)
+    post, _, _ = toxicity.label_model(votes, known)
+    assert ((post > 0.5) == (y > 0))[wrong].mean() > 0.9
+    assert ((post > 0.5) == (y > 0))[~wrong].mean() > 0.99
+
+
+def test_toxicity_learned_from_labels_with_errors(spark):
+    docs, labels = toxic_frames(spark)
+    turned = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(100)) < 6
+    noisy = labels.withColumn("toxic", F.when(turned, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    rows = [r for r in toxicity.toxicity_digest(docs, noisy).collect() if r["held_out"] and r["doc_id"] < 9000]
+    assert sum((r["doc_id"] % 7 == 0) == bool(r["predicted"]) for r in rows) >= 0.95 * len(rows)
+
+
 def brute(ids, x, qid, top=10):
     at = ids.index(qid)
     d = np.sqrt(((x - x[at]) ** 2).sum(axis=1))
