@@ -22,7 +22,9 @@ of their prefixes. There the shingles of a set are ordered by how many of these
 nodes hold them, rare ones first, and similar sets share one of the first few;
 sizes and places in the order, neither of which drops a similar pair, sort out
 others. A passage in many texts comes last in the order and so makes no pairs of
-texts that only share it.
+texts that only share it. A shingle that only one of these nodes has makes no pair
+and is not listed: the counts also set the bits of a filter of bounded size, which
+tells most of those (a shared shingle always passes).
 
 Before any set is sent for a pair, of either kind, two counts must allow it: the
 sizes, and a count sketch of each set, which says how many of its shingles hash
@@ -58,6 +60,8 @@ SPARE = 3
 SMALL = 16
 #: Shingles that are known as common, and prefix rows of one shingle for each task.
 COMMON, SALT_ROWS = 1 << 17, 4096
+#: Bits of the filter of shared shingles, at most this power of two (16 MB), and bits for each shingle below that.
+HELD_BITS, HELD_SPACE = 27, 8
 #: Cells of a count sketch, and shingles of a set for each cell.
 CELLS, CELL_SHINGLES = (64, 8192), 2
 #: Cells of the short form that is looked at first; pairs whose sketches are compared at once.
@@ -265,10 +269,16 @@ def _count_keys(hashes: np.ndarray, bits: int) -> np.ndarray:
     return hashes.view(np.uint64) >> np.uint64(32 - bits)
 
 
-def _counted(sets: DataFrame, bits: int, least: int) -> DataFrame:
-    """(key, n): by their keys, the shingles that more than ``least`` of the sets have.
+def _held_at(keys: np.ndarray, bits: int, held_bits: int) -> np.ndarray:
+    """Where the filter of shared shingles has the bit of a key: at its upper bits."""
+    return (keys >> (32 + bits - held_bits)).astype(np.int64)
 
-    A task sends its counts as arrays, one for each value of the upper bits.
+
+def _counted(sets: DataFrame, bits: int, least: int, held_bits: int) -> DataFrame:
+    """(key, n): by their keys, the shingles that more than ``least`` of the sets have;
+    and (part, null, held): a run of the filter of keys that two sets or more have.
+
+    A task sends its counts as arrays, one for each value of the upper bits, the part.
     """
 
     def send(batches):
@@ -286,8 +296,16 @@ def _counted(sets: DataFrame, bits: int, least: int) -> DataFrame:
         low = np.frombuffer(b"".join(lows), "<u4")
         keys, of = np.unique(low, return_inverse=True)
         n = np.bincount(of, np.frombuffer(b"".join(times), "<u4"), minlength=len(keys)).astype(np.int64)
-        keys = (keys[n > least].astype(np.int64)) + (part << 32)
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n[n > least], pa.int64())], names=["key", "n"])
+        keys = keys.astype(np.int64) + (part << 32)
+        run = np.zeros(1 << (held_bits - bits), dtype=np.uint8)
+        run[_held_at(keys[n > 1], bits, held_bits) & (len(run) - 1)] = 1
+        keys, n = keys[n > least], n[n > least]
+        columns = [
+            pa.array([*keys.tolist(), part], pa.int64()),
+            pa.array([*n.tolist(), None], pa.int64()),
+            pa.array([None] * len(keys) + [np.packbits(run).tobytes()], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "n", "held"])
 
     def receive(batches):
         now, lows, times = None, [], []
@@ -303,23 +321,29 @@ def _counted(sets: DataFrame, bits: int, least: int) -> DataFrame:
             yield total(now, lows, times)
 
     sent = sets.select("members").mapInArrow(send, "part long, low binary, times binary")
-    return sent.repartition("part").sortWithinPartitions("part").mapInArrow(receive, "key long, n long")
+    return sent.repartition("part").sortWithinPartitions("part").mapInArrow(receive, "key long, n long, held binary")
 
 
-def _prefix_rows(sets: DataFrame, common: list, bits: int, percent: int) -> DataFrame:
-    """(node, label, shingle, size, place, short): the prefix of each set, rare shingles first.
+def _prefix_rows(sets: DataFrame, counts: DataFrame, bits: int, held_bits: int, percent: int) -> DataFrame:
+    """(node, label, shingle, size, place, short): the prefix of each set, rare shingles
+    first, without most of the shingles that only one set has.
 
     A set shares one of its prefix with any similar one, one of its ``short``
     prefix with any similar one that is not smaller.
     """
+    common = counts.filter("n IS NOT NULL").orderBy(F.desc("n"), "key").limit(COMMON).collect()
+    held = np.zeros(1 << (held_bits - 3), dtype=np.uint8)
+    for r in counts.filter("held IS NOT NULL").select("key", "held").collect():
+        at = r["key"] * len(r["held"])
+        held[at : at + len(r["held"])] = np.frombuffer(r["held"], dtype=np.uint8)
     known = np.array([r["key"] for r in common], dtype=np.int64)
     by = np.argsort(known)
     known, often = known[by], np.array([r["n"] for r in common], dtype=np.int64)[by]
-    sent = sets.sparkSession.sparkContext.broadcast((known, often))
+    sent = sets.sparkSession.sparkContext.broadcast((known, often, held))
     names = ["node", "label", "shingle", "size", "place", "short"]
 
     def run(batches):
-        known, often = sent.value
+        known, often, held = sent.value
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -337,7 +361,8 @@ def _prefix_rows(sets: DataFrame, common: list, bits: int, percent: int) -> Data
             place = np.arange(len(order)) - starts[owner]
             long = sizes + 1 + (-percent * sizes) // 100
             short = sizes + 1 + (-2 * percent * sizes) // (100 + percent)
-            first = place < long[owner]
+            at = _held_at(_count_keys(hashes[order], bits), bits, held_bits)
+            first = (place < long[owner]) & ((held[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0)
             of, place, shingle = owner[first], place[first], hashes[order[first]]
             columns = [batch.column(i).take(pa.array(of)) for i in range(2)]
             columns += [pa.array(c, pa.int64()) for c in (shingle, sizes[of], place)] + [pa.array(place < short[of])]
@@ -437,10 +462,12 @@ class Join:
         their prefixes and may be similar by their sizes and its places."""
         sets = self._sets(groups.select("node", "rep", "label"), "large")
         total = self.sketches.agg(F.sum("n")).first()[0] or 0
-        bits = min(31, (total >> 20).bit_length())
-        common = _counted(sets, bits, SMALL).orderBy(F.desc("n"), "key").limit(COMMON).collect()
+        # Parts of about a million shingles, each with a run of whole bytes in the filter.
+        bits = min(HELD_BITS - 3, (total >> 20).bit_length())
+        held_bits = min(HELD_BITS, max(bits + 3, (total * HELD_SPACE).bit_length()))
+        counts = self.scratch.keep(_counted(sets, bits, SMALL, held_bits), "counts")
         self.scratch.release()
-        rows = self.scratch.keep(_prefix_rows(sets, common, bits, self.percent), "prefixes")
+        rows = self.scratch.keep(_prefix_rows(sets, counts, bits, held_bits, self.percent), "prefixes")
         del sets
         self.scratch.drop("large-sets")
         self.scratch.release()
