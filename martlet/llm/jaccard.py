@@ -18,13 +18,15 @@ copies; links are checked exactly on the whole sets and merged into
 components. Then every pair that shares a group across components is compared,
 so no link that joins two components is missed: of groups of up to ``SMALL``
 members all pairs, of the nodes of larger ones the pairs that share a shingle
-of their prefixes. There the shingles of a set are ordered by how many of these
-nodes hold them, rare ones first, and similar sets share one of the first few;
-sizes and places in the order, neither of which drops a similar pair, sort out
-others. A passage in many texts comes last in the order and so makes no pairs of
-texts that only share it. A shingle that only one of these nodes has makes no pair
-and is not listed: the counts also set the bits of a filter of bounded size, which
-tells most of those (a shared shingle always passes).
+of their prefixes. There the shingles of a set are ordered: first those that only
+nodes of its own component hold, then the others by how many of these nodes hold
+them, rare ones first; similar sets share one of the first few. Sizes and places in
+the order, neither of which drops a similar pair, sort out others. A passage in many
+texts comes last in the order and so makes no pairs of texts that only share it. A
+shingle that only one component has makes no pair across components and is not
+listed: the counts also set the bits of a filter of bounded size, which tells most
+of those (a shingle of two components always passes). So copies within a component
+add no rows, however many they are.
 
 Before any set is sent for a pair, of either kind, two counts must allow it: the
 sizes, and a count sketch of each set, which says how many of its shingles hash
@@ -60,7 +62,7 @@ SPARE = 3
 SMALL = 16
 #: Shingles that are known as common, and prefix rows of one shingle for each task.
 COMMON, SALT_ROWS = 1 << 17, 4096
-#: Bits of the filter of shared shingles, at most this power of two (16 MB), and bits for each shingle below that.
+#: Bits of the filter of shingles across components, at most this power of two (16 MB), and bits for each shingle below that.
 HELD_BITS, HELD_SPACE = 27, 8
 #: Cells of a count sketch, and shingles of a set for each cell.
 CELLS, CELL_SHINGLES = (64, 8192), 2
@@ -270,35 +272,39 @@ def _count_keys(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _held_at(keys: np.ndarray, bits: int, held_bits: int) -> np.ndarray:
-    """Where the filter of shared shingles has the bit of a key: at its upper bits."""
+    """Where the filter of shingles across components has the bit of a key: at its upper bits."""
     return (keys >> (32 + bits - held_bits)).astype(np.int64)
 
 
 def _counted(sets: DataFrame, bits: int, least: int, held_bits: int) -> DataFrame:
     """(key, n): by their keys, the shingles that more than ``least`` of the sets have;
-    and (part, null, held): a run of the filter of keys that two sets or more have.
+    and (part, null, held): a run of the filter of keys that sets of two labels or more have.
 
-    A task sends its counts as arrays, one for each value of the upper bits, the part.
+    A task sends its counts as arrays, one for each value of the upper bits, the part,
+    with a label of each key's sets and whether they have others (``many``).
     """
+    names = ["part", "low", "times", "owners", "many"]
 
     def send(batches):
         for batch in batches:
-            keys, counts = np.unique(_count_keys(batch.column(0).flatten().to_numpy(zero_copy_only=False), bits), return_counts=True)
+            lists = batch.column(0)
+            keys = _count_keys(lists.flatten().to_numpy(zero_copy_only=False), bits)
+            labels = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False))
+            keys, times, owners, many = _by_key(keys, np.ones(len(keys), dtype=np.int64), labels, np.zeros(len(keys), dtype=bool))
             parts = (keys >> np.uint64(32)).astype(np.int64)
-            starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(parts) else []
+            starts = _starts(parts)
             ends = [*starts[1:], len(parts)]
-            rows = [(int(parts[a]), keys[a:b].astype("<u4").tobytes(), counts[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends)]
-            part, low, times = zip(*rows) if rows else ([], [], [])
-            columns = [pa.array(part, pa.int64()), pa.array(low, pa.binary()), pa.array(times, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "low", "times"])
-
-    def total(part, lows, times):
-        low = np.frombuffer(b"".join(lows), "<u4")
-        keys, of = np.unique(low, return_inverse=True)
-        n = np.bincount(of, np.frombuffer(b"".join(times), "<u4"), minlength=len(keys)).astype(np.int64)
+            arrays = [keys.astype("<u4"), times.astype("<u4"), owners.astype("<i8"), many.astype("u1")]
+            columns = [pa.array(parts[starts], pa.int64())]
+            columns += [pa.array([x[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()) for x in arrays]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def total(part, *sent):
+        arrays = [np.frombuffer(b"".join(x), kind) for x, kind in zip(sent, ("<u4", "<u4", "<i8", "u1"))]
+        keys, n, _, many = _by_key(arrays[0], arrays[1].astype(np.int64), arrays[2], arrays[3] > 0)
         keys = keys.astype(np.int64) + (part << 32)
         run = np.zeros(1 << (held_bits - bits), dtype=np.uint8)
-        run[_held_at(keys[n > 1], bits, held_bits) & (len(run) - 1)] = 1
+        run[_held_at(keys[many], bits, held_bits) & (len(run) - 1)] = 1
         keys, n = keys[n > least], n[n > least]
         columns = [
             pa.array([*keys.tolist(), part], pa.int64()),
@@ -308,25 +314,42 @@ def _counted(sets: DataFrame, bits: int, least: int, held_bits: int) -> DataFram
         return pa.RecordBatch.from_arrays(columns, names=["key", "n", "held"])
 
     def receive(batches):
-        now, lows, times = None, [], []
+        now, sent = None, []
         for batch in batches:
-            for part, low, count in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for part, *arrays in zip(*(batch.column(i).to_pylist() for i in range(len(names)))):
                 if part != now:
-                    if lows:
-                        yield total(now, lows, times)
-                    now, lows, times = part, [], []
-                lows.append(low)
-                times.append(count)
-        if lows:
-            yield total(now, lows, times)
-
-    sent = sets.select("members").mapInArrow(send, "part long, low binary, times binary")
+                    if sent:
+                        yield total(now, *zip(*sent))
+                    now, sent = part, []
+                sent.append(arrays)
+        if sent:
+            yield total(now, *zip(*sent))
+
+    rows = sets.select("members", F.xxhash64("label").alias("owner"))
+    sent = rows.mapInArrow(send, "part long, low binary, times binary, owners binary, many binary")
     return sent.repartition("part").sortWithinPartitions("part").mapInArrow(receive, "key long, n long, held binary")
 
 
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.r_[True, values[1:] != values[:-1]][: len(values)])
+
+
+def _by_key(keys: np.ndarray, times: np.ndarray, owners: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each key once: its times added up, one of its owners, and whether it has ``many``."""
+    order = np.lexsort((owners, keys))
+    keys, times, owners, many = keys[order], times[order], owners[order], many[order]
+    starts = _starts(keys)
+    if not len(starts):
+        return keys, times, owners, many
+    last = np.r_[starts[1:], len(keys)] - 1
+    many = np.logical_or.reduceat(many, starts) | (owners[starts] != owners[last])
+    return keys[starts], np.add.reduceat(times, starts), owners[starts], many
+
+
 def _prefix_rows(sets: DataFrame, counts: DataFrame, bits: int, held_bits: int, percent: int) -> DataFrame:
-    """(node, label, shingle, size, place, short): the prefix of each set, rare shingles
-    first, without most of the shingles that only one set has.
+    """(node, label, shingle, size, place, short): the prefix of each set, shingles of one
+    label first, then rare ones, without most of the shingles that only one label has.
 
     A set shares one of its prefix with any similar one, one of its ``short``
     prefix with any similar one that is not smaller.
@@ -353,16 +376,18 @@ def _prefix_rows(sets: DataFrame, counts: DataFrame, bits: int, held_bits: int,
             starts = np.cumsum(sizes) - sizes
             owner = np.repeat(np.arange(len(sizes)), sizes)
             count = np.zeros(len(hashes), dtype=np.int64)
+            keys = _count_keys(hashes, bits)
+            at = _held_at(keys, bits, held_bits)
+            across = (held[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
             if len(known):
-                keys = _count_keys(hashes, bits).view(np.int64)
+                keys = keys.view(np.int64)
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                 count = np.where(known[at] == keys, often[at], 0)
-            order = np.lexsort((hashes, count, owner))
+            order = np.lexsort((hashes, count, across, owner))
             place = np.arange(len(order)) - starts[owner]
             long = sizes + 1 + (-percent * sizes) // 100
             short = sizes + 1 + (-2 * percent * sizes) // (100 + percent)
-            at = _held_at(_count_keys(hashes[order], bits), bits, held_bits)
-            first = (place < long[owner]) & ((held[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0)
+            first = (place < long[owner]) & across[order]
             of, place, shingle = owner[first], place[first], hashes[order[first]]
             columns = [batch.column(i).take(pa.array(of)) for i in range(2)]
             columns += [pa.array(c, pa.int64()) for c in (shingle, sizes[of], place)] + [pa.array(place < short[of])]

@@ -233,6 +233,41 @@ def test_shared_passage_makes_no_pairs(spark, monkeypatch):
     assert sum(asked[1:]) < 80
 
 
+def test_prefix_rows_do_not_grow_with_copies_within_components(spark):
+    """Prefixes hold the shingles that sets of two components share, however many sets a component has."""
+    bits, held_bits = 1, 16
+
+    def rows(copies):
+        sets = []
+        for label in range(4):
+            own = [mixed(100 * label + i) for i in range(40)]
+            for c in range(copies):
+                # All share 30 of 40 shingles with their component; 1 and 2 also share their first ten.
+                members = own[:-10] + [mixed(10_000 + 1000 * label + 10 * c + i) for i in range(10)]
+                members[:10] = [mixed(77_000 + i) for i in range(10)] if label in (1, 2) else members[:10]
+                sets.append((1000 * label + c, label, members))
+        frame = spark.createDataFrame(sets, "node long, label long, members array<long>").repartition(3)
+        counts = jaccard._counted(frame, bits, jaccard.SMALL, held_bits).cache()
+        return jaccard._prefix_rows(frame, counts, bits, held_bits, 50).collect()
+
+    def mixed(n):
+        return int(np.random.default_rng(n).integers(-(1 << 63), 1 << 63))
+
+    across = {mixed(77_000 + i) for i in range(10)}
+    for copies in (2, 40):
+        found = rows(copies)
+        # Thirty shingles of its own come before those shared: none of the prefix of 21 is listed.
+        assert len(found) < copies
+    # A set that shares more than its rest has the shared ones in its prefix, once each.
+    sets = [(n, label, sorted(across) + [mixed(500 + 10 * n + i) for i in range(3)]) for n, label in ((1, 1), (2, 1), (3, 2))]
+    frame = spark.createDataFrame(sets, "node long, label long, members array<long>").repartition(3)
+    counts = jaccard._counted(frame, bits, jaccard.SMALL, held_bits).cache()
+    got = {}
+    for r in jaccard._prefix_rows(frame, counts, bits, held_bits, 50).collect():
+        got.setdefault(r["node"], set()).add(r["shingle"])
+    assert set(got) == {1, 2, 3} and set.intersection(*got.values()) & across
+
+
 @pytest.mark.parametrize("few", [0, 1000])
 def test_one_id_on_two_texts(spark, monkeypatch, few):
     """Every node is compared with the set of its own text."""
