@@ -26,6 +26,7 @@ that changes nothing rewrites nothing.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ from martlet.operators.merge import MergePlan
 from martlet.operators.products import performance, product_monthly
 from martlet.plans.marts import MONTH
 from martlet.schemas import MONEY
+from martlet.session import checkpoint_dir
 
 LINES, DAILY, PRODUCTS = "lines", "daily_grain", "product_monthly"
 #: Marts with a lag; channel economics follow from the touched months alone.
@@ -138,8 +140,11 @@ class Published:
 
         Gives the months rewritten, for each table.
         """
+        # The merge runs once: its pieces and the rows it touches are read by every step below.
+        checkpoint_dir(self.spark)
+        plan = replace(plan, updates=plan.updates.checkpoint(), inserts=plan.inserts.checkpoint())
         hit = plan.updates.select("detail_id").distinct()
-        before = fact.join(hit, "detail_id", "left_semi")
+        before = fact.join(hit, "detail_id", "left_semi").checkpoint()
         new = sales_lines(plan.apply(before))
         touched = sales_lines(before).unionByName(new)
         months = _months(touched.select(year_month(F.col("order_date")).alias("m")))

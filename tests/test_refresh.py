@@ -124,3 +124,28 @@ def test_money_of_three_places_is_refused(spark):
     fact = fact_of(spark, [staged_row(1, 5, price="1.005")])
     with pytest.raises(Exception, match="more than two decimal places"):
         refresh.sales_lines(fact).collect()
+
+
+def test_a_refresh_runs_the_merge_once(spark, scratch):
+    """Rows staged are read for the updates and for the inserts, not again by every step."""
+    read = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    fact = fact_of(spark, every_tenth_day())
+    rows = staged(spark, [staged_row(20, 201, "web", "B", update=1), staged_row(900, 95, "web", "A")])
+    tables = Published(spark, scratch, START, END, 3)
+    tables.publish(fact)
+
+    def plan():
+        return plan_merge(fact, conform(rows.mapInArrow(watched, rows.schema), RAW_ORDER_ITEMS), CLOCK)
+
+    first = plan()
+    first.updates.collect()
+    first.inserts.collect()
+    once, read.value = read.value, 0
+    assert tables.refresh(fact, plan())["daily_sales"]
+    assert 0 < read.value <= once
