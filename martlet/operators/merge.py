@@ -113,14 +113,17 @@ class MergePlan:
             cols.append((old if new is None else F.when(hit, new).otherwise(old)).alias(c))
         return joined.select(*cols).unionByName(self.inserts)
 
-    def counts(self) -> DataFrame:
-        """One row: staged, inserted, updated, unchanged (all counted in source rows)."""
+    def counts(self, inserted: int | None = None) -> DataFrame:
+        """One row: staged, inserted, updated, unchanged (all counted in source rows).
+
+        ``inserted``: the number of inserts, where it is known already.
+        """
         staged = self.source.agg(F.count(F.lit(1)).alias("staged"))
-        inserted = self.inserts.agg(F.count(F.lit(1)).alias("inserted"))
+        added = self.inserts.agg(F.count(F.lit(1)).alias("inserted")).scalar() if inserted is None else F.lit(inserted)
         updated = self.updates.select(*self.rule.keys, "_new", "_hit").distinct().agg(F.count(F.lit(1)).alias("updated"))
         return staged.select(
             F.col("staged").cast("bigint").alias("staged"),
-            inserted.scalar().cast("bigint").alias("inserted"),
+            added.cast("bigint").alias("inserted"),
             updated.scalar().cast("bigint").alias("updated"),
         ).withColumn("unchanged", F.col("staged") - F.col("inserted") - F.col("updated"))
 

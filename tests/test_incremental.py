@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from martlet.operators.merge import MergePlan
 from martlet.operators.staging import row_count_audit
 from martlet.plans import incremental
 from martlet.plans.incremental import audit_reads, is_complete, read_table, reset, run_incremental
@@ -60,6 +61,20 @@ def test_seed_sequence(spark, scratch):
     assert audit == {"raw_data": ROWS, "staged_data": len(updated_in(cutoff, T(END))), "fact_data": ROWS}
 
 
+def test_inserts_are_counted_from_the_facts(spark, scratch, monkeypatch):
+    """A run hands the number of inserts to the report, so the merge is not run again to count them."""
+    given, counts = [], MergePlan.counts
+
+    def watched(self, *known):
+        given.append(known)
+        return counts(self, *known)
+
+    monkeypatch.setattr(MergePlan, "counts", watched)
+    loads, raw = Loads(spark, scratch), seed_df(spark)
+    first, second = loads.run(raw, "2031-03-04 00:00:00"), loads.run(raw, END)
+    assert given == [(first.inserted,), (second.inserted,)] and first.inserted + second.inserted == ROWS
+
+
 def test_reset_then_reload(spark, scratch):
     loads, raw = Loads(spark, scratch), seed_df(spark)
     loads.run(raw, END)
