@@ -82,7 +82,7 @@ def split_feed(df: DataFrame, feed: Feed, source: str) -> Split:
     are cast strictly.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    values, faults = [], []
+    values, faults, cells = [], [], []
     for f in ORDER_DETAILS.fields:
         given = feed.columns[f.name]
         if given is None:
@@ -94,13 +94,16 @@ def split_feed(df: DataFrame, feed: Feed, source: str) -> Split:
             value = value.try_cast(f.dataType)
             values.append(value.alias(f.name))
             reason = _reason(F.col(name), types[name], value, f.dataType)
-            cell = F.struct(F.lit(f.name).alias("column_name"), F.col(name).cast("string").alias("raw_value"), reason.alias("reason"))
-            faults.append(cell)
-    bad = F.filter(F.array(*faults), lambda cell: cell["reason"].isNotNull())
-    rows = df.select(*values, bad.alias("_bad"))
-    names = [f.name for f in ORDER_DETAILS.fields]
-    valid = rows.where(F.size("_bad") == 0).select(*names, F.lit(source).alias("source"))
-    rejects = rows.where(F.size("_bad") > 0).select(F.lit(source).alias("source"), "order_id", F.inline("_bad"))
+            if isinstance(given, Parsed) or types[name] != f.dataType:  # a cell of the declared type is never bad
+                faults.append(reason.isNotNull())
+            cells.append(F.struct(F.lit(f.name).alias("column_name"), F.col(name).cast("string").alias("raw_value"), reason.alias("reason")))
+    # The array of cells is interpreted row by row (a lambda), so only faulty rows come to it.
+    faulty = reduce(lambda a, b: a | b, faults, F.lit(False))
+    tag = F.lit(source).alias("source")
+    valid = df.where(~faulty).select(*values, tag)
+    bad = F.filter(F.array(*cells), lambda cell: cell["reason"].isNotNull())
+    order_id = next(v for f, v in zip(ORDER_DETAILS.fields, values, strict=True) if f.name == "order_id")
+    rejects = df.where(faulty).select(tag, order_id, F.inline(bad))
     return Split(valid, rejects)
 
 

@@ -9,6 +9,8 @@ each line once.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,7 +112,8 @@ def spoiled(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _amounts() -> dict[str, Column]:
-    return {m: (F.col(f"{m}_cents").cast("decimal(18,0)") / F.lit(100).cast("decimal(3,0)")).cast(MONEY) for m in MONEY_COLUMNS}
+    # Exact as the quotient by 100 is, and cheaper.
+    return {m: (F.col(f"{m}_cents").cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(MONEY) for m in MONEY_COLUMNS}
 
 
 # How each feed's columns give the unified ones.

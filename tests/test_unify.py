@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from martlet.operators.unify import Feed, Parsed, split_channels, unify_channels
 from martlet.schemas import ORDER_DETAILS
+from martlet.sources.channel_feeds import FEEDS
 
 MONEY = ("unit_price", "line_revenue", "line_discount", "cost", "allocated_shipping", "allocated_duties")
 
@@ -57,3 +58,29 @@ def test_clean_and_empty_feeds_have_no_rejects(spark):
 def test_strict_load_stops_at_a_bad_cell(spark, bad):
     with pytest.raises(Exception):
         unify_channels({"a": (rows(spark, [bad]), feed())}).collect()
+
+
+def test_rows_without_a_bad_cell_are_found_without_a_lambda(spark):
+    """A lambda is interpreted for every row; the valid rows are told by plain predicates, and
+    only faulty rows come to the array of bad cells."""
+    valid, rejects = split_channels({"a": (rows(spark, GOOD + BAD), feed())})
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "named_struct" not in plan
+    nodes = rejects._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert [n for n in nodes if "Filter " in n] and not [n for n in nodes if "Filter " in n and "lambda" in n]
+
+
+def test_a_feed_of_the_declared_types_has_no_rejects(spark):
+    names = [f.name for f in ORDER_DETAILS.fields]
+    row = ("1", 7, None, "order", "s", "n", "c", None, 2, *[Decimal("1.50")] * 6)
+    df = spark.createDataFrame([row, tuple([None] * len(names))], ORDER_DETAILS)
+    valid, rejects = split_channels({"a": (df, Feed(**{n: n for n in names}))})
+    assert sorted(map(str, valid.drop("source").collect())) == sorted(map(str, df.collect()))
+    assert rejects.count() == 0
+
+
+def test_amounts_in_cents_are_exact(spark):
+    cents = [0, 1, -1, 99, -12345, 10**18 - 1, -(10**18 - 1), None]
+    df = spark.createDataFrame([(c,) for c in cents], "unit_price_cents bigint")
+    got = [r.v for r in df.select(FEEDS["marketplace"]().columns["unit_price"].alias("v")).collect()]
+    assert got == [None if c is None else Decimal(c).scaleb(-2) for c in cents]
